@@ -443,9 +443,19 @@ del MODELS["stg_stocks_history"]
 STREAM = {"snapshot_stream": "select * from fct_inventory_history"}
 
 
+STATEMENTS = {
+    **INGEST,
+    **KEYS,
+    **MODELS,
+    **QUALITY,
+    **SALES,
+    **INVENTORY,
+    **PERFORMANCE,
+    **FILTERS,
+    **STREAM,
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    statements = {
-        **INGEST, **KEYS, **MODELS, **QUALITY, **SALES, **INVENTORY, **PERFORMANCE, **FILTERS,
-        **STREAM,
-    }
-    return {name: with_tables(sql) for name, sql in statements.items()}
+    """Each statement behind the definitions of all tables, over the driver's tables."""
+    return {name: with_tables(sql) for name, sql in STATEMENTS.items()}

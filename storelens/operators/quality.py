@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from functools import reduce
 from itertools import groupby
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 Ref = Callable[[str], DataFrame]
@@ -34,67 +34,81 @@ class Check:
     parent: str = ""
 
 
-def _counted(check: Check) -> Column:
-    column = F.col(check.column)
-    if check.test == NOT_NULL:
-        return F.count(F.when(column.isNull(), 1))
-    return F.countDistinct(F.when(~column.isin(*check.values), column))
-
-
-def _row(check: Check, failing: Column) -> Column:
-    return F.struct(
-        F.lit(check.model).alias("model"),
-        F.lit(check.column).alias("column_name"),
-        F.lit(check.test).alias("test"),
-        failing.cast("bigint").alias("failing_rows"),
+def _rows(df: DataFrame, checks: list[Check], failing: list[str]) -> DataFrame:
+    """One result row per check out of one row that holds all counts."""
+    rows = ", ".join(
+        f"'{c.model}', '{c.column}', '{c.test}', {count}" for c, count in zip(checks, failing)
     )
+    names = "model, column_name, test, failing_rows"
+    return df.selectExpr(f"stack({len(checks)}, {rows}) as ({names})")
 
 
-def _one_pass(df: DataFrame, checks: list[Check]) -> DataFrame:
+def _counts(df: DataFrame, checks: list[Check]) -> DataFrame:
     """All null and value-list checks of a model in one scan of the columns they name."""
-    counts = df.agg(*[_counted(c).alias(f"c{i}") for i, c in enumerate(checks)])
-    rows = [_row(c, F.col(f"c{i}")) for i, c in enumerate(checks)]
-    return counts.select(F.inline(F.array(*rows)))
-
-
-def _unique(df: DataFrame, check: Check) -> DataFrame:
-    repeated = (
-        df.where(F.col(check.column).isNotNull())
-        .groupBy(check.column)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .where(F.col("rows") > 1)
-        .agg(F.count(F.lit(1)).alias("failing"))
-    )
-    return repeated.select(F.inline(F.array(_row(check, F.col("failing")))))
 
-
-def _relationships(df: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
-    """Child rows are counted per key before the anti join, so each key travels once."""
+    def count(check: Check) -> str:
+        if check.test == NOT_NULL:
+            return f"count_if({check.column} is null)"
+        listed = ", ".join(map(str, check.values))
+        return f"count(distinct case when {check.column} not in ({listed}) then {check.column} end)"
+
+    names = [f"c{i}" for i in range(len(checks))]
+    counts = df.selectExpr(*[f"{count(c)} as {name}" for c, name in zip(checks, names)])
+    return _rows(counts, checks, names)
+
+
+def _key_checks(ref: Ref, checks: list[Check]) -> DataFrame:
+    """All unique and relationships checks in one grouping on (check, key).
+
+    Each model is scanned once, for the checked columns and for those that are parents of others.
+    Rows are counted per key where they are read, so a key that fills a third of a fact is one
+    row by the time it is shuffled. A repeated key has more than one row; an orphan has rows and
+    no parent.
+    """
+    looked_at: dict[str, list[str]] = {}
+    for i, check in enumerate(checks):
+        key = f"{i} as check, cast({check.column} as string) as key"
+        entry = f"struct({key}, 1L as rows, false as is_parent)"
+        looked_at.setdefault(check.model, []).append(entry)
+        if check.test == RELATIONSHIPS:
+            entry = f"struct({key}, 0L as rows, true as is_parent)"
+            looked_at.setdefault(check.parent, []).append(entry)
+    entries = [
+        ref(model).selectExpr(f"inline(array({', '.join(structs)}))")
+        for model, structs in looked_at.items()
+    ]
     keys = (
-        df.where(F.col(check.column).isNotNull())
-        .groupBy(check.column)
-        .agg(F.count(F.lit(1)).alias("rows"))
+        reduce(DataFrame.unionByName, entries)
+        .where(F.col("key").isNotNull())
+        .groupBy("check", "key")
+        .agg(F.sum("rows").alias("rows"), F.max("is_parent").alias("has_parent"))
+    )
+
+    per_check = keys.groupBy("check").agg(
+        F.expr("count_if(rows > 1)").alias("repeated"),
+        F.expr("sum(rows) filter (where not has_parent)").alias("orphaned"),
     )
-    orphans = (
-        keys.join(parent.select(check.column), check.column, "left_anti")
-        .agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("failing"))
+    found = per_check.selectExpr(
+        "map_from_entries(collect_list(struct(check, struct(repeated, orphaned)))) as found"
     )
-    return orphans.select(F.inline(F.array(_row(check, F.col("failing")))))
+    count_of = {UNIQUE: "repeated", RELATIONSHIPS: "orphaned"}
+    failing = [
+        f"coalesce(try_element_at(found, {i}).{count_of[c.test]}, 0L)"
+        for i, c in enumerate(checks)
+    ]
+    return _rows(found, checks, failing)
 
 
 def run_checks(ref: Ref, checks: Iterable[Check]) -> DataFrame:
-    parts: list[DataFrame] = []
     ordered = sorted(checks, key=lambda c: c.model)
-    for model, group in groupby(ordered, key=lambda c: c.model):
-        df, of_model = ref(model), list(group)
-        scanned = [c for c in of_model if c.test in (NOT_NULL, ACCEPTED_VALUES)]
-        if scanned:
-            parts.append(_one_pass(df, scanned))
-        for check in of_model:
-            if check.test == UNIQUE:
-                parts.append(_unique(df, check))
-            elif check.test == RELATIONSHIPS:
-                parts.append(_relationships(df, ref(check.parent), check))
+    counted = [c for c in ordered if c.test in (NOT_NULL, ACCEPTED_VALUES)]
+    keyed = [c for c in ordered if c.test in (UNIQUE, RELATIONSHIPS)]
+    parts = [
+        _counts(ref(model), list(group))
+        for model, group in groupby(counted, key=lambda c: c.model)
+    ]
+    if keyed:
+        parts.append(_key_checks(ref, keyed))
     status = F.when(F.col("failing_rows") == 0, "pass").otherwise("fail")
     return reduce(DataFrame.unionByName, parts).withColumn("status", status)
 

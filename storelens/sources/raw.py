@@ -15,9 +15,9 @@ from storelens.sources.schemas import PARTITIONS, SOURCE_NAME, SourceTable
 STRATEGY = "full_load"
 MANIFEST = "_manifest"
 MANIFEST_DDL = (
-    "source string, schema string, table string, ingestion_date date, run_id string, "
     "ingestion_strategy string, row_count bigint, path string, duration_seconds double, "
-    "loaded_at timestamp"
+    "loaded_at timestamp, source string, schema string, table string, ingestion_date date, "
+    "run_id string"
 )
 
 
@@ -44,13 +44,21 @@ def snapshot_path(root: str, table: SourceTable, load: Load) -> str:
     )
 
 
-def write_snapshot(df: DataFrame, root: str, table: SourceTable, load: Load) -> DataFrame:
-    """Land one snapshot and append its row to the manifest; returns that row.
+def manifest_path(root: str, table: SourceTable, load: Load) -> str:
+    """Each load's row has a folder of its own: loads running at the same time do not meet, and
+    a rerun replaces its row."""
+    return (
+        f"{root}/raw/{MANIFEST}/source={SOURCE_NAME}/schema={table.schema}/table={table.name}"
+        f"/ingestion_date={load.ingestion_date.isoformat()}/run_id={load.run_id}"
+    )
+
+
+def write_snapshot(df: DataFrame, root: str, table: SourceTable, load: Load) -> None:
+    """Land one snapshot, then note it in the manifest.
 
     The row count is observed on the write itself, so the source is read once. Rerunning a load
     replaces its own folder and leaves all others alone.
     """
-    spark = df.sparkSession
     started = time.time()
     observed = Observation()
     path = snapshot_path(root, table, load)
@@ -60,22 +68,14 @@ def write_snapshot(df: DataFrame, root: str, table: SourceTable, load: Load) ->
         .write.mode("overwrite")
         .parquet(path)
     )
-    loaded_at = dt.datetime.now(dt.timezone.utc)
-    row = (
-        SOURCE_NAME,
-        table.schema,
-        table.name,
-        load.ingestion_date,
-        load.run_id,
-        STRATEGY,
-        observed.get["row_count"],
-        path,
-        round(time.time() - started, 2),
-        loaded_at,
+    row = df.sparkSession.range(0, 1, 1, 1).select(
+        F.lit(STRATEGY).alias("ingestion_strategy"),
+        F.lit(observed.get["row_count"]).cast("bigint").alias("row_count"),
+        F.lit(path).alias("path"),
+        F.lit(round(time.time() - started, 2)).alias("duration_seconds"),
+        F.lit(dt.datetime.now(dt.timezone.utc)).alias("loaded_at"),
     )
-    entry = spark.createDataFrame([row], MANIFEST_DDL).coalesce(1)
-    entry.write.mode("append").parquet(f"{root}/raw/{MANIFEST}")
-    return entry
+    row.write.mode("overwrite").parquet(manifest_path(root, table, load))
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
