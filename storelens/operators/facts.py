@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.keys import keyed_nulls, missing_key, surrogate_key
 from storelens.functions.numbers import inventory_value
 
 
-def fct_sales(order_items: DataFrame, orders: DataFrame) -> DataFrame:
+def fct_sales(
+    order_items: DataFrame, orders: DataFrame, by_month: bool = False
+) -> DataFrame:
     """One row per order line.
 
-    Items and orders meet on their integer key and all hashes are computed after the join, so
-    no hash text is shuffled.
+    Items and orders meet on their integer key, and all hashes are computed last, so no hash text
+    is shuffled. `by_month` spreads the joined rows by the month they will be stored under, with
+    that column added: partitions come out near the advised size, and a month with most of the
+    rows is split over several tasks.
     """
     joined = order_items.join(orders, "order_id")
+    if by_month:
+        joined = joined.withColumn("order_month", F.trunc("order_date", "month")).hint(
+            "rebalance", "order_month"
+        )
     return joined.select(
         surrogate_key("order_id", "item_id").alias("sales_pk"),
         surrogate_key("order_date").alias("dim_date_sk"),
@@ -35,13 +43,17 @@ def fct_sales(order_items: DataFrame, orders: DataFrame) -> DataFrame:
         "list_price",
         "discount",
         "line_total",
+        *(["order_month"] if by_month else []),
     )
 
 
-def _inventory(stocks: DataFrame, products: DataFrame, key: Column) -> DataFrame:
-    prices = products.select("product_id", "list_price")
-    return stocks.join(prices, "product_id", "left").select(
-        key.alias("inventory_pk"),
+def _priced(stocks: DataFrame, products: DataFrame) -> DataFrame:
+    return stocks.join(products.select("product_id", "list_price"), "product_id", "left")
+
+
+def _inventory(priced: DataFrame, *key: str) -> DataFrame:
+    return priced.select(
+        surrogate_key(*key).alias("inventory_pk"),
         surrogate_key("snapshot_date").alias("dim_date_sk"),
         surrogate_key("store_id").alias("dim_store_sk"),
         surrogate_key("product_id").alias("dim_product_sk"),
@@ -55,13 +67,18 @@ def _inventory(stocks: DataFrame, products: DataFrame, key: Column) -> DataFrame
 
 def fct_inventory(stocks: DataFrame, products: DataFrame) -> DataFrame:
     """Store x product, newest snapshot: pass stocks of one snapshot."""
-    return _inventory(stocks, products, surrogate_key("store_id", "product_id"))
+    return _inventory(_priced(stocks, products), "store_id", "product_id")
 
 
-def fct_inventory_history(stocks: DataFrame, products: DataFrame) -> DataFrame:
-    """Store x product x snapshot, so the key takes the date in."""
-    key = surrogate_key("store_id", "product_id", "snapshot_date")
-    return _inventory(stocks, products, key)
+def fct_inventory_history(
+    stocks: DataFrame, products: DataFrame, by_snapshot: bool = False
+) -> DataFrame:
+    """Store x product x snapshot, so the key takes the date in. `by_snapshot` spreads the rows
+    by the date they will be stored under, before any hash is computed."""
+    priced = _priced(stocks, products)
+    if by_snapshot:
+        priced = priced.hint("rebalance", "snapshot_date")
+    return _inventory(priced, "store_id", "product_id", "snapshot_date")
 
 
 def resolve_orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:

@@ -79,6 +79,18 @@ GOLD: dict[str, Callable[[Ref], DataFrame]] = {
 }
 
 
+# Large facts are stored by time, so a period filter skips whole folders.
+PARTITION_BY = {"fct_sales": "order_month", "fct_inventory_history": "snapshot_date"}
+LAID_OUT: dict[str, Callable[[Ref], DataFrame]] = {
+    "fct_sales": lambda ref: facts.fct_sales(
+        ref("stg_order_items"), ref("stg_orders"), by_month=True
+    ),
+    "fct_inventory_history": lambda ref: facts.fct_inventory_history(
+        ref("stg_stocks_history"), ref("stg_products"), by_snapshot=True
+    ),
+}
+
+
 class Star:
     """All models by name, computed from the sources when an action needs them."""
 
@@ -108,10 +120,6 @@ class Star:
         return GOLD[name](self)
 
 
-# Large facts are laid out by time, so a period filter skips whole folders.
-PARTITION_BY = {"fct_sales": "order_month", "fct_inventory_history": "snapshot_date"}
-
-
 def layer_of(name: str) -> str:
     return STAGING_LAYER if name.startswith("stg_") else GOLD_LAYER
 
@@ -128,8 +136,8 @@ class StoredStar(Star):
         self.root = root
 
     def compute(self, name: str) -> DataFrame:
-        """One model, from the stored models before it."""
-        return super()._build(name)
+        """One model as it is to be stored, from the stored models before it."""
+        return LAID_OUT[name](self) if name in LAID_OUT else super()._build(name)
 
     def _build(self, name: str) -> DataFrame:
         if name == "date_spine":

@@ -16,7 +16,7 @@ from storelens.operators.quality import run_checks
 from storelens.operators.staging import STAGING
 from storelens.plans import inventory, performance, sales
 from storelens.plans.filters import Filters
-from storelens.plans.models import GOLD, LandedTables, Star, StoredStar
+from storelens.plans.models import GOLD, LAID_OUT, LandedTables, Star, StoredStar
 from storelens.plans.suite import COMPOSITE_UNIQUE, SUITE, only
 from storelens.plans.warehouse import (
     BUILD_ORDER,
@@ -109,7 +109,7 @@ def source_catalog(sources: DriverTables) -> DataFrame:
 
 def model_write(star: Star) -> DataFrame:
     root = scratch_path(star.spark, "model")
-    write_model(star("fct_sales"), root, "fct_sales")
+    write_model(LAID_OUT["fct_sales"](star), root, "fct_sales")
     stored = StoredStar(star.sources, root, **SPINE)
     return stored("fct_sales").select(*star("fct_sales").columns)
 

@@ -55,22 +55,12 @@ def ingest_production(reader: Reader, root: str, load: raw.Load | None = None) -
     return ingest(reader, PRODUCTION_TABLES, root, load)
 
 
-def write_model(df: DataFrame, root: str, name: str) -> str:
-    """Overwrite one model.
-
-    A fact laid out by time is rebalanced on that column first: files come out near the
-    advised size, and a month that holds most rows is split over several tasks.
-    """
-    path = model_path(root, name)
-    writer = df
-    folder = PARTITION_BY.get(name)
-    if folder == "order_month":
-        writer = writer.withColumn(folder, F.trunc("order_date", "month"))
-    if folder:
-        writer = writer.hint("rebalance", folder)
-    out = writer.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (out.partitionBy(folder) if folder else out).parquet(path)
-    return path
+def write_model(df: DataFrame, root: str, name: str) -> None:
+    """Overwrite one model."""
+    out = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if name in PARTITION_BY:
+        out = out.partitionBy(PARTITION_BY[name])
+    out.parquet(model_path(root, name))
 
 
 # Models of a group need only models of the groups before.

@@ -22,8 +22,7 @@ def update_history(
     landed = raw.scan(spark, root, STOCKS).where(F.col("ingestion_date").isin(*dates))
     stocks = last_run_per_date(landed, raw.read_manifest(spark, root), STOCKS)
     (
-        fct_inventory_history(stg_stocks(stocks), products)
-        .hint("rebalance", "snapshot_date")
+        fct_inventory_history(stg_stocks(stocks), products, by_snapshot=True)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("snapshot_date")
