@@ -260,20 +260,29 @@ def kpis_yoy(star: Star, filters: Filters = ALL) -> DataFrame:
             for n in (0, 1)
         ],
     )
-    columns: list[Column] = [F.col("year_number")]
+
+    def divided(a: str, b: str) -> str:
+        return f"coalesce(try_divide(double({a}), double({b})), 0D)"
+
+    ratios = []
     for n in (0, 1):
-        totals = F.col(f"total_orders_{n}")
-        ratios = {
-            "avg_order_value": divide0(F.col(f"total_revenue_{n}"), totals),
-            "fulfillment_rate_pct": divide0(F.col(f"shipped_orders_{n}"), totals) * 100,
-        }
-        known = totals.isNotNull()
-        years = years.withColumns({f"{m}_{n}": F.when(known, r) for m, r in ratios.items()})
+        orders_n = f"total_orders_{n}"
+        value = divided(f"total_revenue_{n}", orders_n)
+        rate = f"{divided(f'shipped_orders_{n}', orders_n)} * 100"
+        ratios += [
+            f"if({orders_n} is null, null, {value}) as avg_order_value_{n}",
+            f"if({orders_n} is null, null, {rate}) as fulfillment_rate_pct_{n}",
+        ]
+    columns = ["year_number"]
     for m in KPIS:
-        now, before = F.col(f"{m}_0"), F.col(f"{m}_1")
-        change = divide0(now.cast("double") - before.cast("double"), before) * 100
-        columns += [now.alias(m), before.alias(f"py_{m}"), change.alias(f"{m}_change_pct")]
-    return years.where(F.col("_nearest") == 0).select(*columns).orderBy("year_number")
+        change = divided(f"double({m}_0) - double({m}_1)", f"{m}_1")
+        columns += [f"{m}_0 as {m}", f"{m}_1 as py_{m}", f"{change} * 100 as {m}_change_pct"]
+    return (
+        years.where("_nearest = 0")
+        .selectExpr("*", *ratios)
+        .selectExpr(*columns)
+        .orderBy("year_number")
+    )
 
 
 SHARE_OF = {
