@@ -354,7 +354,7 @@ from {landed(t)}"""
 
 
 def model_counts() -> str:
-    names = [*STAGING, *GOLD]
+    names = [name for name in [*STAGING, *GOLD] if name != "stg_stocks_history"]
     return "\nunion all\n".join(
         f"select '{name}' model, count(*) row_count from {name}" for name in names
     )

@@ -91,6 +91,10 @@ LAID_OUT: dict[str, Callable[[Ref], DataFrame]] = {
 }
 
 
+# Inputs of one model only.
+NOT_STORED = ("date_spine", "stg_stocks_history")
+
+
 class Star:
     """All models by name, computed from the sources when an action needs them."""
 
@@ -140,6 +144,6 @@ class StoredStar(Star):
         return LAID_OUT[name](self) if name in LAID_OUT else super()._build(name)
 
     def _build(self, name: str) -> DataFrame:
-        if name == "date_spine":
+        if name in NOT_STORED:
             return self.compute(name)
         return self.spark.read.parquet(model_path(self.root, name))

@@ -64,7 +64,7 @@ def write_model(df: DataFrame, root: str, name: str) -> None:
 
 
 # Models of a group need only models of the groups before.
-BUILD_GROUPS = [[*STAGED, "stg_stocks_history"], list(GOLD)]
+BUILD_GROUPS = [list(STAGED), list(GOLD)]
 BUILD_ORDER = [name for group in BUILD_GROUPS for name in group]
 
 

@@ -14,6 +14,7 @@ from storelens.sources.schemas import TABLES
 # Three snapshots of the stock grid.
 SNAPSHOT_START = dt.date(2001, 7, 1)
 SNAPSHOTS = 3
+PARTS_PER_PIECE = 10_000
 
 _found_schemas: dict[str, StructType] = {}
 
@@ -164,18 +165,13 @@ class DriverTables:
         )
 
     def order_items(self) -> DataFrame:
-        # A real source carries item_id. These inputs do not, so lines are numbered here; a
-        # query that does not use the number does not run this window.
-        line = Window.partitionBy("l_orderkey").orderBy(
-            "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"
-        )
         price = F.col("p_retailprice").cast("decimal(10,2)") + F.col("l_linenumber")
         return (
-            self.read("lineitem")
+            self._numbered_lines()
             .join(self.read("part"), F.col("l_partkey") == F.col("p_partkey"))
             .select(
                 F.col("l_orderkey").alias("order_id"),
-                F.row_number().over(line).alias("item_id"),
+                "item_id",
                 F.col("l_partkey").alias("product_id"),
                 F.col("l_quantity").cast("int").alias("quantity"),
                 price.alias("list_price"),
@@ -183,6 +179,32 @@ class DriverTables:
             )
         )
 
+    def _numbered_lines(self) -> DataFrame:
+        """Lines with their place in the order, which a real source would carry.
+
+        An order is numbered in pieces (line number, range of parts), each after the sizes of the
+        pieces before it, so an order with very many lines is spread over tasks. The sizes come
+        by a left join on keys Spark knows to be distinct: it drops the whole numbering from
+        queries that do not use it.
+        """
+        piece = ["l_orderkey", "l_linenumber", "part_range"]
+        part_range = F.expr(f"l_partkey div {PARTS_PER_PIECE}")
+        lines = self.read("lineitem").withColumn("part_range", part_range)
+        in_order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "part_range")
+        before = F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+        offsets = (
+            lines.groupBy(*piece)
+            .agg(F.count(F.lit(1)).alias("size"))
+            .withColumn("before", before)
+            .groupBy(*piece)
+            .agg(F.max("before").alias("before"))
+        )
+        in_piece = Window.partitionBy(*piece).orderBy(
+            "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"
+        )
+        place = F.coalesce("before", F.lit(0)) + F.row_number().over(in_piece)
+        return lines.join(offsets, piece, "left").withColumn("item_id", place)
+
     def stocks(self) -> DataFrame:
         # The grid is every part at every store on every date: the few store ids are one array
         # value, exploded next to each part, so parts stay where they are read.
