@@ -86,17 +86,21 @@ def test_drifted_types_fail_the_read_or_are_cast_on_request(spark, root):
     assert row.customer_id == 7 and isinstance(row.customer_id, int) and row.run_id == "r"
 
 
-def test_latest_load_reads_one_partition(spark, shop, root):
+def test_newest_load_is_a_partition_filter(spark, shop, root):
     for day in (DAY1, DAY2):
         land(shop, root, "products", day, "r")
-    newest = latest_full_load(raw.scan(spark, root, TABLES["products"]))
-    assert newest.count() == 3
-    newest.collect()
-    plan = newest._jdf.queryExecution().executedPlan().toString()
-    scans = [line for line in plan.splitlines() if "FileScan" in line and "product_name" in line]
-    assert scans and all(
-        "PartitionFilters: [isnotnull(ingestion_date" in s and "Subquery" in s for s in scans
-    )
+    landed = raw.scan(spark, root, TABLES["products"])
+    for newest, columns in (
+        (latest_full_load(landed), ["ingestion_date"]),
+        (LandedTables(spark, root).latest("products"), ["ingestion_date", "run_id"]),
+    ):
+        assert newest.count() == 3
+        newest.collect()
+        plan = newest._jdf.queryExecution().executedPlan().toString()
+        scans = [x for x in plan.splitlines() if "FileScan" in x and "product_name" in x]
+        filters = scans[0].split("PartitionFilters: [")[1].split("PushedFilters")[0]
+        assert filters.count("ubquery") >= len(columns)
+        assert all(column in filters for column in columns)
 
 
 def test_build_and_rebuild(spark, shop, root):

@@ -82,4 +82,4 @@ def test_hot_product_is_split_for_distinct_orders(limits, fact, products):
 def test_hot_product_is_one_row_before_the_join(limits, fact, products):
     plan = plan_of(revenue_by(fact, products, "dim_product_sk", ["brand_name"]))
     assert "skew" not in plan
-    assert "partial_sum(line_total" in plan
+    assert plan.count("partial_sum(") >= 2
