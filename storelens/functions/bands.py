@@ -17,22 +17,15 @@ CRITICAL_STOCK = 2
 LOW_STOCK = 5
 
 
-def order_status_label(status: Column) -> Column:
+def order_status_label(status: str) -> Column:
     """An unknown code has no label."""
-    branches = iter(ORDER_STATUS.items())
-    code, label = next(branches)
-    result = F.when(status == code, label)
-    for code, label in branches:
-        result = result.when(status == code, label)
-    return result
-
-
-def revenue_band(amount: Column) -> Column:
-    floor, label = REVENUE_BANDS[0]
-    result = F.when(amount >= floor, label)
-    for floor, label in REVENUE_BANDS[1:]:
-        result = result.when(amount >= floor, label)
-    return result.otherwise(LOWEST_REVENUE_BAND)
+    branches = " ".join(f"when {code} then '{label}'" for code, label in ORDER_STATUS.items())
+    return F.expr(f"case {status} {branches} end")
+
+
+def revenue_band(amount: str) -> Column:
+    branches = " ".join(f"when {amount} >= {floor} then '{label}'" for floor, label in REVENUE_BANDS)
+    return F.expr(f"case {branches} else '{LOWEST_REVENUE_BAND}' end")
 
 
 def alert_level(quantity: Column) -> Column:

@@ -6,23 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def day_of_week(day: Column) -> Column:
-    """Sunday is 0."""
-    return F.dayofweek(day) - 1
-
-
-def calendar_attributes(day: Column) -> list[Column]:
+def calendar_attributes(day: str) -> list[str]:
+    """As SQL expressions; Sunday is day 0."""
     return [
-        F.year(day).alias("year_number"),
-        F.quarter(day).alias("quarter_number"),
-        F.concat(F.lit("Q"), F.quarter(day).cast("string")).alias("quarter_label"),
-        F.month(day).alias("month_number"),
-        F.date_format(day, "MMMM").alias("month_name"),
-        F.weekofyear(day).alias("week_of_year"),
-        F.dayofmonth(day).alias("day_of_month"),
-        day_of_week(day).alias("day_of_week"),
-        F.date_format(day, "EEEE").alias("day_name"),
-        day_of_week(day).isin(0, 6).alias("is_weekend"),
+        f"year({day}) as year_number",
+        f"quarter({day}) as quarter_number",
+        f"'Q' || quarter({day}) as quarter_label",
+        f"month({day}) as month_number",
+        f"date_format({day}, 'MMMM') as month_name",
+        f"weekofyear({day}) as week_of_year",
+        f"day({day}) as day_of_month",
+        f"dayofweek({day}) - 1 as day_of_week",
+        f"date_format({day}, 'EEEE') as day_name",
+        f"dayofweek({day}) in (1, 7) as is_weekend",
     ]
 
 

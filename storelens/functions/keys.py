@@ -10,25 +10,23 @@ NULL_MARKER = "_dbt_utils_surrogate_key_null_"
 MISSING_ID = -1
 
 
-def _column(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def _text(column: str) -> str:
+    return f"coalesce(cast({column} as string), '{NULL_MARKER}')"
 
 
-def surrogate_key(*columns: Column | str) -> Column:
+def surrogate_key(*columns: str) -> Column:
     """MD5 of the columns' texts joined by '-', a NULL standing in as a fixed marker.
 
     Pass integers and dates only: the text of a double differs between engines.
     """
-    texts = [F.coalesce(_column(c).cast("string"), F.lit(NULL_MARKER)) for c in columns]
-    return F.md5(texts[0] if len(texts) == 1 else F.concat_ws("-", *texts))
+    return F.expr(f"md5(concat_ws('-', {', '.join(map(_text, columns))}))")
 
 
 def missing_key() -> Column:
     """The key of a dimension's missing-member row."""
-    return F.md5(F.lit(str(MISSING_ID)))
+    return F.expr(f"md5('{MISSING_ID}')")
 
 
-def keyed_nulls(column: Column | str) -> Column:
+def keyed_nulls(column: str) -> Column:
     """The surrogate key, a NULL pointing at the missing member."""
-    c = _column(column)
-    return F.when(c.isNull(), missing_key()).otherwise(surrogate_key(c))
+    return F.expr(f"if({column} is null, md5('{MISSING_ID}'), md5({_text(column)}))")

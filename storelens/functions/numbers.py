@@ -12,12 +12,11 @@ MONEY_SUM = "decimal(28,2)"
 
 
 def line_total() -> Column:
-    gross = F.col("quantity") * F.col("list_price") * (F.lit(1) - F.col("discount"))
-    return F.round(gross, 2).cast(MONEY)
+    return F.expr(f"cast(round(quantity * list_price * (1 - discount), 2) as {MONEY})")
 
 
 def inventory_value() -> Column:
-    return F.round(F.col("quantity") * F.col("list_price"), 2).cast(MONEY)
+    return F.expr(f"cast(round(quantity * list_price, 2) as {MONEY})")
 
 
 def money_sum(column: str) -> Column:

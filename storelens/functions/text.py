@@ -1,27 +1,24 @@
-"""Text cleaning for the staging layer."""
+"""Text cleaning for the staging layer, as SQL expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def trimmed(name: str) -> str:
+    return f"trim({name}) as {name}"
 
-def trimmed(name: str) -> Column:
-    return F.trim(name).alias(name)
 
+def blank_to_null(name: str) -> str:
+    return f"nullif(trim({name}), '') as {name}"
 
-def blank_to_null(name: str) -> Column:
-    return F.nullif(F.trim(name), F.lit("")).alias(name)
 
+def lowered(name: str) -> str:
+    return f"lower(trim({name})) as {name}"
 
-def lowered(name: str) -> Column:
-    return F.lower(F.trim(name)).alias(name)
 
+def uppered(name: str) -> str:
+    return f"upper(trim({name})) as {name}"
 
-def uppered(name: str) -> Column:
-    return F.upper(F.trim(name)).alias(name)
 
-
-def full_name(first: str = "first_name", last: str = "last_name") -> Column:
-    """NULL when either part is NULL, hence concat and not concat_ws."""
-    return F.concat(F.trim(first), F.lit(" "), F.trim(last)).alias("full_name")
+def full_name(first: str = "first_name", last: str = "last_name") -> str:
+    """NULL when either part is NULL, hence || and not concat_ws."""
+    return f"trim({first}) || ' ' || trim({last}) as full_name"

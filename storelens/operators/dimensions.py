@@ -8,27 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.functions.calendar import calendar_attributes
-from storelens.functions.keys import MISSING_ID, keyed_nulls, missing_key, surrogate_key
+from storelens.functions.keys import MISSING_ID, keyed_nulls, surrogate_key
 
 # The reference's calendar.
 SPINE_START = dt.date(2015, 1, 1)
 SPINE_END = dt.date(2034, 12, 31)
 
 
-def with_missing_member(dim: DataFrame, known: dict[str, object]) -> DataFrame:
-    """Put one row in front: the missing key, `known` values, NULL for the rest.
+def with_missing_member(dim: DataFrame, known: dict[str, str]) -> DataFrame:
+    """Put one row in front: the missing key, `known` SQL values, NULL for the rest.
 
     The row comes from a range, whose size Spark knows, so the dimension keeps a usable size
     estimate for join planning.
     """
-    key = dim.columns[0]
-    row = [missing_key().alias(key)]
-    for field in dim.schema.fields[1:]:
-        value = known.get(field.name)
-        if not hasattr(value, "cast"):
-            value = F.lit(value)
-        row.append(value.cast(field.dataType).alias(field.name))
-    member = dim.sparkSession.range(0, 1, 1, 1).select(*row)
+    key, *others = dim.schema.fields
+    row = [f"md5('{MISSING_ID}') as {key.name}"]
+    for field in others:
+        kind = field.dataType.simpleString()
+        row.append(f"cast({known.get(field.name, 'null')} as {kind}) as {field.name}")
+    member = dim.sparkSession.range(0, 1, 1, 1).selectExpr(*row)
     return member.unionByName(dim)
 
 
@@ -49,10 +47,10 @@ def dim_customer(customers: DataFrame) -> DataFrame:
     return with_missing_member(
         dim,
         {
-            "customer_id": MISSING_ID,
-            "first_name": "Unknown",
-            "last_name": "Unknown",
-            "full_name": "Unknown Customer",
+            "customer_id": str(MISSING_ID),
+            "first_name": "'Unknown'",
+            "last_name": "'Unknown'",
+            "full_name": "'Unknown Customer'",
         },
     )
 
@@ -81,12 +79,12 @@ def dim_product(products: DataFrame, brands: DataFrame, categories: DataFrame) -
     return with_missing_member(
         dim,
         {
-            "product_id": MISSING_ID,
-            "product_name": "Unknown Product",
-            "brand_id": MISSING_ID,
-            "brand_name": "Unknown Brand",
-            "category_id": MISSING_ID,
-            "category_name": "Unknown Category",
+            "product_id": str(MISSING_ID),
+            "product_name": "'Unknown Product'",
+            "brand_id": str(MISSING_ID),
+            "brand_name": "'Unknown Brand'",
+            "category_id": str(MISSING_ID),
+            "category_name": "'Unknown Category'",
         },
     )
 
@@ -103,7 +101,7 @@ def dim_store(stores: DataFrame) -> DataFrame:
         "state",
         "zip_code",
     )
-    return with_missing_member(dim, {"store_id": MISSING_ID, "store_name": "Unknown Store"})
+    return with_missing_member(dim, {"store_id": str(MISSING_ID), "store_name": "'Unknown Store'"})
 
 
 def dim_staff(staffs: DataFrame) -> DataFrame:
@@ -138,13 +136,13 @@ def dim_staff(staffs: DataFrame) -> DataFrame:
     return with_missing_member(
         dim,
         {
-            "staff_id": MISSING_ID,
-            "first_name": "Unknown",
-            "last_name": "Unknown",
-            "full_name": "Unknown Staff",
-            "is_active": False,
-            "store_id": MISSING_ID,
-            "manager_dim_staff_sk": missing_key(),
+            "staff_id": str(MISSING_ID),
+            "first_name": "'Unknown'",
+            "last_name": "'Unknown'",
+            "full_name": "'Unknown Staff'",
+            "is_active": "false",
+            "store_id": str(MISSING_ID),
+            "manager_dim_staff_sk": f"md5('{MISSING_ID}')",
         },
     )
 
@@ -159,10 +157,8 @@ def date_spine(
 
 
 def dim_date(spine: DataFrame) -> DataFrame:
-    day = F.col("date_day")
-    dim = spine.select(
-        surrogate_key("date_day").alias("dim_date_sk"), "date_day", *calendar_attributes(day)
-    )
+    keyed = spine.select(surrogate_key("date_day").alias("dim_date_sk"), "date_day")
+    dim = keyed.selectExpr("dim_date_sk", "date_day", *calendar_attributes("date_day"))
     return with_missing_member(dim, {})
 
 

@@ -11,7 +11,7 @@ from storelens.functions.text import blank_to_null, full_name, lowered, trimmed,
 
 
 def stg_customers(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "customer_id",
         trimmed("first_name"),
         trimmed("last_name"),
@@ -30,7 +30,7 @@ def stg_orders(raw: DataFrame) -> DataFrame:
         "order_id",
         "customer_id",
         "order_status",
-        order_status_label(F.col("order_status")).alias("order_status_label"),
+        order_status_label("order_status").alias("order_status_label"),
         "order_date",
         "required_date",
         "shipped_date",
@@ -53,14 +53,14 @@ def stg_order_items(raw: DataFrame) -> DataFrame:
 
 
 def stg_staffs(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "staff_id",
         trimmed("first_name"),
         trimmed("last_name"),
         full_name(),
         lowered("email"),
         blank_to_null("phone"),
-        (F.col("active") == 1).alias("is_active"),
+        "active = 1 as is_active",
         "store_id",
         "manager_id",
     )
@@ -68,7 +68,7 @@ def stg_staffs(raw: DataFrame) -> DataFrame:
 
 def stg_stores(raw: DataFrame) -> DataFrame:
     """The store's email is kept in its own case."""
-    return raw.select(
+    return raw.selectExpr(
         "store_id",
         trimmed("store_name"),
         blank_to_null("phone"),
@@ -81,15 +81,15 @@ def stg_stores(raw: DataFrame) -> DataFrame:
 
 
 def stg_brands(raw: DataFrame) -> DataFrame:
-    return raw.select("brand_id", trimmed("brand_name"))
+    return raw.selectExpr("brand_id", trimmed("brand_name"))
 
 
 def stg_categories(raw: DataFrame) -> DataFrame:
-    return raw.select("category_id", trimmed("category_name"))
+    return raw.selectExpr("category_id", trimmed("category_name"))
 
 
 def stg_products(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "product_id",
         trimmed("product_name"),
         "brand_id",
@@ -100,11 +100,11 @@ def stg_products(raw: DataFrame) -> DataFrame:
 
 
 def stg_stocks(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return raw.selectExpr(
         "store_id",
         "product_id",
-        F.coalesce("quantity", F.lit(0)).alias("quantity"),
-        F.col("ingestion_date").alias("snapshot_date"),
+        "coalesce(quantity, 0) as quantity",
+        "ingestion_date as snapshot_date",
     )
 
 

@@ -323,7 +323,7 @@ def revenue_rank_products(star: Star, filters: Filters = ALL) -> DataFrame:
 def revenue_bands(star: Star, filters: Filters = ALL) -> DataFrame:
     return (
         filters.sales(star)
-        .groupBy(revenue_band(F.col("line_total")).alias("band"))
+        .groupBy(revenue_band("line_total").alias("band"))
         .agg(F.count(F.lit(1)).alias("lines"), money_sum("line_total").alias("revenue"))
     )
 

@@ -15,6 +15,7 @@ from storelens.sources.schemas import TABLES
 SNAPSHOT_START = dt.date(2001, 7, 1)
 SNAPSHOTS = 3
 PARTS_PER_PIECE = 10_000
+BRAND_ID = "cast(split_part(p_brand, '#', 2) as int) as brand_id"
 
 _found_schemas: dict[str, StructType] = {}
 
@@ -44,18 +45,8 @@ class DriverTables:
         return df
 
     def brands(self) -> DataFrame:
-        return (
-            self.read("part")
-            .select("p_brand")
-            .distinct()
-            .select(
-                self._brand_id(), F.concat(F.lit("  "), "p_brand", F.lit(" ")).alias("brand_name")
-            )
-        )
-
-    @staticmethod
-    def _brand_id():
-        return F.split_part("p_brand", F.lit("#"), F.lit(2)).cast("int").alias("brand_id")
+        brands = self.read("part").select("p_brand").distinct()
+        return brands.selectExpr(BRAND_ID, "'  ' || p_brand || ' ' as brand_name")
 
     def _types(self) -> DataFrame:
         # The window has no partition, over the distinct part types only: the input's
@@ -69,114 +60,98 @@ class DriverTables:
         )
 
     def categories(self) -> DataFrame:
-        name = F.concat(F.lit(" "), "p_type", F.lit(" "))
-        return self._types().select("category_id", name.alias("category_name"))
+        return self._types().selectExpr("category_id", "' ' || p_type || ' ' as category_name")
 
     def products(self) -> DataFrame:
-        return (
-            self.read("part")
-            .join(F.broadcast(self._types()), "p_type")
-            .select(
-                F.col("p_partkey").alias("product_id"),
-                F.concat(F.lit(" "), "p_name", F.lit(" ")).alias("product_name"),
-                self._brand_id(),
-                "category_id",
-                (F.lit(2014) + F.col("p_size") % 6).alias("model_year"),
-                F.col("p_retailprice").cast("decimal(10,2)").alias("list_price"),
-            )
+        parts = self.read("part").join(F.broadcast(self._types()), "p_type")
+        return parts.selectExpr(
+            "p_partkey as product_id",
+            "' ' || p_name || ' ' as product_name",
+            BRAND_ID,
+            "category_id",
+            "2014 + p_size % 6 as model_year",
+            "cast(p_retailprice as decimal(10,2)) as list_price",
         )
 
     def stores(self) -> DataFrame:
-        key, text = F.col("r_regionkey"), F.col("r_regionkey").cast("string")
-        return self.read("region").select(
-            key.alias("store_id"),
-            F.concat(F.lit(" "), "r_name", F.lit(" Store ")).alias("store_name"),
-            F.when(key % 2 == 0, " ").otherwise(F.concat(F.lit("555-010"), text)).alias("phone"),
-            F.concat(F.lit(" store"), text, F.lit("@example.com ")).alias("email"),
-            F.lit("").alias("street"),
-            F.col("r_name").alias("city"),
-            F.lower(F.substring("r_name", 1, 2)).alias("state"),
-            F.concat(F.lit("0000"), text).alias("zip_code"),
+        return self.read("region").selectExpr(
+            "r_regionkey as store_id",
+            "' ' || r_name || ' Store ' as store_name",
+            "if(r_regionkey % 2 = 0, ' ', '555-010' || r_regionkey) as phone",
+            "' store' || r_regionkey || '@example.com ' as email",
+            "'' as street",
+            "r_name as city",
+            "lower(substr(r_name, 1, 2)) as state",
+            "'0000' || r_regionkey as zip_code",
         )
 
     def staffs(self) -> DataFrame:
-        key, text = F.col("s_suppkey"), F.col("s_suppkey").cast("string")
-        return (
-            self.read("supplier")
-            .join(self.read("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-            .select(
-                key.alias("staff_id"),
-                F.concat(F.lit(" First"), text, F.lit(" ")).alias("first_name"),
-                F.concat(F.lit("Last"), text).alias("last_name"),
-                F.concat(F.lit(" STAFF"), text, F.lit("@Example.com")).alias("email"),
-                F.lit("").alias("phone"),
-                F.when(key % 10 == 9, 0).otherwise(1).alias("active"),
-                F.col("n_regionkey").alias("store_id"),
-                F.when(key >= 3, key % 3).alias("manager_id"),
-            )
+        suppliers = self.read("supplier").join(
+            self.read("nation"), F.col("s_nationkey") == F.col("n_nationkey")
+        )
+        return suppliers.selectExpr(
+            "s_suppkey as staff_id",
+            "' First' || s_suppkey || ' ' as first_name",
+            "'Last' || s_suppkey as last_name",
+            "' STAFF' || s_suppkey || '@Example.com' as email",
+            "'' as phone",
+            "if(s_suppkey % 10 = 9, 0, 1) as active",
+            "n_regionkey as store_id",
+            "if(s_suppkey < 3, null, s_suppkey % 3) as manager_id",
         )
 
     def customers(self) -> DataFrame:
-        key, text = F.col("c_custkey"), F.col("c_custkey").cast("string")
-        return (
+        customers = (
             self.read("customer")
             .join(self.read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
             .join(self.read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(
-                key.alias("customer_id"),
-                F.lit(" Cust ").alias("first_name"),
-                F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
-                F.concat(F.lit(" C"), text, F.lit("@Example.com ")).alias("email"),
-                F.when(key % 3 == 0, " ").otherwise(F.concat(F.lit("555-"), text)).alias("phone"),
-                F.lit("").alias("street"),
-                F.col("n_name").alias("city"),
-                F.lower(F.substring("r_name", 1, 2)).alias("state"),
-                (F.lit(10000) + F.col("c_nationkey")).cast("string").alias("zip_code"),
-            )
+        )
+        return customers.selectExpr(
+            "c_custkey as customer_id",
+            "' Cust ' as first_name",
+            "split_part(c_name, '#', 2) as last_name",
+            "' C' || c_custkey || '@Example.com ' as email",
+            "if(c_custkey % 3 = 0, ' ', '555-' || c_custkey) as phone",
+            "'' as street",
+            "n_name as city",
+            "lower(substr(r_name, 1, 2)) as state",
+            "cast(10000 + c_nationkey as string) as zip_code",
         )
 
     def orders(self) -> DataFrame:
         # The number of suppliers is a scalar subquery, so the staff member of an order is a
         # plain equi-join.
         suppliers = self.read("supplier").agg(F.count(F.lit(1))).scalar()
-        key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
-        status = F.col("o_orderstatus")
         staff = self.staffs().select("staff_id", "store_id")
-        return (
+        orders = (
             self.read("orders")
-            .withColumn("staff_id", key % suppliers)
-            .join(staff, "staff_id")
-            .select(
-                key.alias("order_id"),
-                F.when(key % 20 != 0, F.col("o_custkey")).alias("customer_id"),
-                F.when(key % 15 == 7, 3)
-                .when(status == "O", 1)
-                .when(status == "P", 2)
-                .otherwise(4)
-                .alias("order_status"),
-                day.alias("order_date"),
-                F.date_add(day, 7).alias("required_date"),
-                F.when(status == "F", F.date_add(day, (key % 10).cast("int"))).alias(
-                    "shipped_date"
-                ),
-                "store_id",
-                "staff_id",
-            )
+            .withColumn("staff_id", F.col("o_orderkey") % suppliers)
+            .withColumn("order_date", F.col("o_orderdate").cast("date"))
+        )
+        return orders.join(staff, "staff_id").selectExpr(
+            "o_orderkey as order_id",
+            "if(o_orderkey % 20 = 0, null, o_custkey) as customer_id",
+            "case when o_orderkey % 15 = 7 then 3 when o_orderstatus = 'O' then 1 "
+            "when o_orderstatus = 'P' then 2 else 4 end as order_status",
+            "order_date",
+            "date_add(order_date, 7) as required_date",
+            "if(o_orderstatus = 'F', date_add(order_date, cast(o_orderkey % 10 as int)), null) "
+            "as shipped_date",
+            "store_id",
+            "staff_id",
         )
 
     def order_items(self) -> DataFrame:
-        price = F.col("p_retailprice").cast("decimal(10,2)") + F.col("l_linenumber")
-        return (
-            self._numbered_lines()
-            .join(self.read("part"), F.col("l_partkey") == F.col("p_partkey"))
-            .select(
-                F.col("l_orderkey").alias("order_id"),
-                "item_id",
-                F.col("l_partkey").alias("product_id"),
-                F.col("l_quantity").cast("int").alias("quantity"),
-                price.alias("list_price"),
-                F.col("l_discount").cast("decimal(4,2)").alias("discount"),
-            )
+        lines = self._numbered_lines().join(
+            self.read("part"), F.col("l_partkey") == F.col("p_partkey")
+        )
+        return lines.selectExpr(
+            "l_orderkey as order_id",
+            "item_id",
+            "l_partkey as product_id",
+            "cast(l_quantity as int) as quantity",
+            "cast(p_retailprice as decimal(10,2)) + l_linenumber as list_price",
+            "cast(l_discount as decimal(4,2)) as discount",
         )
 
     def _numbered_lines(self) -> DataFrame:
@@ -209,17 +184,15 @@ class DriverTables:
         # The grid is every part at every store on every date: the few store ids are one array
         # value, exploded next to each part, so parts stay where they are read.
         stores = self.read("region").agg(F.collect_set("r_regionkey")).scalar()
-        part, store, day = F.col("p_partkey"), F.col("store_id"), F.col("k")
-        return (
+        grid = (
             self.read("part")
             .select("p_partkey", F.explode(stores).alias("store_id"))
-            .select("*", F.explode(F.sequence(F.lit(0), F.lit(SNAPSHOTS - 1))).alias("k"))
-            .select(
-                "store_id",
-                part.alias("product_id"),
-                F.when((part + store) % 50 != 0, (part * 7 + store * 13 + day * 5) % 40).alias(
-                    "quantity"
-                ),
-                F.date_add(F.lit(SNAPSHOT_START), day).alias("ingestion_date"),
-            )
+            .selectExpr("*", f"explode(sequence(0, {SNAPSHOTS - 1})) as k")
+        )
+        return grid.selectExpr(
+            "store_id",
+            "p_partkey as product_id",
+            "if((p_partkey + store_id) % 50 = 0, null, "
+            "(p_partkey * 7 + store_id * 13 + k * 5) % 40) as quantity",
+            f"date_add(date '{SNAPSHOT_START}', k) as ingestion_date",
         )

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 SOURCE_NAME = "supabase"  # fixed value: folder name in the raw layer
 PARTITIONS = ("ingestion_date", "run_id")
@@ -36,8 +35,8 @@ class SourceTable:
         An integer key that an untyped writer stored as a double (because it held a NULL) comes
         back as an integer here, so that its hash agrees with the dimension's.
         """
-        declared = [F.col(name).cast(kind).alias(name) for name, kind in self.columns]
-        return df.select(*declared, *extra)
+        declared = [f"cast({name} as {kind}) as {name}" for name, kind in self.columns]
+        return df.selectExpr(*declared, *extra)
 
 
 def _table(schema: str, name: str, key: str, ddl: str) -> SourceTable:
