@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.llm import decontamination, packing, token_files
+from storelens.llm import decontamination, packing, quality, token_files
 from storelens.llm.frames import read_table
 from storelens.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(read_table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(read_table(spark, sf_dir, "documents")))
 
@@ -30,7 +34,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op3_best_fit_packing, op6_benchmark_decontamination, op10_token_files)
+    for f in (op1_quality_rules, op3_best_fit_packing, op6_benchmark_decontamination, op10_token_files)
 }
 
 LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -58,4 +62,34 @@ select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items,
 from doc left join hit using (doc_id) left join hit_item using (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op6_benchmark_decontamination": OP6}
+OP1 = r"""
+with doc as (
+    select doc_id, coalesce(text, '') as t,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l
+    from documents),
+place as (select doc_id, unnest(range(1, len(w) - 6)) as i, w from doc where len(w) > 7),
+gram as (select doc_id, i, array_to_string(w[i:i + 7], ' ') as g from place),
+twice as (select doc_id, i from gram qualify count(*) over (partition by doc_id, g) > 1),
+covered as (
+    select doc_id, count(distinct p) as n
+    from (select doc_id, unnest(range(i, i + 8)) as p from twice) group by doc_id),
+measured as (
+    select doc_id, len(w) as n_words,
+           length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) as word_chars,
+           length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols,
+           len(l) - len(list_distinct(l)) as n_dup_lines, len(l) as n_lines,
+           coalesce(n, 0) as n_repeat_words,
+           length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) as n_capitals,
+           len(list_filter(list_zip(w[:-2], w[2:]), lambda x: x[1] = x[2])) as n_stutters
+    from doc left join covered using (doc_id)),
+judged as (
+    select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from measured)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not (base_failed or 5 * n_symbols > n_words or 10 * n_capitals > 4 * word_chars
+            or 10 * n_stutters > 4 * n_words or word_chars > 20 * n_words
+            or 10 * n_dup_lines > 6 * n_lines) as kept
+from judged
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op6_benchmark_decontamination": OP6}
