@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.llm import decontamination, packing, quality, token_files
+from storelens.llm import decontamination, licenses, packing, quality, token_files
 from storelens.llm.frames import read_table
 from storelens.session import scratch_path
 
@@ -26,6 +26,11 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.digest(decontamination.find_contamination(docs, benchmark, ["doc_id"]))
 
 
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.digest(licenses.scan_licenses(docs))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_token_files(read_table(spark, sf_dir, "documents"), path)
@@ -34,7 +39,13 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_quality_rules, op3_best_fit_packing, op6_benchmark_decontamination, op10_token_files)
+    for f in (
+        op1_quality_rules,
+        op3_best_fit_packing,
+        op6_benchmark_decontamination,
+        op9_license_scans,
+        op10_token_files,
+    )
 }
 
 LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
