@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.llm import decontamination, licenses, packing, quality, token_files
+from storelens.llm import decontamination, licenses, ngram_join, packing, quality, token_files
 from storelens.llm.frames import read_table
 from storelens.session import scratch_path
 
@@ -21,6 +21,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(read_table(spark, sf_dir, "documents")))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.digest(ngram_join.similar_documents(read_table(spark, sf_dir, "documents")))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
     return decontamination.digest(decontamination.find_contamination(docs, benchmark, ["doc_id"]))
@@ -42,6 +46,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_quality_rules,
         op3_best_fit_packing,
+        op5_ngram_jaccard,
         op6_benchmark_decontamination,
         op9_license_scans,
         op10_token_files,
