@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.llm import decontamination, licenses, ngram_join, packing, quality, token_files
+from storelens.llm import decontamination, licenses, ngram_join, packing, quality, repeats, token_files
 from storelens.llm.frames import read_table
 from storelens.session import scratch_path
 
@@ -30,6 +30,10 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.digest(decontamination.find_contamination(docs, benchmark, ["doc_id"]))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(repeats.remove_repeats(read_table(spark, sf_dir, "documents"), ["doc_id"]))
+
+
 def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return licenses.digest(licenses.scan_licenses(docs))
@@ -48,6 +52,7 @@ QUERIES: dict[str, Query] = {
         op3_best_fit_packing,
         op5_ngram_jaccard,
         op6_benchmark_decontamination,
+        op8_suffix_dedup,
         op9_license_scans,
         op10_token_files,
     )
