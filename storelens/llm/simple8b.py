@@ -22,70 +22,63 @@ COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = 60 // COUNTS
 
 
-def _selectors(values: np.ndarray) -> np.ndarray:
-    """Rows of blocks: for every place the first selector whose values all fit from there on."""
-    rows, size = values.shape
-    out = np.full(values.shape, ESCAPE, np.uint8)
-    largest = int(values.max(initial=0))
+def _runs(small: np.ndarray, count: int) -> np.ndarray:
+    """Whether `count` true values begin at a place, for all but the last 59 places."""
+    run, have = small, 1
+    while have < count:
+        step = min(have, count - have)
+        run = run[: len(run) - step] & run[step:]
+        have += step
+    return run[: len(small) - 59]
+
+
+def _selectors(padded: np.ndarray) -> np.ndarray:
+    """For every place, but for the 59 behind the last, the first selector whose values all fit."""
+    out = np.full(len(padded) - 59, ESCAPE, np.uint8)
+    largest = int(padded.max(initial=0))
     for k in range(len(COUNTS), 0, -1):  # more values a word, if they fit
         count, width = int(COUNTS[k - 1]), int(WIDTHS[k - 1])
         if largest >> width:
-            small = values < U64(1 << width)
-            if not small.any():
+            fits = _runs(padded < U64(1 << width), count)
+            if not fits.any():
                 break
+            out[fits] = k
         else:
-            small = np.ones(values.shape, bool)
-        # small values in a row from each place on; what follows the block counts as small
-        place = np.arange(size)
-        wide = np.where(small, size + 64, place)
-        next_wide = np.minimum.accumulate(wide[:, ::-1], axis=1)[:, ::-1]
-        out[next_wide - place >= count] = k
+            out[:] = k
     return out
 
 
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words, first word of each block, escaped values."""
+    """Words, first word of each block, escaped values.
+
+    A block's last word may hold values of the next block too; its reader leaves them out.
+    """
     values = np.asarray(values, U64)
-    blocks = -(-len(values) // BLOCK)
-    table = np.zeros((blocks, BLOCK), U64)
-    table.reshape(-1)[: len(values)] = values
-    lengths = np.full(blocks, BLOCK)
-    if blocks:
-        lengths[-1] = len(values) - (blocks - 1) * BLOCK
-    chosen = _selectors(table)
-    padded = np.concatenate([table, np.zeros((blocks, 60), U64)], axis=1)
-    row, at = np.arange(blocks), np.zeros(blocks, np.int64)
-    made: list[tuple[np.ndarray, np.ndarray]] = []
-    escapes: list[np.ndarray] = []
+    padded = np.concatenate([values, np.zeros(60, U64)])
+    chosen = _selectors(padded)
     counts = np.concatenate(([0], COUNTS, [1]))
-    widths = np.concatenate(([0], WIDTHS, [0]))
-    escaped = 0
-    while len(row):
-        selector = chosen[row, at]
-        words = selector.astype(U64) << U64(60)
-        for k in np.unique(selector):
-            mine = np.flatnonzero(selector == k)
-            if k == ESCAPE:
-                raw = padded[row[mine], at[mine]]
-                words[mine] |= U64(escaped) + np.arange(len(raw), dtype=U64)
-                escapes.append(raw)
-                escaped += len(raw)
-                continue
-            count = int(counts[k])
-            got = padded[row[mine, None], at[mine, None] + np.arange(count)]
-            shifts = (np.arange(count) * int(widths[k])).astype(U64)
-            words[mine] |= np.bitwise_or.reduce(got << shifts, axis=1)
-        made.append((row, words))
-        at = at + counts[selector]
-        going = at < lengths[row]
-        row, at = row[going], at[going]
-    if not made:
-        return np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, U64)
-    rows = np.concatenate([r for r, _ in made])
-    words = np.concatenate([w for _, w in made])
-    order = np.argsort(rows, kind="stable")  # steps are in order, so words of a block stay so
-    first = np.searchsorted(rows[order], np.arange(blocks)).astype(U64)
-    return words[order], first, np.concatenate([np.zeros(0, U64), *escapes])
+    following = np.arange(len(chosen)) + counts[chosen]
+    starts = np.arange(0, len(values), BLOCK)
+    at, stop = starts, np.minimum(starts + BLOCK, len(values))
+    steps = [at]
+    while len(at):  # all blocks at once, word by word
+        at = following[at]
+        going = at < stop
+        at, stop = at[going], stop[going]
+        steps.append(at)
+    place = np.sort(np.concatenate(steps))
+    selector = chosen[place]
+    words = selector.astype(U64) << U64(60)
+    escapes = np.zeros(0, U64)
+    for k in np.unique(selector):
+        mine = np.flatnonzero(selector == k)
+        if k == ESCAPE:
+            escapes = padded[place[mine]]
+            words[mine] |= np.arange(len(mine), dtype=U64)
+            continue
+        for i in range(int(COUNTS[k - 1])):
+            words[mine] |= padded[place[mine] + i] << U64(i * int(WIDTHS[k - 1]))
+    return words, np.searchsorted(place, starts).astype(U64), escapes
 
 
 def decode(words: np.ndarray, first: np.ndarray, escapes: np.ndarray, total: int) -> np.ndarray:
