@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storelens.llm import decontamination, licenses, ngram_join, packing, quality, repeats, token_files
+from storelens.llm import (
+    cotraining,
+    decontamination,
+    licenses,
+    ngram_join,
+    packing,
+    quality,
+    repeats,
+    token_files,
+    toxicity,
+)
 from storelens.llm.frames import read_table
 from storelens.session import scratch_path
 
@@ -17,6 +27,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(read_table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(read_table(spark, sf_dir, "documents")))
 
@@ -30,6 +44,10 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.digest(decontamination.find_contamination(docs, benchmark, ["doc_id"]))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(repeats.remove_repeats(read_table(spark, sf_dir, "documents"), ["doc_id"]))
 
@@ -49,9 +67,11 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_rules,
+        op2_toxicity,
         op3_best_fit_packing,
         op5_ngram_jaccard,
         op6_benchmark_decontamination,
+        op7_quality_classifier,
         op8_suffix_dedup,
         op9_license_scans,
         op10_token_files,
