@@ -10,6 +10,7 @@ from storelens.llm import (
     cotraining,
     decontamination,
     licenses,
+    main_text,
     ngram_join,
     packing,
     quality,
@@ -35,6 +36,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(read_table(spark, sf_dir, "documents")))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.digest(main_text.extract(read_table(spark, sf_dir, "pages"), ["page_id", "url"]))
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.digest(ngram_join.similar_documents(read_table(spark, sf_dir, "documents")))
 
@@ -69,6 +74,7 @@ QUERIES: dict[str, Query] = {
         op1_quality_rules,
         op2_toxicity,
         op3_best_fit_packing,
+        op4_html_extraction,
         op5_ngram_jaccard,
         op6_benchmark_decontamination,
         op7_quality_classifier,
