@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.llm.bytewords import ALNUM_WORDS, BASE, U64, Words, mix, word_hashes, words_of
-from storelens.llm.frames import TEXT, field, map_texts, text_column
+from storelens.llm.frames import TEXT, field, map_texts, numbered, text_column
 
 WINDOW = 13
 BLOCK_BYTES = 4 << 20  # benchmark text searched for in one pass over the documents
@@ -242,3 +242,11 @@ def digest(found: DataFrame) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         contaminated(F.col("n_words"), n_hit).alias("contaminated"),
     )
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", **options) -> DataFrame:
+    """The documents that are not contaminated, with the columns of `docs`."""
+    rows, names = numbered(docs)
+    found = find_contamination(rows, benchmark, rows.columns, text=names[text], **options)
+    clean = ~contaminated(F.col("n_words"), hit_words(F.col("hits")))
+    return found.where(clean).select(*rows.columns).toDF(*docs.columns)

@@ -79,3 +79,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The rows with columns named by place, and those names: no added column can clash with one."""
+    names = [f"__{k}" for k in range(len(df.columns))]
+    return df.toDF(*names), dict(zip(df.columns, names))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from storelens.llm import prefix_tree
 from storelens.llm.bytewords import SPACE_WORDS, U64, mix, ngram_hashes, word_hashes, words_of
-from storelens.llm.frames import TEXT, field, map_texts, stored, text_column
+from storelens.llm.frames import TEXT, field, map_texts, numbered, stored, text_column
 from storelens.llm.graphs import components
 
 WORDS = 4
@@ -326,15 +326,17 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **o
 
     Of rows with equal id and text one stays; of equal ids with similar texts the smallest hash.
     """
-    found = similar_documents(docs.select(doc_id, text), text=text, doc_id=doc_id, **options)
+    rows, names = numbered(docs)
+    own, body = names[doc_id], text_column(rows, names[text])
+    found = similar_documents(rows.select(own, names[text]), text=names[text], doc_id=own, **options)
     known = F.struct(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("_hash"))
     firsts = found.where("n_shingles > 0").groupBy("component_id").agg(
         F.min(F.struct(F.col("doc_id").isNull(), known.alias("known"))).alias("first")
     )
     picks = firsts.select("first.known._id", "first.known._hash")
-    body = F.coalesce(text_column(docs, text), F.lit(""))
-    worded = docs.where(body.rlike(HAS_WORD))
-    rows = worded.withColumns({"_id": F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(0)), "_hash": F.xxhash64(text_column(docs, text))})
-    kept = rows.join(picks, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"])
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return kept.select(*columns).union(docs.where(~body.rlike(HAS_WORD)).select(*columns))
+    has_word = F.coalesce(body, F.lit("")).rlike(HAS_WORD)
+    worded = rows.where(has_word).withColumns(
+        {"_id": F.coalesce(F.col(own).cast("bigint"), F.lit(0)), "_hash": F.xxhash64(body)}
+    )
+    kept = worded.join(picks, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"])
+    return kept.select(*rows.columns).union(rows.where(~has_word)).toDF(*docs.columns)

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.frames import stored, text_column
+from storelens.llm.frames import numbered, stored, text_column
 
 SAMPLE_ROWS = 1000  # expected size of the sample that orders the rules
 WINDOW = 8
@@ -188,10 +188,12 @@ def _below(names: Sequence[str]) -> list[str]:
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents that no rule rejects, with the columns of `docs`."""
-    judged = cascade(docs, order_rules(docs, text=text), text)
-    # the partition id keeps Spark from moving the filter below the measures, which would repeat them
+    rows, names = numbered(docs)
+    judged = cascade(rows, order_rules(rows, text=names[text]), names[text])
+    # a column that differs by partition keeps Spark from moving the filter below the measures, which
+    # would write them out again inside it
     judged = judged.withColumn(f"{PREFIX}_part", F.spark_partition_id())
-    return judged.filter("kept").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return judged.filter(F.col("kept") & (_column("_part") >= 0)).select(*rows.columns).toDF(*docs.columns)
 
 
 def digest(docs: DataFrame) -> DataFrame:

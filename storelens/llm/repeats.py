@@ -17,20 +17,19 @@ the hash of what all strings with such distances contain.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.llm.bytewords import U64, pieces, range_hashes
-from storelens.llm.frames import TEXT, field, map_texts, stored, text_column
+from storelens.llm.frames import TEXT, field, numbered, stored, text_column
 from storelens.llm.phrases import LENGTH, TRIGGER, parse, repeated
 
 HOT_PHRASES = 4000  # distinct phrases of one trigger that a task compares; beyond it they are split
 SPLIT = 40  # distances from the trigger that a part of a split trigger covers
 PHRASES_A_BUCKET = 2000
+ADDED = ("n_bytes", "n_removed", "n_spans", "kept", "kept_text")
 PARSE = "ref bigint, first bigint, count int, at int, trigger bigint, content bigint"
 PARSE_ARROW = pa.schema([
     ("ref", pa.int64()), ("first", pa.int64()), ("count", pa.int32()), ("at", pa.int32()),
@@ -173,8 +172,9 @@ def _cut(text: bytes, spans: list[dict] | None) -> tuple[bytes, int]:
 
 
 def remove_repeats(docs: DataFrame, keep: list[str], *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The columns `keep` of every document with n_bytes, n_removed, n_spans and kept, its other bytes.
+    """The columns `keep` of every document with n_bytes, n_removed, n_spans and what is kept.
 
+    `kept` are the other bytes, `kept_text` their whole characters where something was removed.
     Texts are UTF-8 bytes, null is empty. Strings are judged on the input; matches never cross
     documents, and overlapping occurrences in one text count. Texts of less than 400 bytes lose
     nothing. Repeated rows and ids are documents of their own; no rows, no rows. Columns in `keep`
@@ -182,11 +182,11 @@ def remove_repeats(docs: DataFrame, keep: list[str], *, text: str = "text", doc_
     """
     rows = _with_ref(docs, text, doc_id)
     spans = repeated_spans(rows)
-    carried = [c for c in keep if c not in ("n_bytes", "n_removed", "n_spans", "kept")]
+    carried = [c for c in keep if c not in ADDED]
     joined = rows.select("_ref", TEXT, *(F.col(f"`{c}`") for c in carried)).join(
         spans.withColumnRenamed("ref", "_ref"), "_ref", "left"
     )
-    fields = [field("n_bytes", "bigint"), field("n_removed", "bigint"), field("n_spans", "bigint"), field("kept", "binary")]
+    fields = [field("n_bytes", "bigint"), field("n_removed", "bigint"), field("n_spans", "bigint"), field("kept", "binary"), field("kept_text", "string")]
     source = joined.select(*(F.col(f"`{c}`") for c in carried), TEXT, "spans")
     return _with_spans(source, carried, fields)
 
@@ -206,6 +206,7 @@ def _with_spans(source: DataFrame, carried: list[str], fields) -> DataFrame:
                     pa.array([n - len(k) for n, (k, _) in zip(sizes, cuts)], pa.int64()),
                     pa.array([r for _, r in cuts], pa.int64()),
                     pa.array([k for k, _ in cuts], pa.binary()),
+                    pa.array([k.decode("utf-8", "ignore") if r else None for k, r in cuts], pa.string()),
                 ]
                 arrays = [part.column(c) for c in carried] + made
                 yield pa.RecordBatch.from_arrays(arrays, names=[*carried, *(f.name for f in fields)])
@@ -222,19 +223,16 @@ def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
     Bytes of a character that a removed run cuts through are dropped with it.
     """
-    removed = remove_repeats(docs, docs.columns, text=text, doc_id=doc_id)
+    rows, names = numbered(docs)
+    removed = remove_repeats(rows, rows.columns, text=names[text], doc_id=names[doc_id])
     changed = F.col("n_removed") > 0
-    clean: Column = F.decode(F.col("kept"), F.lit("utf-8"))
+    clean: Column = F.col("kept_text")
     columns = []
-    for name in docs.columns:
-        column = F.col(f"`{name}`")
-        if name == text:
+    for name in rows.columns:
+        column = F.col(name)
+        if name == names[text]:
             column = F.when(changed, clean).otherwise(column)
-        elif name == n_chars:
-            column = F.when(changed, F.length(clean).cast(docs.schema[name].dataType)).otherwise(column)
+        elif name == names.get(n_chars):
+            column = F.when(changed, F.length(clean).cast(rows.schema[name].dataType)).otherwise(column)
         columns.append(column.alias(name))
-    return removed.select(*columns)
-
-
-def sha256(kept: bytes) -> str:
-    return hashlib.sha256(kept).hexdigest()
+    return removed.select(*columns).toDF(*docs.columns)
