@@ -13,6 +13,7 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -131,7 +132,7 @@ def cut(docs: DataFrame, text: str, doc_id: str, size: int, tokenizer: str, end_
     return rows.mapInArrow(run, PIECES)
 
 
-def pack(
+def pieces_of(
     docs: DataFrame,
     *,
     text: str = "text",
@@ -140,12 +141,12 @@ def pack(
     tokenizer: str | None = None,
     end_id: int = tokens.END_ID,
 ) -> DataFrame:
-    """Per piece: doc_id, piece, start, length, ids (packed), sequence_id, offset.
+    """The pieces of all documents, written once: doc_id, piece, start, length, ids (packed) and their numbers."""
+    return stored(cut(docs, text, doc_id, size, tokenizer or tokens.default_path(), end_id), "pieces")
 
-    Only documents of more than `size` ids are cut. A null or empty text is its end id alone; a
-    null or repeated doc_id is carried as it is, one document per row; no documents, no pieces.
-    """
-    cuts = stored(cut(docs, text, doc_id, size, tokenizer or tokens.default_path(), end_id), "pieces")
+
+def placed(cuts: DataFrame, size: int = SEQUENCE) -> DataFrame:
+    """The rows of `cuts`, in whatever columns besides length, task and number, with sequence_id and offset."""
     by_task = cuts.groupBy("length", "task").agg(F.max("number").alias("last"))
     # one row per task in a group: the tasks' shares of a length, one behind the other
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
@@ -156,20 +157,28 @@ def pack(
         for r in by_task.groupBy("length").agg(F.sum(F.col("last") + 1).alias("n")).collect()
     }
     found = places(plan(counts, size))
-    schema = "struct<sequence_id:bigint,offset:bigint>"
-
-    @F.pandas_udf(schema)
-    def place(length, number):
-        import pandas as pd
 
+    @F.pandas_udf("struct<sequence_id:bigint,offset:bigint>")
+    def place(length: pd.Series, number: pd.Series) -> pd.DataFrame:
         bins, offsets = found.find(length.to_numpy(), number.to_numpy())
         return pd.DataFrame({"sequence_id": bins, "offset": offsets})
 
     numbered = cuts.join(shares.select("length", "task", "before"), ["length", "task"])
     numbered = numbered.withColumn("place", place("length", F.col("before") + F.col("number")))
-    return numbered.select("doc_id", "piece", "start", "length", "ids", "place.sequence_id", "place.offset")
+    return numbered.select("*", "place.sequence_id", "place.offset").drop("task", "number", "before", "place")
+
+
+def pack(docs: DataFrame, *, size: int = SEQUENCE, **options) -> DataFrame:
+    """Per piece: doc_id, piece, start, length, ids (packed), sequence_id, offset.
+
+    Only documents of more than `size` ids are cut. A null or empty text is its end id alone; a
+    null or repeated doc_id is carried as it is, one document per row; no documents, no pieces.
+    """
+    packed = placed(pieces_of(docs, size=size, **options), size)
+    return packed.select("doc_id", "piece", "start", "length", "ids", "sequence_id", "offset")
 
 
-def digest(packed: DataFrame) -> DataFrame:
-    crc = F.crc32("ids").alias("ids_crc32")
-    return packed.select("doc_id", "piece", "start", "length", crc, "sequence_id", "offset")
+def digest(docs: DataFrame, **options) -> DataFrame:
+    """As `pack`, with the ids' checksum, taken before any row moves, in place of the ids."""
+    cuts = pieces_of(docs, **options).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return placed(cuts).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -33,7 +33,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.digest(packing.pack(read_table(spark, sf_dir, "documents")))
+    return packing.digest(read_table(spark, sf_dir, "documents"))
 
 
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
