@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
+from oracle import contract
 from oracle.tables import GOLD, MISSING, STAGING, calendar, sk, with_tables
-from storelens.functions import bands
-from storelens.operators.quality import NOT_NULL, RELATIONSHIPS, UNIQUE, Check
-from storelens.plans.suite import COMPOSITE_UNIQUE, SUITE, only
-from storelens.sources.schemas import PRODUCTION_TABLES, SALES_TABLES, TABLES, SourceTable
 
 REVENUE = "cast(sum(s.line_total) as decimal(28,2))"
 UNITS = "cast(sum(s.quantity) as bigint)"
@@ -54,13 +51,13 @@ def kpis_yoy() -> str:
     columns = []
     for k in KPIS:
         change = divide0(
-            f"cast(a.{k} as double) - cast(b.{k} as double)", f"b.{k}"
+            f"coalesce(cast(a.{k} as double), 0) - cast(b.{k} as double)", f"b.{k}"
         )
         columns.append(f"a.{k}, b.{k} py_{k}, {change} * 100 {k}_change_pct")
     return f"""
-select a.year_number, {', '.join(columns)}
+select coalesce(a.year_number, b.year_number + 1) year_number, {', '.join(columns)}
 from (select d.year_number, {kpi_columns()} from fct_sales s {DATE} group by 1) a
-left join (select d.year_number, {kpi_columns()} from fct_sales s {DATE} group by 1) b
+full join (select d.year_number, {kpi_columns()} from fct_sales s {DATE} group by 1) b
   on b.year_number = a.year_number - 1"""
 
 
@@ -68,6 +65,34 @@ MONTHLY = f"""select d.year_number, d.month_number, {REVENUE} revenue
 from fct_sales s {DATE} group by 1, 2"""
 
 
+def revenue_yoy(where: str = "") -> str:
+    return f"""
+with m as ({MONTHLY}),
+t as (
+  select coalesce(a.year_number, b.year_number + 1) year_number,
+         coalesce(a.month_number, b.month_number) month_number, a.revenue, b.revenue py_revenue
+  from m a full join m b
+    on b.year_number = a.year_number - 1 and b.month_number = a.month_number
+)
+select *, {divide0('coalesce(revenue, 0) - py_revenue', 'py_revenue')} * 100 yoy_growth_pct
+from t {where}"""
+
+
+def years_ago(n: int) -> str:
+    return f"""
+select coalesce(a.year_number, b.year_number + {n}) year_number,
+       coalesce(a.month_number, b.month_number) month_number, a.revenue,
+       cast({n} as int) years_back, b.revenue earlier_revenue
+from ({MONTHLY}) a full join ({MONTHLY}) b
+  on b.year_number = a.year_number - {n} and b.month_number = a.month_number"""
+
+
+def trend(where: str) -> str:
+    return f"""
+select d.year_number, d.month_number, d.month_name, {REVENUE} monthly_revenue
+from fct_sales s {DATE} where {where} group by 1, 2, 3"""
+
+
 def share(by: str, join: str, name: str) -> str:
     total = "(select cast(sum(line_total) as decimal(28,2)) from fct_sales)"
     return f"""select '{by}' "by", {name} as name, {REVENUE} revenue,
@@ -76,8 +101,8 @@ from fct_sales s {join} group by {name}"""
 
 
 def band_case() -> str:
-    arms = " ".join(f"when s.line_total >= {floor} then '{b}'" for floor, b in bands.REVENUE_BANDS)
-    return f"case {arms} else '{bands.LOWEST_REVENUE_BAND}' end"
+    arms = " ".join(f"when s.line_total >= {floor} then '{b}'" for floor, b in contract.REVENUE_BANDS)
+    return f"case {arms} else '{contract.LOWEST_REVENUE_BAND}' end"
 
 
 SALES = {
@@ -109,17 +134,8 @@ select d.year_number, d.month_number, d.month_name, {REVENUE} revenue,
        count(distinct s.order_id) orders, {mean('s.discount')} avg_discount,
        {mean('s.discount')} * 100 avg_discount_pct
 from fct_sales s {DATE} group by 1, 2, 3""",
-    "revenue_yoy": f"""
-with m as ({MONTHLY})
-select a.year_number, a.month_number, a.revenue, b.revenue py_revenue,
-       {divide0('a.revenue - b.revenue', 'b.revenue')} * 100 yoy_growth_pct
-from m a left join m b on b.year_number = a.year_number - 1 and b.month_number = a.month_number""",
-    "revenue_n_years_ago": f"""
-with m as ({MONTHLY})
-select a.year_number, a.month_number, a.revenue, cast(n.n as int) years_back,
-       b.revenue earlier_revenue
-from m a cross join (select unnest([1, 2, 3]) n) n
-left join m b on b.year_number = a.year_number - n.n and b.month_number = a.month_number""",
+    "revenue_yoy": revenue_yoy(),
+    "revenue_n_years_ago": "\nunion all\n".join(f"({years_ago(n)})" for n in (1, 2, 3)),
     "kpis_yoy": kpis_yoy(),
     "revenue_share": "\nunion all\n".join(
         [
@@ -300,9 +316,10 @@ with m as (
   select d.year_number, d.month_number, {mean('s.discount')} * 100 pct
   from fct_sales s {DATE} group by 1, 2
 )
-select a.year_number, a.month_number, a.pct avg_discount_pct, b.pct py_avg_discount_pct,
-       a.pct - b.pct change_pp
-from m a left join m b on b.year_number = a.year_number - 1 and b.month_number = a.month_number""",
+select coalesce(a.year_number, b.year_number + 1) year_number,
+       coalesce(a.month_number, b.month_number) month_number, a.pct avg_discount_pct,
+       b.pct py_avg_discount_pct, a.pct - b.pct change_pp
+from m a full join m b on b.year_number = a.year_number - 1 and b.month_number = a.month_number""",
     "staff_level": """
 select staff_id, full_name, case when manager_id is null then 'Manager' else 'Staff' end staff_level
 from dim_staff""",
@@ -330,26 +347,57 @@ group by 1, 2, 3""",
 select st.store_name, {UNITS} units from fct_inventory_history s {STORE}
 where s.snapshot_date = date '2001-07-01' group by 1""",
     "filter_threshold": low_stock_alerts(12),
+    "filter_date_range": trend(
+        "d.date_day between date '1996-03-15' and date '1997-02-10'"
+    ),
+    "filter_since": trend("d.date_day >= date '1998-02-01'"),
+    "filter_until": trend("d.date_day <= date '1995-06-30'"),
+    "filter_quarter": trend("d.quarter_number = 2"),
+    "filter_first_load": sales_kpis("where d.year_number = 1997", DATE),
+    "filter_year_yoy": revenue_yoy("where year_number in (1995, 1997)"),
+    "filter_brand_share": f"""
+with all_brands as (
+  select p.brand_name, {REVENUE} brand_revenue, {UNITS} units_sold, {ORDERS} order_count
+  from fct_sales s {PRODUCT} group by 1
+)
+select *, dense_rank() over (order by brand_revenue desc) revenue_rank,
+       {divide0('brand_revenue', '(select sum(brand_revenue) from all_brands)')} * 100 share_pct
+from all_brands where brand_name in ('Brand#11', 'Brand#23')""",
+    "filter_category_share": f"""
+with all_categories as (
+  select p.category_name, {REVENUE} category_revenue from fct_sales s {PRODUCT} group by 1
+)
+select *, {percent('category_revenue', '(select sum(category_revenue) from all_categories)')}
+       revenue_pct
+from all_categories where category_name in ('STANDARD', 'PROMO')""",
+    "filter_brand_inventory": f"""
+with all_brands as (
+  select p.brand_name, {VALUE} brand_inventory_value from fct_inventory s {PRODUCT} group by 1
+)
+select *, {percent('brand_inventory_value', '(select sum(brand_inventory_value) from all_brands)')}
+       pct
+from all_brands where brand_name = 'Brand#11'""",
 }
 
 
-def cast_columns(table: SourceTable, source: str) -> str:
-    columns = ", ".join(f"cast({name} as {kind}) {name}" for name, kind in table.columns)
-    return f"select {columns} from {source}"
+def cast_columns(schema: str, table: str) -> str:
+    columns = contract.SOURCES[schema][table]
+    return f"select {', '.join(f'cast({n} as {k}) {n}' for n, k in columns)} from src_{table}"
 
 
-def landed(table: SourceTable) -> str:
+def landed(table: str) -> str:
     """What one load lands: stocks as they are on the newest date."""
-    where = " where ingestion_date = date '2001-07-03'" if table.name == "stocks" else ""
-    return f"src_{table.name}{where}"
+    where = " where ingestion_date = date '2001-07-03'" if table == "stocks" else ""
+    return f"src_{table}{where}"
 
 
-def manifest(tables: list[SourceTable]) -> str:
+def manifest(*schemas: str) -> str:
     return "\nunion all\n".join(
-        f"""select 'supabase' source, '{t.schema}' "schema", '{t.name}' "table",
+        f"""select 'supabase' source, '{schema}' "schema", '{table}' "table",
        date '2001-07-03' ingestion_date, 'full_load' ingestion_strategy, count(*) row_count
-from {landed(t)}"""
-        for t in tables
+from {landed(table)}"""
+        for schema in schemas
+        for table in contract.SOURCES[schema]
     )
 
 
@@ -361,14 +409,16 @@ def model_counts() -> str:
 
 
 INGEST = {
-    "jdbc_full_load": cast_columns(TABLES["orders"], "src_orders"),
+    "jdbc_full_load": cast_columns("sales", "orders"),
     "source_catalog": "\nunion all\n".join(
-        f"select '{t.schema}' table_schema, '{t.name}' table_name" for t in TABLES.values()
+        f"select '{s}' table_schema, '{t}' table_name, count(*) row_count from {landed(t)}"
+        for s in contract.SOURCES
+        for t in contract.SOURCES[s]
     ),
-    "ingest_sales": manifest(SALES_TABLES),
-    "ingest_production": manifest(PRODUCTION_TABLES),
-    "ingest_manifest": manifest([*SALES_TABLES, *PRODUCTION_TABLES]),
-    "raw_snapshot_write": cast_columns(TABLES["customers"], "src_customers"),
+    "ingest_sales": manifest("sales"),
+    "ingest_production": manifest("production"),
+    "ingest_manifest": manifest("sales", "production"),
+    "raw_snapshot_write": cast_columns("sales", "customers"),
     "raw_scan": "select store_id, product_id, quantity, ingestion_date from src_stocks",
     "model_write": "select * from fct_sales",
     "build_warehouse": model_counts(),
@@ -400,36 +450,52 @@ select 'dim_date', count(*), count(case when dim_date_sk = {MISSING} then 1 end)
 }
 
 
-def check_sql(check: Check) -> str:
-    c, model = check.column, check.model
-    if check.test == UNIQUE:
-        failing = f"""select count(*) from (select {c} from {model} where {c} is not null
-       group by {c} having count(*) > 1) t"""
-    elif check.test == NOT_NULL:
-        failing = f"select count(*) from {model} where {c} is null"
-    elif check.test == RELATIONSHIPS:
-        failing = f"""select count(*) from {model} where {c} is not null
-       and not exists (select 1 from {check.parent} p where p.{c} = {model}.{c})"""
-    else:
-        listed = ", ".join(map(str, check.values))
-        failing = f"select count(distinct {c}) from {model} where {c} not in ({listed})"
-    return f"""select '{model}' model, '{c}' column_name, '{check.test}' test,
+def check_sql(model: str, column: str, test: str, failing: str) -> str:
+    return f"""select '{model}' model, '{column}' column_name, '{test}' test,
        ({failing}) failing_rows"""
 
 
-def checks_sql(checks: list[Check]) -> str:
-    rows = "\nunion all\n".join(check_sql(c) for c in checks)
+def unique(columns: dict[str, tuple[str, ...]]) -> list[str]:
+    return [
+        check_sql(m, c, "unique", f"""select count(*) from (select {c} from {m}
+       where {c} is not null group by {c} having count(*) > 1) t""")
+        for m, names in columns.items()
+        for c in names
+    ]
+
+
+NOT_NULL = [
+    check_sql(m, c, "not_null", f"select count(*) from {m} where {c} is null")
+    for m, names in contract.FILLED.items()
+    for c in names
+]
+ACCEPTED = [
+    check_sql(m, "order_status", "accepted_values", f"""select count(distinct order_status)
+       from {m} where order_status not in ({', '.join(map(str, contract.STATUS_VALUES))})""")
+    for m in contract.STATUS_MODELS
+]
+RELATIONSHIPS = [
+    check_sql(fact, f"{dim}_sk", "relationships", f"""select count(*) from {fact}
+       where {dim}_sk is not null
+       and not exists (select 1 from {dim} p where p.{dim}_sk = {fact}.{dim}_sk)""")
+    for fact, dims in contract.PARENTS.items()
+    for dim in dims
+]
+
+
+def checks_sql(checks: list[str]) -> str:
+    rows = "\nunion all\n".join(checks)
     return f"""
 select *, case when failing_rows = 0 then 'pass' else 'fail' end status from ({rows}) t"""
 
 
 QUALITY = {
-    "dq_unique": checks_sql(only("unique")),
-    "dq_not_null": checks_sql(only("not_null")),
-    "dq_accepted_values": checks_sql(only("accepted_values")),
-    "dq_relationships": checks_sql(only("relationships")),
-    "dq_suite": checks_sql(SUITE),
-    "dq_composite_unique": checks_sql(COMPOSITE_UNIQUE),
+    "dq_unique": checks_sql(unique(contract.UNIQUE)),
+    "dq_not_null": checks_sql(NOT_NULL),
+    "dq_accepted_values": checks_sql(ACCEPTED),
+    "dq_relationships": checks_sql(RELATIONSHIPS),
+    "dq_suite": checks_sql([*unique(contract.UNIQUE), *NOT_NULL, *ACCEPTED, *RELATIONSHIPS]),
+    "dq_composite_unique": checks_sql(unique(contract.COMPOSITE_UNIQUE)),
 }
 
 MODELS = {name: f"select * from {name}" for name in [*STAGING, *GOLD]}

@@ -35,9 +35,9 @@ def latest_run(df: DataFrame, manifest: DataFrame, table: SourceTable) -> DataFr
     )
 
 
-def last_run_per_date(df: DataFrame, manifest: DataFrame, table: SourceTable) -> DataFrame:
-    """Every snapshot date, each with only the load that ran last on it."""
-    runs = (
+def runs_per_date(manifest: DataFrame, table: SourceTable) -> DataFrame:
+    """The load that ran last on each date: ingestion_date, run_id."""
+    return (
         manifest.where(
             (F.col("source") == SOURCE_NAME)
             & (F.col("schema") == table.schema)
@@ -46,4 +46,8 @@ def last_run_per_date(df: DataFrame, manifest: DataFrame, table: SourceTable) ->
         .groupBy("ingestion_date")
         .agg(F.max_by("run_id", F.struct("loaded_at", "run_id")).alias("run_id"))
     )
-    return df.join(runs, ["ingestion_date", "run_id"], "left_semi")
+
+
+def last_run_per_date(df: DataFrame, manifest: DataFrame, table: SourceTable) -> DataFrame:
+    """Every snapshot date, each with only the load that ran last on it."""
+    return df.join(runs_per_date(manifest, table), ["ingestion_date", "run_id"], "left_semi")

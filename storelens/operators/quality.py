@@ -58,7 +58,7 @@ def _counts(df: DataFrame, checks: list[Check]) -> DataFrame:
 
 
 def _key_checks(ref: Ref, checks: list[Check]) -> DataFrame:
-    """All unique and relationships checks in one grouping on (check, key).
+    """Unique or relationships checks in one grouping on (check, key).
 
     Each model is scanned once, for the checked columns and for those that are parents of others.
     Rows are counted per key where they are read, so a key that fills a third of a fact is one
@@ -107,8 +107,10 @@ def run_checks(ref: Ref, checks: Iterable[Check]) -> DataFrame:
         _counts(ref(model), list(group))
         for model, group in groupby(counted, key=lambda c: c.model)
     ]
-    if keyed:
-        parts.append(_key_checks(ref, keyed))
+    # unique keys stay as many as the rows; apart from them, foreign keys shrink where they are read
+    for test in (UNIQUE, RELATIONSHIPS):
+        if of_test := [c for c in keyed if c.test == test]:
+            parts.append(_key_checks(ref, of_test))
     status = F.when(F.col("failing_rows") == 0, "pass").otherwise("fail")
     return reduce(DataFrame.unionByName, parts).withColumn("status", status)
 

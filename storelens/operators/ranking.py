@@ -2,59 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from storelens.session import shared_dir
+# Buckets a doubling of the value is cut into. Values up to 1e28 then fall into 190,000 buckets at
+# most, and a bucket holds values that differ by less than a thousandth.
+BUCKETS_A_DOUBLING = 1024
 
-# Up to this many groups one sort in one task is cheaper than the extra passes.
-ONE_TASK_ROWS = 200_000
-# monotonically_increasing_id: partition number above, row number below this bit.
-_ROW_BITS = 33
 
+def _bucket(value: Column) -> Column:
+    """A number that never falls as the value rises."""
+    size = F.floor(F.log2(F.abs(value.cast("double")) + 1) * BUCKETS_A_DOUBLING)
+    return F.when(value < 0, -size).otherwise(size)
 
-def dense_rank_desc(
-    groups: DataFrame, value: str, out: str, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
-    """Dense rank of `value`, largest first, over all rows of an aggregated frame.
-
-    The groups are cut off from their plan first (a checkpoint in the shared folder), so the fact
-    is aggregated once and the count that picks the way costs nothing. Few groups are ranked by a
-    plain window. Many are ranked by `distributed_dense_rank`; both give the same numbers.
-    """
-    shared_dir(groups.sparkSession)
-    groups = groups.checkpoint()
-    if groups.count() <= one_task_rows:
-        rank = F.dense_rank().over(Window.orderBy(F.col(value).desc_nulls_last()))
-        return groups.withColumn(out, rank.cast("bigint"))
-    return distributed_dense_rank(groups, value, out)
 
+def dense_rank_desc(groups: DataFrame, value: str, out: str) -> DataFrame:
+    """Dense rank of `value`, largest first, NULL last, over all rows of an aggregated frame.
 
-def distributed_dense_rank(groups: DataFrame, value: str, out: str) -> DataFrame:
-    """Range-sort the distinct values, number them per partition, add the sizes of the
-    partitions before. Only one row per partition meets in one task."""
+    Distinct values are counted per bucket and ranked within it; only the buckets' counts, bounded
+    by the type, meet in one task. A value that very many rows share is one row until the ranks
+    are joined back, where the adaptive skew join splits it.
+    """
     largest_first = F.col(value).desc_nulls_last()
-    placed = (
-        groups.select(value)
-        .distinct()
-        .repartitionByRange(largest_first)
-        .sortWithinPartitions(largest_first)
-        .withColumn("_at", F.monotonically_increasing_id())
-        .checkpoint()
-        .select(
-            value,
-            F.shiftright("_at", _ROW_BITS).alias("_part"),
-            F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("_row"),
-        )
+    values = groups.select(value).distinct().withColumn("_bucket", _bucket(F.col(value)))
+    earlier = Window.orderBy(F.col("_bucket").desc_nulls_last()).rowsBetween(
+        Window.unboundedPreceding, -1
     )
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy("_part")
+    before = (
+        values.groupBy("_bucket")
         .agg(F.count(F.lit(1)).alias("_size"))
-        .select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+        .select(
+            F.col("_bucket").alias("_of"), F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")
+        )
     )
-    ranks = placed.join(F.broadcast(offsets), "_part").select(
-        F.col(value).alias("_value"), (F.col("_before") + F.col("_row") + 1).alias(out)
+    inside = F.dense_rank().over(Window.partitionBy("_bucket").orderBy(largest_first))
+    ranks = (
+        values.withColumn("_inside", inside)
+        .join(before, F.col("_bucket").eqNullSafe(F.col("_of")))
+        .select(F.col(value).alias("_value"), (F.col("_before") + F.col("_inside")).alias(out))
     )
     joined = groups.join(ranks, F.col(value).eqNullSafe(F.col("_value")))
     return joined.select(*groups.columns, out)

@@ -86,22 +86,31 @@ class Filters:
         if not self.has_period:
             return fact
         fact = fact.where(at("order_date"))
-        bounds = self._month_bounds(max(years_back, default=0))
-        if "order_month" in fact.columns and bounds:
-            fact = fact.where(F.col("order_month").between(*bounds))
+        months = self._months(years_back)
+        if "order_month" in fact.columns and months is not None:
+            fact = fact.where(months)
         return fact
 
-    def _month_bounds(self, years_back: int) -> tuple[Column, Column] | None:
-        """First and last month the period can touch, to skip folders of a stored fact."""
+    def _months(self, years_back: tuple[int, ...]) -> Column | None:
+        """The months that the period and those it is compared with can touch, to skip folders of
+        a stored fact."""
+        month, parts = F.col("order_month"), []
         if self.years:
-            first = dt.date(min(self.years) - years_back, 1, 1)
-            last = dt.date(max(self.years), 12, 1)
-        elif self.start and self.end:
-            first = dt.date(self.start.year - years_back, self.start.month, 1)
-            last = self.end.replace(day=1)
-        else:
-            return None
-        return F.lit(first), F.lit(last)
+            years = {year - n for year in self.years for n in (0, *years_back)}
+            ranges = [
+                month.between(F.lit(first), F.lit(last.replace(day=1)))
+                for year in sorted(years)
+                for first, last in self._ranges(year)
+            ]
+            parts.append(reduce(Column.__or__, ranges))
+        elif self.quarters:
+            parts.append(F.quarter(month).isin(*self.quarters))
+        if self.start:
+            earliest = dt.date(self.start.year - max(years_back, default=0), self.start.month, 1)
+            parts.append(month >= F.lit(earliest))
+        if self.end:
+            parts.append(month <= F.lit(self.end.replace(day=1)))
+        return reduce(Column.__and__, parts) if parts else None
 
     def _stores(self, star: Star) -> DataFrame:
         return star("dim_store").where(F.col("store_name").isin(*self.stores))

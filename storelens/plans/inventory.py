@@ -100,14 +100,16 @@ def units_by_category(star: Star, filters: Filters = ALL) -> DataFrame:
 
 
 def inventory_value_by_brand(star: Star, filters: Filters = ALL) -> DataFrame:
+    """Shares are of all brands, whichever are chosen."""
     value = "brand_inventory_value"
     groups = _by_attribute(
-        filters.inventory(star), star("dim_product"), "dim_product_sk", "brand_name",
-        "value", value,
-    )
-    return groups.withColumn("pct", percent(F.col(value), total_of(groups, value))).orderBy(
-        F.desc(value), "brand_name"
+        replace(filters, brands=()).inventory(star), star("dim_product"), "dim_product_sk",
+        "brand_name", "value", value,
     )
+    shares = groups.withColumn("pct", percent(F.col(value), total_of(groups, value)))
+    if filters.brands:
+        shares = shares.where(F.col("brand_name").isin(*filters.brands))
+    return shares.orderBy(F.desc(value), "brand_name")
 
 
 def low_stock_alerts(star: Star, filters: Filters = ALL) -> DataFrame:

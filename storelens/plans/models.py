@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from storelens.operators import dimensions, facts
 from storelens.operators.loads import last_run_per_date, latest_full_load, latest_run
 from storelens.operators.staging import STAGING
+from storelens.plans import model_schemas
 from storelens.sources import raw
 from storelens.sources.schemas import TABLES
 
@@ -146,4 +147,4 @@ class StoredStar(Star):
     def _build(self, name: str) -> DataFrame:
         if name in NOT_STORED:
             return self.compute(name)
-        return self.spark.read.parquet(model_path(self.root, name))
+        return self.spark.read.schema(model_schemas.ddl(name)).parquet(model_path(self.root, name))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,8 +58,9 @@ def top_staff(star: Star, filters: Filters = ALL) -> DataFrame:
 
 
 def revenue_by_brand(star: Star, filters: Filters = ALL) -> DataFrame:
+    """Shares are of all brands, ranks among the chosen ones."""
     brands = (
-        _with_product(filters.sales(star), star, "brand_name")
+        _with_product(replace(filters, brands=()).sales(star), star, "brand_name")
         .groupBy("brand_name")
         .agg(
             money_sum("line_total").alias("brand_revenue"),
@@ -65,9 +68,11 @@ def revenue_by_brand(star: Star, filters: Filters = ALL) -> DataFrame:
             F.countDistinct("order_id").alias("order_count"),
         )
     )
-    ranked = dense_rank_desc(brands, "brand_revenue", "revenue_rank")
-    total = ranked.agg(F.sum("brand_revenue")).scalar()
+    total = total_of(brands, "brand_revenue")
     share = divide0(F.col("brand_revenue"), total) * 100
+    if filters.brands:
+        brands = brands.where(F.col("brand_name").isin(*filters.brands))
+    ranked = dense_rank_desc(brands, "brand_revenue", "revenue_rank")
     return ranked.withColumn("share_pct", share).orderBy(F.desc("brand_revenue"), "brand_name")
 
 
@@ -96,11 +101,16 @@ def revenue_by_model_year_group(star: Star, filters: Filters = ALL) -> DataFrame
 
 
 def category_revenue_share(star: Star, filters: Filters = ALL) -> DataFrame:
+    """Shares are of all categories, whichever are chosen."""
     groups = revenue_by(
-        filters.sales(star), star("dim_product"), "dim_product_sk", ["category_name"]
+        replace(filters, categories=()).sales(star),
+        star("dim_product"), "dim_product_sk", ["category_name"],
     ).withColumnRenamed("revenue", "category_revenue")
     share = percent(F.col("category_revenue"), total_of(groups, "category_revenue"))
-    return groups.withColumn("revenue_pct", share).orderBy(
+    shares = groups.withColumn("revenue_pct", share)
+    if filters.categories:
+        shares = shares.where(F.col("category_name").isin(*filters.categories))
+    return shares.orderBy(
         F.desc("category_revenue"), "category_name"
     )
 
@@ -212,13 +222,8 @@ def discount_yoy(star: Star, filters: Filters = ALL) -> DataFrame:
     ]
     now, before = [mean(sum_back("discount", n), sum_back("lines", n)) * 100 for n in (0, 1)]
     return (
-        compared(days, filters, (1,), *keys)
-        .agg(
-            F.min("years_back").alias("_nearest"),
-            now.alias("avg_discount_pct"),
-            before.alias("py_avg_discount_pct"),
-        )
-        .where(F.col("_nearest") == 0)
+        compared(star, days, filters, (1,), *keys)
+        .agg(now.alias("avg_discount_pct"), before.alias("py_avg_discount_pct"))
         .select(
             "year_number",
             "month_number",

@@ -104,7 +104,11 @@ def source_catalog(sources: DriverTables) -> DataFrame:
     root = scratch_path(sources.spark, "catalog")
     tables = [*SALES_TABLES, *PRODUCTION_TABLES]
     ingest(lambda table: sources.latest(table.name), tables, root)
-    return base_tables(landed_catalog(sources.spark, root))
+    listed = base_tables(landed_catalog(sources.spark, root))
+    landed = raw.read_manifest(sources.spark, root).select(
+        F.col("schema").alias("table_schema"), F.col("table").alias("table_name"), "row_count"
+    )
+    return listed.join(landed, ["table_schema", "table_name"])
 
 
 def model_write(star: Star) -> DataFrame:
@@ -163,7 +167,7 @@ def keys_of_customers(sources: DriverTables) -> DataFrame:
 
 
 def streamed_history(sources: DriverTables) -> DataFrame:
-    """Land the first snapshots, stream; land them all again, stream again; read the history."""
+    """Land the first snapshot, stream; land all and a further one, stream; empty that, stream."""
     spark = sources.spark
     root, target, state = (scratch_path(spark, f"stream-{s}") for s in ("raw", "out", "state"))
     products = STAGING["products"](sources.latest("products"))
@@ -171,6 +175,11 @@ def streamed_history(sources: DriverTables) -> DataFrame:
     raw.write_snapshot(first, root, STOCKS, raw.Load(DAYS[0], "early"))
     snapshot_stream(spark, root, products, target, state).awaitTermination()
     land_stocks(sources, root)
+    # a further day that is filled at first and empty when it is loaded again
+    later = DAYS[-1] + dt.timedelta(days=1)
+    raw.write_snapshot(first, root, STOCKS, raw.Load(later, "filled"))
+    snapshot_stream(spark, root, products, target, state).awaitTermination()
+    raw.write_snapshot(first.limit(0), root, STOCKS, raw.Load(later, "emptied"))
     snapshot_stream(spark, root, products, target, state).awaitTermination()
     return spark.read.parquet(target)
 
@@ -282,6 +291,26 @@ FILTERS: dict[str, Query] = {
     ),
     "filter_snapshot": on_star(inventory.units_by_store, Filters(snapshot=DAYS[0])),
     "filter_threshold": on_star(inventory.low_stock_alerts, Filters(threshold=12)),
+    "filter_date_range": on_star(
+        sales.revenue_trend_monthly,
+        Filters(start=dt.date(1996, 3, 15), end=dt.date(1997, 2, 10)),
+    ),
+    "filter_since": on_star(
+        sales.revenue_trend_monthly, Filters(start=dt.date(1998, 2, 1))
+    ),
+    "filter_until": on_star(sales.revenue_trend_monthly, Filters(end=dt.date(1995, 6, 30))),
+    "filter_quarter": on_star(sales.revenue_trend_monthly, Filters(quarters=(2,))),
+    "filter_first_load": on_star(sales.sales_kpis, Filters.first_load(dt.date(1997, 5, 1))),
+    "filter_year_yoy": on_star(sales.revenue_yoy, Filters(years=(1995, 1997))),
+    "filter_brand_share": on_star(
+        performance.revenue_by_brand, Filters(brands=("Brand#11", "Brand#23"))
+    ),
+    "filter_category_share": on_star(
+        performance.category_revenue_share, Filters(categories=("STANDARD", "PROMO"))
+    ),
+    "filter_brand_inventory": on_star(
+        inventory.inventory_value_by_brand, Filters(brands=("Brand#11",))
+    ),
 }
 
 STREAM: dict[str, Query] = {"snapshot_stream": on_sources(streamed_history)}

@@ -181,10 +181,15 @@ def daily(star: Star, filters: Filters, years_back: tuple[int, ...], *sums: Colu
 
 
 def compared(
-    days: DataFrame, filters: Filters, years_back: tuple[int, ...], *keys: Column
+    star: Star, days: DataFrame, filters: Filters, years_back: tuple[int, ...], *keys: Column
 ) -> DataFrame:
-    """Daily rows under their own and their shifted dates, grouped for `sum_back`."""
+    """Daily rows under their own and their shifted dates, grouped for `sum_back`.
+
+    A period shows if it or the one it is compared with has rows, as long as it is in the
+    calendar: one that fell to nothing keeps its earlier value.
+    """
     shown = shown_on(days, "date_day", years_back)
+    shown = shown.where(F.col("shown_date") <= F.lit(star.spine[1]))
     period = filters.period(F.col("shown_date"))
     return (shown if period is None else shown.where(period)).groupBy(*keys)
 
@@ -197,18 +202,13 @@ def _month_keys() -> list[Column]:
 
 
 def _revenue_back(star: Star, filters: Filters, years_back: tuple[int, ...]) -> DataFrame:
-    """Months that have sales, with the revenue of the same month in earlier years."""
+    """Months with the revenue of the same month in earlier years; NULL where there is none."""
     days = daily(star, filters, years_back, money_sum("line_total").alias("revenue"))
-    return (
-        compared(days, filters, years_back, *_month_keys())
-        .agg(
-            F.min("years_back").alias("_nearest"),
-            *[
-                sum_back("revenue", n).cast(MONEY_SUM).alias(f"revenue_{n}")
-                for n in (0, *years_back)
-            ],
-        )
-        .where(F.col("_nearest") == 0)
+    return compared(star, days, filters, years_back, *_month_keys()).agg(
+        *[
+            sum_back("revenue", n).cast(MONEY_SUM).alias(f"revenue_{n}")
+            for n in (0, *years_back)
+        ],
     )
 
 
@@ -221,7 +221,7 @@ def revenue_yoy(star: Star, filters: Filters = ALL) -> DataFrame:
             "month_number",
             revenue.alias("revenue"),
             before.alias("py_revenue"),
-            (divide0(revenue - before, before) * 100).alias("yoy_growth_pct"),
+            (divide0(F.coalesce(revenue, F.lit(0)) - before, before) * 100).alias("yoy_growth_pct"),
         )
         .orderBy("year_number", "month_number")
     )
@@ -230,7 +230,7 @@ def revenue_yoy(star: Star, filters: Filters = ALL) -> DataFrame:
 def revenue_n_years_ago(
     star: Star, filters: Filters = ALL, offsets: tuple[int, ...] = OFFSETS
 ) -> DataFrame:
-    """One row per month and offset."""
+    """One row per month and offset with revenue in either of the two months."""
     rows = [
         F.struct(F.lit(n).alias("years_back"), F.col(f"revenue_{n}").alias("earlier_revenue"))
         for n in offsets
@@ -243,6 +243,7 @@ def revenue_n_years_ago(
             F.col("revenue_0").alias("revenue"),
             F.inline(F.array(*rows)),
         )
+        .where(F.col("revenue").isNotNull() | F.col("earlier_revenue").isNotNull())
         .orderBy("year_number", "month_number", "years_back")
     )
 
@@ -252,8 +253,7 @@ def kpis_yoy(star: Star, filters: Filters = ALL) -> DataFrame:
     orders = orders_of(filters.sales(star, (1,)), "dim_date_sk")
     days = with_date(orders.groupBy("dim_date_sk").agg(*_kpi_sums()), star, "date_day")
     sums = ["total_revenue", "total_orders", "units_sold", "shipped_orders"]
-    years = compared(days, filters, (1,), F.year("shown_date").alias("year_number")).agg(
-        F.min("years_back").alias("_nearest"),
+    years = compared(star, days, filters, (1,), F.year("shown_date").alias("year_number")).agg(
         *[
             sum_back(m, n).cast(days.schema[m].dataType).alias(f"{m}_{n}")
             for m in sums
@@ -275,11 +275,10 @@ def kpis_yoy(star: Star, filters: Filters = ALL) -> DataFrame:
         ]
     columns = ["year_number"]
     for m in KPIS:
-        change = divided(f"double({m}_0) - double({m}_1)", f"{m}_1")
+        change = divided(f"coalesce(double({m}_0), 0D) - double({m}_1)", f"{m}_1")
         columns += [f"{m}_0 as {m}", f"{m}_1 as py_{m}", f"{change} * 100 as {m}_change_pct"]
     return (
-        years.where("_nearest = 0")
-        .selectExpr("*", *ratios)
+        years.selectExpr("*", *ratios)
         .selectExpr(*columns)
         .orderBy("year_number")
     )
@@ -298,7 +297,9 @@ def revenue_share(star: Star, by: str, filters: Filters = ALL) -> DataFrame:
     products in the same period."""
     dim, name = SHARE_OF[by]
     key = f"{dim}_sk"
-    per_key = filters.sales(star).groupBy(key).agg(money_sum("line_total").alias("revenue"))
+    # the join below asks for this too; said here, the total has the same plan and shares its shuffle
+    sales = filters.sales(star).where(F.col(key).isNotNull())
+    per_key = sales.groupBy(key).agg(money_sum("line_total").alias("revenue"))
     if filters.without_entities() == filters:
         total = total_of(per_key, "revenue")
     else:

@@ -47,6 +47,33 @@ def shared_dir(spark: SparkSession) -> str:
     return (configured or context.getCheckpointDir()).rstrip("/")
 
 
+def _folder(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(context._jsc.hadoopConfiguration()), folder
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    store, folder = _folder(spark, path)
+    return store.exists(folder)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared store, if it is there, through Spark's own file systems."""
+    store, folder = _folder(spark, path)
+    store.delete(folder, True)
+
+
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/storelens/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/storelens/{label}-{uuid.uuid4().hex}"
+    """A new, unused path of this application below the shared folder."""
+    return f"{_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Deletes what this application has left below the shared folder. Call it when no frame that
+    reads it is needed any more, at the end of a job."""
+    remove_folder(spark, _scratch(spark))

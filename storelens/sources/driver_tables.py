@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from storelens.operators.loads import latest_full_load
 from storelens.sources.schemas import TABLES
@@ -17,8 +16,6 @@ SNAPSHOTS = 3
 PARTS_PER_PIECE = 10_000
 BRAND_ID = "cast(split_part(p_brand, '#', 2) as int) as brand_id"
 
-_found_schemas: dict[str, StructType] = {}
-
 
 class DriverTables:
     """Source tables below one folder of `*.parquet` inputs."""
@@ -37,12 +34,7 @@ class DriverTables:
         return TABLES[name].conform(getattr(self, name)(), *extra)
 
     def read(self, name: str) -> DataFrame:
-        path = f"{self.folder}/{name}.parquet"
-        if path in _found_schemas:
-            return self.spark.read.schema(_found_schemas[path]).parquet(path)
-        df = self.spark.read.parquet(path)
-        _found_schemas[path] = df.schema
-        return df
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def brands(self) -> DataFrame:
         brands = self.read("part").select("p_brand").distinct()

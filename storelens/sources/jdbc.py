@@ -13,6 +13,8 @@ from storelens.sources.schemas import SourceTable
 
 CONNECT_TIMEOUT_SECONDS = 30
 FETCH_SIZE = 10_000
+MOST_VALUES = {"stocks": "product_id"}
+CONNECTIONS = 32  # reads of one table under way at the same time
 SYSTEM_SCHEMAS = ("pg_catalog", "information_schema")
 
 
@@ -59,25 +61,39 @@ def read_query(spark: SparkSession, connection: Connection, query: str) -> DataF
     )
 
 
-def split_options(key: str, low: int, high: int, rows: int, rows_per_task: int) -> dict[str, str]:
-    """Range split of a numeric key into reads of about `rows_per_task` rows."""
+def split_options(
+    key: str, low: int, high: int, rows: int, rows_per_task: int, connections: int = CONNECTIONS
+) -> dict[str, str]:
+    """Range split of a numeric key into reads of about `rows_per_task` rows, in as many parts as
+    the database takes connections at most: each part is a connection."""
     return {
         "partitionColumn": key,
         "lowerBound": str(low),
         "upperBound": str(high + 1),
-        "numPartitions": str(max(1, -(-rows // rows_per_task))),
+        "numPartitions": str(max(1, min(connections, -(-rows // rows_per_task)))),
     }
 
 
+def split_column(table: SourceTable) -> str:
+    """The key column to split by, the one with the most values: products of stocks, whose rows of
+    one store may be a third of the table; the first key column of all others."""
+    return MOST_VALUES.get(table.name, table.key[0])
+
+
 def full_load(
     spark: SparkSession,
     connection: Connection,
     table: SourceTable,
     rows_per_task: int = 1_000_000,
+    connections: int = CONNECTIONS,
 ) -> DataFrame:
-    """The whole table. Executors each read a range of its first key column."""
+    """The whole table. Executors each read a range of a key column.
+
+    The ranges are read by connections of their own at moments of their own: a load is one
+    consistent snapshot only if the table does not change meanwhile, or on a replica that is held.
+    """
     quoted = f'"{table.schema}"."{table.name}"'
-    key = table.key[0]
+    key = split_column(table)
     extent = read_query(
         spark,
         connection,
@@ -86,7 +102,7 @@ def full_load(
     reader = spark.read.format("jdbc").options(**connection.options()).option("dbtable", quoted)
     if extent["total"]:
         split = split_options(
-            key, extent["low"], extent["high"], extent["total"], rows_per_task
+            key, extent["low"], extent["high"], extent["total"], rows_per_task, connections
         )
         reader = reader.options(**split)
     return table.conform(reader.load())

@@ -39,53 +39,125 @@ class SourceTable:
         return df.selectExpr(*declared, *extra)
 
 
-def _table(schema: str, name: str, key: str, ddl: str) -> SourceTable:
-    columns = tuple(tuple(part.strip().split(" ", 1)) for part in ddl.split(";"))
-    return SourceTable(schema, name, columns, tuple(key.split()))
-
-
-_ADDRESS = "street string; city string; state string; zip_code string"
-
+# The tables with their columns, types and keys.
 SALES_TABLES = [
-    _table(
-        "sales", "customers", "customer_id",
-        "customer_id bigint; first_name string; last_name string; email string; phone string; "
-        + _ADDRESS,
+    SourceTable(
+        schema="sales",
+        name="customers",
+        columns=(
+            ("customer_id", "bigint"),
+            ("first_name", "string"),
+            ("last_name", "string"),
+            ("email", "string"),
+            ("phone", "string"),
+            ("street", "string"),
+            ("city", "string"),
+            ("state", "string"),
+            ("zip_code", "string"),
+        ),
+        key=("customer_id",),
     ),
-    _table(
-        "sales", "order_items", "order_id item_id",
-        "order_id bigint; item_id int; product_id bigint; quantity int; "
-        "list_price decimal(10,2); discount decimal(4,2)",
+    SourceTable(
+        schema="sales",
+        name="order_items",
+        columns=(
+            ("order_id", "bigint"),
+            ("item_id", "int"),
+            ("product_id", "bigint"),
+            ("quantity", "int"),
+            ("list_price", "decimal(10,2)"),
+            ("discount", "decimal(4,2)"),
+        ),
+        key=("order_id", "item_id"),
     ),
-    _table(
-        "sales", "orders", "order_id",
-        "order_id bigint; customer_id bigint; order_status smallint; order_date date; "
-        "required_date date; shipped_date date; store_id int; staff_id bigint",
+    SourceTable(
+        schema="sales",
+        name="orders",
+        columns=(
+            ("order_id", "bigint"),
+            ("customer_id", "bigint"),
+            ("order_status", "smallint"),
+            ("order_date", "date"),
+            ("required_date", "date"),
+            ("shipped_date", "date"),
+            ("store_id", "int"),
+            ("staff_id", "bigint"),
+        ),
+        key=("order_id",),
     ),
-    _table(
-        "sales", "staffs", "staff_id",
-        "staff_id bigint; first_name string; last_name string; email string; phone string; "
-        "active smallint; store_id int; manager_id bigint",
+    SourceTable(
+        schema="sales",
+        name="staffs",
+        columns=(
+            ("staff_id", "bigint"),
+            ("first_name", "string"),
+            ("last_name", "string"),
+            ("email", "string"),
+            ("phone", "string"),
+            ("active", "smallint"),
+            ("store_id", "int"),
+            ("manager_id", "bigint"),
+        ),
+        key=("staff_id",),
     ),
-    _table(
-        "sales", "stores", "store_id",
-        "store_id int; store_name string; phone string; email string; " + _ADDRESS,
+    SourceTable(
+        schema="sales",
+        name="stores",
+        columns=(
+            ("store_id", "int"),
+            ("store_name", "string"),
+            ("phone", "string"),
+            ("email", "string"),
+            ("street", "string"),
+            ("city", "string"),
+            ("state", "string"),
+            ("zip_code", "string"),
+        ),
+        key=("store_id",),
     ),
 ]
 
 PRODUCTION_TABLES = [
-    _table("production", "brands", "brand_id", "brand_id int; brand_name string"),
-    _table(
-        "production", "categories", "category_id", "category_id int; category_name string"
+    SourceTable(
+        schema="production",
+        name="brands",
+        columns=(
+            ("brand_id", "int"),
+            ("brand_name", "string"),
+        ),
+        key=("brand_id",),
+    ),
+    SourceTable(
+        schema="production",
+        name="categories",
+        columns=(
+            ("category_id", "int"),
+            ("category_name", "string"),
+        ),
+        key=("category_id",),
     ),
-    _table(
-        "production", "products", "product_id",
-        "product_id bigint; product_name string; brand_id int; category_id int; "
-        "model_year smallint; list_price decimal(10,2)",
+    SourceTable(
+        schema="production",
+        name="products",
+        columns=(
+            ("product_id", "bigint"),
+            ("product_name", "string"),
+            ("brand_id", "int"),
+            ("category_id", "int"),
+            ("model_year", "smallint"),
+            ("list_price", "decimal(10,2)"),
+        ),
+        key=("product_id",),
     ),
-    _table(
-        "production", "stocks", "store_id product_id",
-        "store_id int; product_id bigint; quantity int",
+    SourceTable(
+        schema="production",
+        name="stocks",
+        columns=(
+            ("store_id", "int"),
+            ("product_id", "bigint"),
+            ("quantity", "int"),
+        ),
+        key=("store_id", "product_id"),
     ),
 ]
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from storelens.operators.facts import fct_inventory_history
 from storelens.operators.loads import last_run_per_date
 from storelens.operators.staging import stg_stocks
+from storelens.session import remove_folder
 from storelens.sources import raw
 from storelens.sources.schemas import TABLES
 
@@ -21,6 +22,8 @@ def update_history(
     in place of their folders only. Running it again gives the same folders."""
     landed = raw.scan(spark, root, STOCKS).where(F.col("ingestion_date").isin(*dates))
     stocks = last_run_per_date(landed, raw.read_manifest(spark, root), STOCKS)
+    # one row per date; a date whose last load is empty has no folder to overwrite, so it goes
+    filled = {r.ingestion_date for r in stocks.select("ingestion_date").distinct().collect()}
     (
         fct_inventory_history(stg_stocks(stocks), products, by_snapshot=True)
         .write.mode("overwrite")
@@ -28,6 +31,8 @@ def update_history(
         .partitionBy("snapshot_date")
         .parquet(target)
     )
+    for date in sorted(set(dates) - filled):
+        remove_folder(spark, f"{target}/snapshot_date={date.isoformat()}")
 
 
 def snapshot_stream(

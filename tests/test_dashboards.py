@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 
 from conftest import Shop, rows
-from storelens.operators.ranking import dense_rank_desc, distributed_dense_rank, top_with_ties
+from storelens.operators.ranking import dense_rank_desc, top_with_ties
 from storelens.plans import inventory, performance, sales
 from storelens.plans.filters import Filters
 from storelens.plans.models import Star
@@ -34,7 +34,8 @@ def test_leap_day_compares_with_february(star):
     assert got[2016, 2].py_revenue is None and got[2016, 2].yoy_growth_pct == 0.0
     assert got[2017, 2].py_revenue == Decimal("200.00")
     assert got[2017, 2].yoy_growth_pct == pytest.approx(-50.0)
-    assert set(got) == {(2016, 2), (2017, 2), (2018, 3)}
+    # the months with sales, and those a year after them
+    assert set(got) == {(2016, 2), (2017, 2), (2018, 2), (2018, 3), (2019, 3)}
 
 
 def test_period_filter_still_finds_the_year_before(star):
@@ -53,7 +54,8 @@ def test_offsets(star):
         for r in sales.revenue_n_years_ago(star).collect()
     }
     assert got[2017, 1] == Decimal("200.00") and got[2017, 2] is None
-    assert len(got) == 9
+    # a month and offset shows if either month has sales
+    assert len(got) == 15
 
 
 def test_tied_brands_are_multiple(spark, star):
@@ -160,22 +162,76 @@ def test_quarter_ranges():
     ]
 
 
-def test_both_ways_of_ranking_agree(spark):
+def test_ranking_has_no_gaps_and_puts_null_last(spark):
     groups = spark.range(3000).selectExpr(
         "id as name",
         "cast(case when id % 3 = 0 then 5 when id = 1 then null else id % 700 end "
         "as decimal(28,2)) as revenue",
     )
-    plain = dense_rank_desc(groups, "revenue", "place")
-    split = dense_rank_desc(groups, "revenue", "place", one_task_rows=10)
-    assert sorted(rows(plain), key=repr) == sorted(rows(split), key=repr)
-    assert split.schema == plain.schema
     values = sorted({r.revenue for r in groups.collect() if r.revenue is not None}, reverse=True)
-    got = dict(rows(distributed_dense_rank(groups, "revenue", "place"), "revenue", "place"))
+    ranked = dense_rank_desc(groups, "revenue", "place")
+    assert ranked.count() == 3000
+    got = dict(rows(ranked, "revenue", "place"))
     assert [got[v] for v in values] == list(range(1, len(values) + 1))
     assert got[None] == len(values) + 1
 
 
+def test_ranking_of_negative_and_close_values(spark):
+    values = [Decimal(v) for v in ("-5.01", "-5.00", "0.00", "0.01", "99999999999.99", "100000000000.00")]
+    groups = spark.createDataFrame([(v,) for v in values], "revenue decimal(28,2)")
+    got = dict(rows(dense_rank_desc(groups, "revenue", "place"), "revenue", "place"))
+    assert [got[v] for v in values] == [6, 5, 4, 3, 2, 1]
+
+
+def test_building_a_ranking_runs_no_job_and_leaves_no_file(spark):
+    import os
+
+    from storelens.session import shared_dir
+
+    before = sum(len(files) for _, _, files in os.walk(shared_dir(spark)))
+    groups = spark.range(10).selectExpr("id as revenue")
+    # a job would fail on this division
+    broken = groups.selectExpr("cast(assert_true(revenue < 5) as string) as a", "revenue")
+    dense_rank_desc(broken, "revenue", "place")
+    assert dense_rank_desc(groups, "revenue", "place").count() == 10
+    assert sum(len(files) for _, _, files in os.walk(shared_dir(spark))) == before
+
+
+def test_money_sums_past_the_range_of_integers(spark):
+    from storelens.functions.numbers import money_sum
+
+    largest = Decimal("9999999999999999.99")
+    frame = spark.createDataFrame([(largest,)] * 12, "line_total decimal(18,2)")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            assert frame.agg(money_sum("line_total")).first()[0] == largest * 12
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_shares_under_their_own_filter_are_of_everything(star):
+    def share(query, column, **filters):
+        return {r[0]: r[column] for r in query(star, Filters(**filters)).collect()}
+
+    whole = share(performance.revenue_by_brand, "share_pct")
+    assert share(performance.revenue_by_brand, "share_pct", brands=("Surly",)) == {"Surly": whole["Surly"]}
+    whole = share(performance.category_revenue_share, "revenue_pct")
+    assert share(performance.category_revenue_share, "revenue_pct", categories=("Kids",)) == {"Kids": whole["Kids"]}
+    whole = share(inventory.inventory_value_by_brand, "pct")
+    assert share(inventory.inventory_value_by_brand, "pct", brands=("Surly",)) == {"Surly": whole["Surly"]}
+
+
+def test_a_month_that_fell_to_nothing_keeps_its_earlier_value(star):
+    months = {(r.year_number, r.month_number): r for r in sales.revenue_yoy(star).collect()}
+    lost = months[2019, 3]  # March 2018 sold, March 2019 did not
+    assert lost.revenue is None and lost.py_revenue == months[2018, 3].revenue
+    assert lost.yoy_growth_pct == -100.0
+    years = {r.year_number: r for r in sales.kpis_yoy(star).collect()}
+    assert years[2019].total_revenue is None and years[2019].total_revenue_change_pct == -100.0
+
+
 def test_top_with_ties(spark):
     groups = spark.createDataFrame([("a", 3), ("b", 2), ("c", 2), ("d", 1)], "n string, v int")
     assert sorted(rows(top_with_ties(groups, "v", 2), "n")) == [("a",), ("b",), ("c",)]

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import DAY1, DAY2, Shop, rows
+from conftest import DAY1, DAY2, Shop, plan_of, rows
 from storelens.operators.loads import latest_full_load
 from storelens.operators.quality import ChecksFailed
 from storelens.operators.staging import stg_products
@@ -123,13 +123,113 @@ def test_period_filter_skips_folders(shop, root):
 
     stored = build_warehouse(shop, root, check=False)
     only = sales.revenue_yoy(stored, Filters(years=(2018,)))
-    assert [r.year_number for r in only.collect()] == [2018]
+    assert {r.year_number for r in only.collect()} == {2018}
     plan = only._jdf.queryExecution().executedPlan().toString()
     scan = next(line for line in plan.splitlines() if "FileScan" in line and "line_total" in line)
     assert "order_month" in scan.split("PartitionFilters: [")[1].split("]")[0]
     assert "PushedFilters: [" in scan
 
 
+@pytest.mark.parametrize(
+    "period",
+    [
+        {"years": (2016, 2018)},
+        {"quarters": (1,)},
+        {"start": dt.date(2017, 3, 1)},
+        {"end": dt.date(2017, 3, 1)},
+        {"start": dt.date(2016, 1, 1), "end": dt.date(2016, 12, 31)},
+    ],
+)
+def test_every_form_of_period_skips_folders(shop, root, period):
+    from storelens.plans import sales
+    from storelens.plans.filters import Filters
+
+    stored = build_warehouse(shop, root, check=False)
+    bands = sales.revenue_bands(stored, Filters(**period))
+    plan = bands._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "line_total" in line)
+    assert "order_month" in scan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    days = {row[3] for row in shop.rows["orders"]}
+    wanted = Filters(**period).period
+    frame = stored.spark.createDataFrame([(d,) for d in days], "d date")
+    assert (bands.count() > 0) == (frame.where(wanted(frame.d)).count() > 0)
+
+
+def test_shares_scan_the_fact_twice(spark, shop, root):
+    from storelens.plans.registry import all_shares
+
+    stored = build_warehouse(shop, root, check=False)
+    plan = plan_of(all_shares(stored))
+    scans = [x for x in plan.splitlines() if "FileScan" in x and "fct_sales" in x]
+    assert len(scans) <= 2, plan
+
+
+def test_second_build_rewrites_changed_dates_only(spark, root):
+    import os
+
+    shop = Shop(spark)
+    tables = [t for t in TABLES.values() if t.name != "stocks"]
+    ingest(lambda t: shop.latest(t.name), tables, root, raw.Load(DAY2, "x"))
+
+    def land(day, run_id, quantity):
+        frame = Shop(spark, stocks=[(1, 1, quantity, day)]).history("stocks")
+        raw.write_snapshot(frame, root, STOCKS, raw.Load(day, run_id))
+
+    def files():
+        folder = model_path(root, "fct_inventory_history")
+        return {
+            day: sorted(f for f in os.listdir(f"{folder}/{day}") if f.endswith(".parquet"))
+            for day in os.listdir(folder) if day.startswith("snapshot_date")
+        }
+
+    land(DAY1, "a", 4)
+    land(DAY2, "a", 5)
+    landed = LandedTables(spark, root)
+    build_warehouse(landed, root, check=False)
+    first = files()
+    build_warehouse(landed, root, check=False)
+    assert files() == first
+    land(DAY2, "b", 6)
+    stored = build_warehouse(landed, root, check=False)
+    second = files()
+    assert second[f"snapshot_date={DAY1}"] == first[f"snapshot_date={DAY1}"]
+    assert second[f"snapshot_date={DAY2}"] != first[f"snapshot_date={DAY2}"]
+    assert sorted(rows(stored("fct_inventory_history"), "snapshot_date", "quantity")) == [
+        (DAY1, 4), (DAY2, 6),
+    ]
+
+
+def test_bad_staging_leaves_gold_untouched(spark, shop, root):
+    build_warehouse(shop, root, check=False)
+    gold = model_path(root, "dim_store")
+    before = rows(spark.read.parquet(gold))
+    stores = [*shop.rows["stores"], shop.rows["stores"][0]]
+    with pytest.raises(ChecksFailed, match="stg_stores.store_id unique"):
+        build_warehouse(Shop(spark, stores=stores), root)
+    assert sorted(rows(spark.read.parquet(gold))) == sorted(before)
+
+
+def test_an_emptied_day_leaves_the_history(spark, root):
+    products = stg_products(Shop(spark).latest("products"))
+    target, state = f"{root}/history", f"{root}/state"
+    filled = Shop(spark, stocks=[(1, 1, 3, DAY1), (1, 2, 4, DAY1)]).history("stocks")
+    for run_id, frame in (("a", filled), ("b", filled.limit(0))):
+        raw.write_snapshot(frame, root, STOCKS, raw.Load(DAY1, run_id))
+        raw.write_snapshot(filled, root, STOCKS, raw.Load(DAY2, run_id))
+        snapshot_stream(spark, root, products, target, state).awaitTermination()
+    got = rows(spark.read.parquet(target), "snapshot_date", "quantity")
+    landed = rows(LandedTables(spark, root).history("stocks"), "ingestion_date", "quantity")
+    assert sorted(got) == sorted(landed) == [(DAY2, 3), (DAY2, 4)]
+
+
+def test_split_column():
+    from storelens.sources.jdbc import split_column
+
+    assert split_column(STOCKS) == "product_id"
+    assert split_column(TABLES["order_items"]) == "order_id"
+    assert split_options("k", 1, 10, 10**10, 10**6, connections=8)["numPartitions"] == "8"
+
+
 def test_stream_follows_new_loads(spark, root):
     products = stg_products(Shop(spark).latest("products"))
     target, state = f"{root}/history", f"{root}/state"

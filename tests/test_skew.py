@@ -79,6 +79,18 @@ def test_hot_product_is_split_for_distinct_orders(limits, fact, products):
     assert "SortMergeJoin(skew=true)" in plan_of(counted)
 
 
+def test_hot_value_is_split_in_a_ranking(spark, limits):
+    from storelens.operators.ranking import dense_rank_desc
+
+    groups = spark.range(0, LINES, 1, 8).selectExpr(
+        "id as name", "case when id % 3 = 0 then 7 else pmod(xxhash64(id), 50000) end as revenue"
+    )
+    ranked = dense_rank_desc(groups.repartition(8), "revenue", "place")
+    plan = plan_of(ranked.agg(F.max("place"), F.max("name"), F.sum("revenue")))
+    assert "SortMergeJoin(skew=true)" in plan
+    assert ranked.count() == LINES
+
+
 def test_hot_product_is_one_row_before_the_join(limits, fact, products):
     plan = plan_of(revenue_by(fact, products, "dim_product_sk", ["brand_name"]))
     assert "skew" not in plan
