@@ -194,7 +194,7 @@ def find_contamination(
         out = out.withColumns({
             "hits": merge_runs(F.concat("hits", "_hits")),
             "items": F.array_sort(F.array_union("items", "_items")),
-        })
+        }).drop("_hits", "_items")
     return out.select(*keep, "n_words", "hits", "items")
 
 

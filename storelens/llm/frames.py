@@ -35,12 +35,13 @@ def map_texts(
     """
     names = {f.name for f in fields}
     kept = [k for k in keep if k not in names]
-    source = df.select(*(F.col(f"`{k}`") for k in kept), text_column(df, text).alias(TEXT))
+    body = TEXT if TEXT not in kept else f"{TEXT}_"
+    source = df.select(*(F.col(f"`{k}`") for k in kept), text_column(df, text).alias(body))
     schema = T.StructType([source.schema[k] for k in kept] + list(fields))
 
     def run(batches):
         for batch in batches:
-            for part, texts in pieces(batch, TEXT, limit):
+            for part, texts in pieces(batch, body, limit):
                 made = function(texts)
                 arrays = [part.column(i) for i in range(len(kept))]
                 arrays += [_array(made[f.name], f.dataType) for f in fields]

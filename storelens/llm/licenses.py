@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.frames import text_column
+from storelens.llm.frames import numbered, text_column
 
 THRESHOLD = 0.9
 
@@ -111,12 +111,14 @@ def scan_licenses(
     prefix = {(w, k, p) for k, (ws, n) in enumerate(zip(sorted_words, needs)) for p, w in enumerate(ws[: len(ws) - n + 1])}
 
     added = ("n_words", "places", "base_labels", "labels", "score")
-    carried = [c for c in docs.columns if c not in added]
-    body = F.coalesce(text_column(docs, text), F.lit(""))
+    kept = [c for c in docs.columns if c not in added]
+    docs, names = numbered(docs)
+    carried = [names[c] for c in kept]
+    body = F.coalesce(text_column(docs, names[text]), F.lit(""))
     phrase_words = {words[-1] for words, _ in PHRASES}
     first_words = _any_of({w for w, _, _ in prefix})
     rows = docs.select(
-        *(F.col(f"`{c}`") for c in carried),
+        *carried,
         body.alias("_body"),
         F.monotonically_increasing_id().alias("_row"),
     )
@@ -132,7 +134,7 @@ def scan_licenses(
     base = F.array_sort(F.array_distinct(F.transform("places", lambda p: p["label"])))
     base_score = F.when(F.size("places") > 0, 1.0).otherwise(0.0)
     return pairs.select(
-        *(F.col(f"`{c}`") for c in carried),
+        *(F.col(names[c]).alias(c) for c in kept),
         "n_words",
         "places",
         base.alias("base_labels"),

@@ -245,9 +245,9 @@ def _join_apart(large: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
     weights = rows.groupBy("group", "root").agg(F.count("*").alias("n"))
     main = weights.groupBy("group").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
     apart = rows.join(main, "group").where(F.col("root") != F.col("main")).drop("main")
-    blocks = F.ceil(F.col("size") / BLOCK_SETS).cast("int")
+    last = F.ceil(F.col("size") / BLOCK_SETS) - 1
     apart = apart.withColumn("part", F.pmod(F.xxhash64(F.lit(1), "key"), F.lit(16)))
-    probes = apart.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)).cast("bigint"))
+    probes = apart.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     parts = apart.select("group", "part").distinct()
     targets = rows.join(parts, "group")
     kinds = ["key", "set", "group", "root", "block", "part"]
