@@ -139,4 +139,68 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from judged
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op6_benchmark_decontamination": OP6}
+SPACE_WORDS = rf"regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+')"
+
+OP5 = f"""
+with recursive doc as (select doc_id, {SPACE_WORDS.format("text")} as w from documents),
+gram as (
+    select distinct doc_id, array_to_string(w[i:i + 3], ' ') as g
+    from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) as i from doc where len(w) > 0)),
+size as (select doc_id, count(*) as n from gram group by doc_id),
+pair as (
+    select a.doc_id as a, b.doc_id as b, count(*) as k
+    from gram a join gram b on a.g = b.g and a.doc_id < b.doc_id group by all),
+link as (
+    select a, b from pair join size x on x.doc_id = a join size y on y.doc_id = b
+    where 100 * k >= 85 * (x.n + y.n - k)),
+edge as (select a, b from link union all select b, a from link),
+reach(node, root) as (
+    select doc_id, doc_id from size union select edge.b, reach.root from reach join edge on edge.a = reach.node)
+select doc.doc_id, coalesce(any_value(n), 0) as n_shingles,
+       coalesce(min(root), doc.doc_id) as component_id
+from doc left join size on size.doc_id = doc.doc_id left join reach on reach.node = doc.doc_id
+group by doc.doc_id
+"""
+
+TEMPLATES = ", ".join(f"({k}, '{label}', '{text}')" for k, (label, text) in enumerate(licenses.TEMPLATES))
+OP9 = f"""
+with doc as (
+    select doc_id, text, {ALNUM_WORDS.format("text")} as w from documents),
+template as (
+    select k, label, list_distinct({ALNUM_WORDS.format("notice")}) as t
+    from (values {TEMPLATES}) v(k, label, notice)),
+line as (
+    select doc_id, list_distinct({ALNUM_WORDS.format("line")}) as b
+    from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line from documents)),
+meeting as (
+    select doc_id, label, len(list_intersect(b, t)) / len(t) as share
+    from line, template where 10 * len(list_intersect(b, t)) >= 9 * len(t)),
+found as (select doc_id, list(distinct label) as ls, max(share) as share from meeting group by doc_id),
+base as (
+    select doc_id, len(w) as n_words,
+           list_filter(range(1, len(w) + 1), lambda i: w[i] = 'cc' and w[i + 1] = 'by') as cc,
+           list_filter(range(1, len(w) + 1), lambda i:
+               w[i] = 'general' and w[i + 1] = 'public' and w[i + 2] = 'license') as gpl,
+           list_filter(range(1, len(w) + 1), lambda i:
+               w[i] = 'all' and w[i + 1] = 'rights' and w[i + 2] = 'reserved') as reserved
+    from doc),
+labelled as (
+    select *, list_concat(cc, gpl, reserved) as places,
+           list_concat(
+               case when len(cc) > 0 then ['cc-by'] else [] end,
+               case when len(gpl) > 0 then ['gpl'] else [] end,
+               case when len(reserved) > 0 then ['reserved'] else [] end) as own
+    from base)
+select doc_id, n_words, len(places) as n_base, list_min(places) - 1 as first_word,
+       list_max(places) - 1 as last_word, array_to_string(own, ',') as base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(own, coalesce(ls, [])))), ',') as labels,
+       cast(greatest(case when len(places) > 0 then 1 else 0 end, coalesce(share, 0)) as double) as score
+from labelled left join found using (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": OP1,
+    "op5_ngram_jaccard": OP5,
+    "op6_benchmark_decontamination": OP6,
+    "op9_license_scans": OP9,
+}
