@@ -264,6 +264,15 @@ select count(distinct s.dim_product_sk) products_sold,
        (select count(*) from dim_staff where is_active and staff_id <> -1) active_staff,
        {mean('s.discount')} * 100 avg_discount_pct
 from fct_sales s""",
+    "performance_kpis_yoy": f"""
+with y as (
+  select d.year_number, count(distinct s.dim_product_sk) products,
+         {mean('s.discount')} * 100 pct
+  from fct_sales s {DATE} group by 1
+)
+select coalesce(a.year_number, b.year_number + 1) year_number, a.products products_sold,
+       b.products py_products_sold, a.pct avg_discount_pct, b.pct py_avg_discount_pct
+from y a full join y b on b.year_number = a.year_number - 1""",
     "top_brand": top_label(
         f"select p.brand_name as name, {REVENUE} revenue from fct_sales s {PRODUCT} group by 1",
         "brand_name",

@@ -15,7 +15,7 @@ from storelens.operators.ranking import dense_rank_desc, top_label
 from storelens.operators.shares import total_of
 from storelens.plans.filters import ALL, Filters
 from storelens.plans.models import Star
-from storelens.plans.sales import compared, daily, revenue_by
+from storelens.plans.sales import compared, daily, revenue_by, with_date
 
 
 def _with_product(fact: DataFrame, star: Star, *attributes: str | Column) -> DataFrame:
@@ -45,6 +45,32 @@ def performance_kpis(star: Star, filters: Filters = ALL) -> DataFrame:
     ).select("products_sold", staff.alias("active_staff"), "avg_discount_pct")
 
 
+def performance_kpis_yoy(star: Star, filters: Filters = ALL) -> DataFrame:
+    """Products sold and average discount per year, each with its value a year before.
+
+    Lines become one row per day and product, then one per year and product, before they are
+    counted: a product or a day with a third of the lines weighs no more than another.
+    """
+    discount = [F.sum("discount").alias("discount"), F.sum("lines").alias("lines")]
+    lines = filters.sales(star, (1,)).groupBy("dim_date_sk", "dim_product_sk")
+    days = with_date(
+        lines.agg(F.sum("discount").alias("discount"), F.count("discount").alias("lines")),
+        star, "date_day",
+    )
+    year = F.year("shown_date").alias("year_number")
+    products = compared(star, days, filters, (1,), year, "years_back", "dim_product_sk").agg(*discount)
+    sums = [F.sum(F.when(F.col("years_back") == n, F.lit(1))) for n in (0, 1)]
+    rates = [mean(sum_back("discount", n), sum_back("lines", n)) * 100 for n in (0, 1)]
+    return (
+        products.groupBy("year_number")
+        .agg(
+            sums[0].alias("products_sold"), sums[1].alias("py_products_sold"),
+            rates[0].alias("avg_discount_pct"), rates[1].alias("py_avg_discount_pct"),
+        )
+        .orderBy("year_number")
+    )
+
+
 def top_brand(star: Star, filters: Filters = ALL) -> DataFrame:
     brands = revenue_by(
         filters.sales(star), star("dim_product"), "dim_product_sk", ["brand_name"]

@@ -259,6 +259,7 @@ INVENTORY: dict[str, Query] = {
 
 PERFORMANCE: dict[str, Query] = {
     "performance_kpis": on_star(performance.performance_kpis),
+    "performance_kpis_yoy": on_star(performance.performance_kpis_yoy),
     "top_brand": on_star(performance.top_brand),
     "top_staff": on_star(performance.top_staff),
     "revenue_by_brand": on_star(performance.revenue_by_brand),
