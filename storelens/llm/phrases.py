@@ -16,7 +16,7 @@ from storelens.llm.bytewords import BYTE_VALUES, U64, mix, powers
 
 LENGTH = 400
 TRIGGER = 160
-STRETCH = 1 << 20  # bytes of one text hashed at a time
+STRETCH = 1 << 18  # bytes hashed at a time
 
 
 @dataclass
