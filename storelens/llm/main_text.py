@@ -18,15 +18,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storelens.llm.bytewords import range_hashes
-from storelens.llm.frames import field, map_texts, stored
+from storelens.llm.bytewords import pieces, range_hashes
+from storelens.llm.frames import TEXT, field, map_texts, stored, text_column
 from storelens.llm.html_blocks import MAIN, OTHER, blocks
 
 
-def _parse(pages: list[bytes]) -> dict[str, list]:
-    made = [blocks(p.decode("utf-8", "replace")) for p in pages]
-    texts = [[t for t, _ in page] for page in made]
-    return {"blocks": texts, "zones": [[z for _, z in page] for page in made], "hashes": [_hashes(t) for t in texts]}
+def _lines(pages: list[bytes]) -> dict[str, list]:
+    return {"hashes": [_hashes([t for t, _ in blocks(p.decode("utf-8", "replace"))]) for p in pages]}
 
 
 def _hashes(texts: list[str]) -> list[int]:
@@ -59,14 +57,18 @@ def common(a: list[int], b: list[int]) -> set[int]:
     return found
 
 
-def kept(texts: list[str], zones: list[int], hashes: list[int], neighbours: list[list[int] | None]) -> list[str]:
+def template(hashes: list[int], neighbours: list[list[int] | None]) -> list[int]:
+    """Places of the blocks that a neighbour shares; all, if they are copies of one another."""
+    return sorted(set().union(*(common(hashes, n) for n in neighbours if n)))
+
+
+def kept(parts: list[tuple[str, int]], shared: list[int] | None) -> list[str]:
     """The blocks that are neither template nor beside the article."""
-    template = set().union(*(common(hashes, n) for n in neighbours if n))
-    marked = MAIN in zones
-    own = {i for i, z in enumerate(zones) if z == MAIN or (z == OTHER and not marked)}
-    if not marked and own <= template:
-        template = set()  # a copy of its neighbour has nothing of its own to go by
-    return [t for i, t in enumerate(texts) if i in own and (zones[i] == MAIN or i not in template)]
+    marked, repeated = any(z == MAIN for _, z in parts), set(shared or ())
+    own = {i for i, (_, z) in enumerate(parts) if z == MAIN or (z == OTHER and not marked)}
+    if not marked and own <= repeated:
+        repeated = set()  # a copy of its neighbour has nothing of its own to go by
+    return [t for i, (t, z) in enumerate(parts) if i in own and (z == MAIN or i not in repeated)]
 
 
 def neighbours(keys: DataFrame) -> DataFrame:
@@ -106,38 +108,50 @@ def extract(pages: DataFrame, keep: list[str], *, markup: str = "html", url: str
     carried = [c for c in keep if c != "main_text"]
     address = F.coalesce(F.col(f"`{url}`").cast("string"), F.lit(""))
     split = r"^(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?(?://([^/?#]*))?([^?#]*)"
-    rows = pages.withColumns({
-        "_row": F.monotonically_increasing_id(),
-        "_host": F.lower(F.regexp_extract(address, split, 1)),
-        "_path": F.regexp_extract(address, split, 2),
-    })
-    fields = [field("blocks", "array<string>"), field("zones", "array<int>"), field("hashes", "array<bigint>")]
-    parsed = stored(map_texts(rows, markup, [*carried, "_row", "_host", "_path"], fields, _parse), "pages")
-    near = neighbours(parsed.select(F.col("_row").alias("row"), F.col("_host").alias("host"), F.col("_path").alias("path")))
-    lines = parsed.select(F.col("_row").alias("at"), "hashes")
-    for side in ("before", "behind"):
-        other = lines.select(F.col("at").alias(side), F.col("hashes").alias(f"{side}_hashes"))
-        near = near.join(other, side, "left")
-    joined = parsed.join(near.withColumnRenamed("row", "_row"), "_row").select(
-        *(F.col(f"`{c}`") for c in carried), "blocks", "zones", "hashes", "before_hashes", "behind_hashes"
+    # equal pages at equal addresses share a key, and all that is found of them
+    rows = pages.select(
+        *(F.col(f"`{c}`") for c in carried),
+        F.xxhash64(address, text_column(pages, markup)).alias("_key"),
+        F.lower(F.regexp_extract(address, split, 1)).alias("_host"),
+        F.regexp_extract(address, split, 2).alias("_path"),
+        text_column(pages, markup).alias(TEXT),
+    )
+    lines = map_texts(rows, TEXT, ["_key", "_host", "_path"], [field("hashes", "array<bigint>")], _lines)
+    lines = stored(lines.dropDuplicates(["_key"]), "lines")
+    near = neighbours(lines.select(F.col("_key").alias("row"), F.col("_host").alias("host"), F.col("_path").alias("path")))
+    near = near.where("before is not null or behind is not null").withColumnRenamed("row", "_key")
+    for column, side in (("_key", "own"), ("before", "before"), ("behind", "behind")):
+        other = lines.select(F.col("_key").alias(column), F.col("hashes").alias(f"{side}_hashes"))
+        near = near.join(other, column, "left")
+    shared = near.select("_key", "own_hashes", "before_hashes", "behind_hashes").mapInArrow(
+        _templates, "_key bigint, shared array<int>"
     )
+    # the pages are read and parsed a second time here rather than kept and moved with their blocks
+    joined = rows.join(shared, "_key", "left").select(*(F.col(f"`{c}`") for c in carried), TEXT, "shared")
     schema = T.StructType([joined.schema[c] for c in carried] + [T.StructField("main_text", T.StringType())])
 
     def run(batches):
-        columns = ("blocks", "zones", "hashes", "before_hashes", "behind_hashes")
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [
-                    " ".join(kept(t, z, h, [b, f]))
-                    for t, z, h, b, f in zip(*(part.column(c).to_pylist() for c in columns))
+            for part, texts in pieces(batch, TEXT):
+                made = [
+                    " ".join(kept(blocks(t.decode("utf-8", "replace")), s))
+                    for t, s in zip(texts, part.column("shared").to_pylist())
                 ]
-                made = [*(part.column(c) for c in carried), pa.array(texts, pa.string())]
-                yield pa.RecordBatch.from_arrays(made, names=[*carried, "main_text"])
+                columns = [*(part.column(c) for c in carried), pa.array(made, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*carried, "main_text"])
 
     return joined.mapInArrow(run, schema)
 
 
+def _templates(batches):
+    for batch in batches:
+        columns = (batch.column(f"{side}_hashes").to_pylist() for side in ("own", "before", "behind"))
+        places = [template(own, [before, behind]) for own, before, behind in zip(*columns)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("_key"), pa.array(places, pa.list_(pa.int32()))], names=["_key", "shared"]
+        )
+
+
 def digest(extracted: DataFrame) -> DataFrame:
     text = F.col("main_text")
     return extracted.select("page_id", "url", text.alias("text"), F.length(text).cast("bigint").alias("n_chars"))
