@@ -5,7 +5,7 @@ Their blocks are aligned by a longest common subsequence, and shared blocks are
 notices and footers that the host repeats. Blocks that the markup puts beside the article go in any
 case. Blocks inside an article or main element stay: articles of a host share sentences and whole
 passages, and mirrors of a page share all. So where a page marks its article the markup decides, and
-where it does not the differences do.
+where it does not the differences do; only blocks outside articles are compared.
 """
 
 from __future__ import annotations
@@ -24,7 +24,9 @@ from storelens.llm.html_blocks import MAIN, OTHER, blocks
 
 
 def _lines(pages: list[bytes]) -> dict[str, list]:
-    return {"hashes": [_hashes([t for t, _ in blocks(p.decode("utf-8", "replace"))]) for p in pages]}
+    """Hashes of the blocks outside articles: only those can be template."""
+    made = [blocks(p.decode("utf-8", "replace")) for p in pages]
+    return {"hashes": [_hashes([t for t, z in page if z != MAIN]) for page in made]}
 
 
 def _hashes(texts: list[str]) -> list[int]:
@@ -58,13 +60,14 @@ def common(a: list[int], b: list[int]) -> set[int]:
 
 
 def template(hashes: list[int], neighbours: list[list[int] | None]) -> list[int]:
-    """Places of the blocks that a neighbour shares; all, if they are copies of one another."""
+    """Places of the blocks that a neighbour shares, among those outside articles."""
     return sorted(set().union(*(common(hashes, n) for n in neighbours if n)))
 
 
 def kept(parts: list[tuple[str, int]], shared: list[int] | None) -> list[str]:
     """The blocks that are neither template nor beside the article."""
-    marked, repeated = any(z == MAIN for _, z in parts), set(shared or ())
+    outside = [i for i, (_, z) in enumerate(parts) if z != MAIN]
+    marked, repeated = len(outside) < len(parts), {outside[k] for k in shared or ()}
     own = {i for i, (_, z) in enumerate(parts) if z == MAIN or (z == OTHER and not marked)}
     if not marked and own <= repeated:
         repeated = set()  # a copy of its neighbour has nothing of its own to go by
