@@ -16,7 +16,7 @@ from storelens.llm.frames import field, map_texts, text_column
 from storelens.llm.samples import held_out, learnable, some_of
 from storelens.llm.subwords import BITS, Model, Scorer, bags, sigmoid, train
 
-SAMPLE_ROWS = 8000  # labelled rows trained on at most, a third of them toxic where there are so many
+SAMPLE_ROWS = 6000  # labelled rows trained on at most, a third of them toxic where there are so many
 SAMPLE_CHARS = 200_000  # longer texts are scored but not trained on
 STEPS = 1500
 THRESHOLD = 0.3
