@@ -78,10 +78,10 @@ def _identified(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     return docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.xxhash64(body).alias("_hash"), body.alias(TEXT))
 
 
-def _packed(df: DataFrame, buckets: int, weigh: bool) -> DataFrame:
+def _packed(df: DataFrame, buckets: int) -> DataFrame:
     """Rows (bucket, values, keys): the values of all sets in column `set`, each with its set's key.
 
-    With `weigh` off, equal keys of a record batch count once; that is where copies are merged.
+    Equal keys of a record batch go once; that is where copies are merged.
     """
     schema = "bucket int, values binary, keys binary"
     arrow = pa.schema([("bucket", pa.int32()), ("values", pa.binary()), ("keys", pa.binary())])
@@ -127,10 +127,36 @@ def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return values, keys, np.repeat(np.arange(len(starts)), lengths), lengths
 
 
-def _shared_counts(table: pa.Table) -> pa.Table:
-    _, keys, run, lengths = _unpacked(table)
-    shared, hits = np.unique(keys[lengths[run] > 1], return_counts=True)
-    return pa.table({"key": shared, "hits": hits.astype(np.int64)})
+def _sent_home(buckets: int, keys: np.ndarray, **columns: np.ndarray) -> pa.Table:
+    """The columns packed by the bucket of their keys: a row per bucket, however many keys there are."""
+    home = (mix(keys.view(U64)) % U64(buckets)).astype(np.int32)
+    order = np.argsort(home, kind="stable")
+    home = home[order]
+    bounds = np.flatnonzero(np.diff(home, prepend=-1))
+    spans = list(zip(bounds.tolist(), [*bounds[1:].tolist(), len(home)]))
+    packed = {name: [a[order][i:j].tobytes() for i, j in spans] for name, a in {"keys": keys, **columns}.items()}
+    return pa.table({"home": pa.array(home[bounds], pa.int32()), **{n: pa.array(v, pa.binary()) for n, v in packed.items()}})
+
+
+def _column(table: pa.Table, name: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+
+
+def _shared_counts(buckets: int) -> Callable[[pa.Table], pa.Table]:
+    """Per bucket of keys: how many values of a bucket of values a key shares with other keys."""
+
+    def count(table: pa.Table) -> pa.Table:
+        _, keys, run, lengths = _unpacked(table)
+        shared, hits = np.unique(keys[lengths[run] > 1], return_counts=True)
+        return _sent_home(buckets, shared, hits=hits.astype(np.int64))
+
+    return count
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    keys, place = np.unique(_column(table, "keys", np.int64), return_inverse=True)
+    hits = np.bincount(place, _column(table, "hits", np.int64), len(keys)).astype(np.int64)
+    return pa.table({"key": keys, "hits": hits})
 
 
 def _frequencies(buckets: int) -> Callable[[pa.Table], pa.Table]:
@@ -138,15 +164,7 @@ def _frequencies(buckets: int) -> Callable[[pa.Table], pa.Table]:
 
     def weigh(table: pa.Table) -> pa.Table:
         values, keys, run, lengths = _unpacked(table)
-        counts = lengths[run].astype(np.int64)
-        home = (mix(keys.view(U64)) % U64(buckets)).astype(np.int32)
-        order = np.argsort(home, kind="stable")
-        home, values, keys, counts = home[order], values[order], keys[order], counts[order]
-        bounds = np.flatnonzero(np.diff(home, prepend=-1))
-        stops = [*bounds[1:].tolist(), len(home)]
-        spans = list(zip(bounds.tolist(), stops))
-        cut = lambda a: [a[i:j].tobytes() for i, j in spans]
-        return pa.table({"home": home[bounds], "keys": cut(keys), "counts": cut(counts), "values": cut(values)})
+        return _sent_home(buckets, keys, counts=lengths[run].astype(np.int64), values=values)
 
     return weigh
 
@@ -155,8 +173,8 @@ def _ordered_sets(percent: int) -> Callable[[pa.Table], pa.Table]:
     """Sets rarest value first, without those too few of whose values another set shares."""
 
     def order(table: pa.Table) -> pa.Table:
-        column = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-        keys, counts, values = column("keys", np.int64), column("counts", np.int64), column("values", U64)
+        keys, counts = _column(table, "keys", np.int64), _column(table, "counts", np.int64)
+        values = _column(table, "values", U64)
         by = np.lexsort((values, counts, keys))
         keys, counts, values = keys[by], counts[by], values[by]
         starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else keys
@@ -181,7 +199,7 @@ def _grouped(packed: DataFrame, by: str, function, schema: str) -> DataFrame:
 def link_classes(sets: DataFrame, percent: int, buckets: int) -> DataFrame:
     """Edges (a, b) that connect what links connect, of sets in columns key and set (sorted hashes)."""
     weighed = _grouped(
-        _packed(sets, buckets, weigh=True), "bucket", _frequencies(buckets),
+        _packed(sets, buckets), "bucket", _frequencies(buckets),
         "home int, keys binary, counts binary, values binary",
     )
     ordered = _grouped(weighed, "home", _ordered_sets(percent), "key bigint, set binary, prefix array<bigint>")
@@ -296,8 +314,10 @@ def similar_documents(
     classes = stored(classes, "classes")
     buckets = max(8, -(-classes.count() // CLASSES_A_BUCKET))
     samples = filled.select("key", F.col("sample").alias("set"))
-    hits = _grouped(_packed(samples, buckets, weigh=False), "bucket", _shared_counts, "key bigint, hits bigint")
-    hits = hits.groupBy("key").agg(F.sum("hits").alias("hits"))
+    counted = _grouped(
+        _packed(samples, buckets), "bucket", _shared_counts(buckets), "home int, keys binary, hits binary"
+    )
+    hits = _grouped(counted, "home", _summed, "key bigint, hits bigint")
     enough = F.coalesce("hits", F.lit(0)) >= F.col("sampled") - spare(F.col("n"), percent)
     left = classes.join(hits, "key", "left").where(enough).select("key", "pick.id", "pick._hash")
     texts = rows.withColumn("id", F.coalesce("doc_id", F.lit(0))).join(left, ["id", "_hash"]).select("key", TEXT)
