@@ -8,7 +8,6 @@ ids: shard after shard, and within a shard one after the other.
 from __future__ import annotations
 
 import itertools
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -123,7 +122,3 @@ READ_ARROW = pa.schema([
 
 def digest(read: DataFrame) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
-
-
-def crc(ids: list[int]) -> int:
-    return zlib.crc32(np.array(ids, "<u4").tobytes())
