@@ -18,7 +18,7 @@ from storelens.llm.bytewords import SPACE_WORDS, U64, range_hashes, words_of
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-TABLE_BITS = 21  # places for words; 24 bytes each with their ids
+TABLE_BITS = 20  # places for words; a worker's table takes about 30 MB with their ids
 FULL = 0.6
 
 # What may stand behind a letter or digit and is split from it by the tokenizer. An apostrophe can
@@ -47,9 +47,9 @@ class WordTable:
     def clear(self) -> None:
         size = 1 << TABLE_BITS
         self.keys = np.zeros(size, U64)
-        self.at = np.zeros(size, np.int64)
+        self.at = np.zeros(size, np.int32)
         self.count = np.zeros(size, np.int32)
-        self.ids = np.zeros(1 << 20, np.uint32)
+        self.ids = np.zeros(1 << 19, np.uint32)
         self.used = self.words = 0
 
     def _slots(self, hashes: np.ndarray) -> np.ndarray:
@@ -155,7 +155,7 @@ def _remembered(texts: list[bytes], table: WordTable) -> list[bytes]:
         place[missing] = table.find(hashes[missing])
     lengths = table.count[place].astype(np.int64)
     stops = np.cumsum(lengths)
-    ids = table.ids[np.repeat(table.at[place] - stops + lengths, lengths) + np.arange(int(stops[-1]) if len(stops) else 0)]
+    ids = table.ids[np.repeat(table.at[place].astype(np.int64) - stops + lengths, lengths) + np.arange(int(stops[-1]) if len(stops) else 0)]
     packed = ids.astype("<u4").tobytes()
     bounds = (4 * np.concatenate(([0], stops))[first]).tolist()
     return [packed[a:b] for a, b in zip(bounds, bounds[1:])]
