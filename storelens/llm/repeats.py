@@ -12,11 +12,15 @@ hashes in text order, the dictionary the distinct phrases.
 3. The repeated strings go back to all places of their phrase in the parse.
 
 A trigger that very many phrases share is split: by the string's distance from the trigger, and by
-the hash of what all strings with such distances contain.
+the hash of what all strings with such distances contain. Where a part still has very many phrases,
+as around a passage that stands in many texts, its strings are hashed one by one, and Spark counts
+the phrases that hold each; no task gets such a part whole.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,8 +30,9 @@ from storelens.llm.bytewords import U64, pieces, range_hashes
 from storelens.llm.frames import TEXT, field, numbered, stored, text_column
 from storelens.llm.phrases import LENGTH, TRIGGER, parse, repeated
 
-HOT_PHRASES = 4000  # distinct phrases of one trigger that a task compares; beyond it they are split
+HOT_PHRASES = 4000  # distinct phrases of one trigger or part that a task compares; beyond it they are split or hashed
 SPLIT = 40  # distances from the trigger that a part of a split trigger covers
+PARTS_A_PHRASE = -(-(LENGTH - TRIGGER + 1) // SPLIT)
 PHRASES_A_BUCKET = 2000
 ADDED = ("n_bytes", "n_removed", "n_spans", "kept", "kept_text")
 PARSE = "ref bigint, first bigint, count int, at int, trigger bigint, content bigint"
@@ -35,6 +40,12 @@ PARSE_ARROW = pa.schema([
     ("ref", pa.int64()), ("first", pa.int64()), ("count", pa.int32()), ("at", pa.int32()),
     ("trigger", pa.int64()), ("content", pa.int64()),
 ])
+PHRASES_ARROW = pa.schema([
+    ("trigger", pa.int64()), ("phrases", pa.int64()), ("content", pa.int64()), ("at", pa.int32()),
+    ("low", pa.int32()), ("high", pa.int32()), ("data", pa.binary()),
+])
+PARTS = "trigger bigint, part bigint, content bigint, at int, low int, high int, data binary"
+RUNS = "trigger bigint, content bigint, begin int, strings int"
 
 
 def _with_ref(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -58,31 +69,47 @@ def parse_table(rows: DataFrame) -> DataFrame:
 
 
 def _phrase_bytes(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The bytes of one copy of each wanted phrase, in as many parts as its trigger is split into."""
+    """The bytes of one copy of each wanted phrase."""
     asked = wanted.groupBy("ref").agg(
         F.collect_list(F.struct("first", "count", "at", "trigger", "content", "phrases")).alias("wanted")
     )
     source = rows.select(F.col("_ref").alias("ref"), TEXT).join(asked, "ref")
     # rows with equal id and text share a ref: one of them will do
-    schema = "trigger bigint, part bigint, content bigint, at int, low int, high int, data binary"
-    names = ["trigger", "part", "content", "at", "low", "high", "data"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
 
     def run(batches):
         for batch in batches:
             for piece, texts in pieces(batch, TEXT, 4 << 20):
-                made: list[list] = [[] for _ in names]
+                made: list[list] = [[] for _ in PHRASES_ARROW.names]
                 for text, phrases in zip(texts, piece.column("wanted").to_pylist()):
                     for p in phrases:
                         data = text[p["first"] : p["first"] + p["count"] + LENGTH - 1]
-                        for part, low, high in _parts(data, p):
-                            row = (p["trigger"], part, p["content"], p["at"], low, high, data)
-                            for column, value in zip(made, row):
-                                column.append(value)
-                arrays = [pa.array(c, k) for c, k in zip(made, kinds)]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+                        row = (p["trigger"], p["phrases"], p["content"], p["at"], p["at"] - p["count"] + 1, p["at"], data)
+                        for column, value in zip(made, row):
+                            column.append(value)
+                arrays = [pa.array(c, k) for c, k in zip(made, PHRASES_ARROW.types)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=PHRASES_ARROW)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, "trigger bigint, phrases bigint, content bigint, at int, low int, high int, data binary")
+
+
+def _split(phrases: DataFrame) -> DataFrame:
+    """The phrases in as many parts as a hot trigger is split into."""
+
+    def run(batches):
+        for batch in batches:
+            for piece, texts in pieces(batch, "data"):
+                row, parts = [], []
+                at, low, high = (piece.column(c).to_pylist() for c in ("at", "low", "high"))
+                for k, data in enumerate(texts):
+                    for part in _parts(data, {"at": at[k], "count": high[k] - low[k] + 1, "phrases": math.inf}):
+                        row.append(k)
+                        parts.append(part)
+                row = pa.array(row, pa.int64())
+                made = [pa.array([p[k] for p in parts], kind) for k, kind in enumerate((pa.int64(), pa.int32(), pa.int32()))]
+                arrays = [piece.column("trigger").take(row), made[0], piece.column("content").take(row), piece.column("at").take(row), *made[1:], piece.column("data").take(row)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["trigger", "part", "content", "at", "low", "high", "data"])
+
+    return phrases.select("trigger", "content", "at", "low", "high", "data").mapInArrow(run, PARTS)
 
 
 def _parts(data: bytes, phrase: dict):
@@ -129,6 +156,51 @@ def _repeated_runs(table: pa.Table) -> pa.Table:
     return pa.table(made, pa.schema(kinds))
 
 
+def _strings(parts: DataFrame) -> DataFrame:
+    """The hash of every string of the parts, and where in its phrase it begins."""
+
+    def run(batches):
+        for batch in batches:
+            for piece, texts in pieces(batch, "data"):
+                at, low, high = (piece.column(c).to_numpy().astype(np.int64) for c in ("at", "low", "high"))
+                count = high - low + 1
+                row = np.repeat(np.arange(len(texts)), count)
+                begin = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + (at - high)[row]
+                sizes = np.array([len(t) for t in texts])
+                start = begin + (np.cumsum(sizes) - sizes)[row]
+                hashes = range_hashes(np.frombuffer(b"".join(texts), np.uint8), start, start + LENGTH)
+                made = [piece.column(c).to_numpy()[row] for c in ("trigger", "content")]
+                arrays = [pa.array(c) for c in (*made, begin.astype(np.int32), hashes.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["trigger", "content", "begin", "string"])
+
+    return parts.mapInArrow(run, "trigger bigint, content bigint, begin int, string bigint")
+
+
+def _counted_runs(parts: DataFrame) -> DataFrame:
+    """As `_repeated_runs`, of parts of any number of phrases: by hashes, which Spark groups."""
+    strings = _strings(parts)
+    # the least and greatest phrase are summed up where the strings are made; a phrase holds a string once
+    twice = strings.groupBy("trigger", "string").agg(F.min("content").alias("least"), F.max("content").alias("most"))
+    twice = twice.where("least < most").select("trigger", "string")
+    # a phrase has a few hundred strings at most
+    begins = strings.join(twice, ["trigger", "string"]).groupBy("trigger", "content").agg(
+        F.array_sort(F.collect_set("begin")).alias("begins")
+    )
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column("begins")
+            begin = lists.flatten().to_numpy().astype(np.int64)
+            row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+            new = np.flatnonzero(np.concatenate(([True], (np.diff(begin) != 1) | (np.diff(row) != 0)))[: len(begin)])
+            made = [batch.column(c).to_numpy()[row[new]] for c in ("trigger", "content")]
+            strings = np.diff(np.append(new, len(begin)))
+            arrays = [pa.array(c) for c in (*made, begin[new].astype(np.int32), strings.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["trigger", "content", "begin", "strings"])
+
+    return begins.mapInArrow(run, RUNS)
+
+
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """Per ref: `spans`, the (begin, end) byte ranges of repeated strings; they may overlap."""
     parsed = parse_table(rows)
@@ -142,12 +214,23 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     sharing = distinct.groupBy("trigger").agg(F.count("*").alias("phrases"), F.sum("places").alias("uses"))
     distinct = stored(distinct.join(sharing.where("uses > 1").drop("uses"), "trigger"), "dictionary")
     wanted = distinct.where("phrases > 1").select("pick.*", "count", "at", "trigger", "content", "phrases")
-    buckets = max(8, -(-wanted.count() // PHRASES_A_BUCKET))
+    sizes = wanted.agg(F.count("*").alias("all"), F.count_if(F.col("phrases") > HOT_PHRASES).alias("hot")).first()
     compared = _phrase_bytes(rows, wanted)
+    if sizes["hot"]:
+        compared = stored(compared, "phrases")
+    few = compared.where(F.col("phrases") <= HOT_PHRASES).withColumn("part", F.lit(0).cast("bigint"))
+    few = few.select("trigger", "part", "content", "at", "low", "high", "data")
+    if sizes["hot"]:
+        split = _split(compared.where(F.col("phrases") > HOT_PHRASES))
+        crowded = split.groupBy("trigger", "part").count().where(F.col("count") > HOT_PHRASES)
+        # one key per HOT_PHRASES phrases at most
+        crowded = F.broadcast(stored(crowded.drop("count"), "crowded"))
+        few = few.union(split.join(crowded, ["trigger", "part"], "left_anti"))
+    buckets = max(8, -(-(sizes["all"] + sizes["hot"] * PARTS_A_PHRASE) // PHRASES_A_BUCKET))
     bucket = F.pmod(F.xxhash64("trigger", "part"), F.lit(buckets)).alias("bucket")
-    runs = compared.groupBy(bucket).applyInArrow(
-        _repeated_runs, "trigger bigint, content bigint, begin int, strings int"
-    )
+    runs = few.groupBy(bucket).applyInArrow(_repeated_runs, RUNS)
+    if sizes["hot"]:
+        runs = runs.union(_counted_runs(split.join(crowded, ["trigger", "part"], "left_semi")))
     whole = distinct.where("places > 1").select("trigger", "content", F.lit(0).alias("begin"), F.col("count").alias("strings"))
     once = distinct.where("places = 1").select("trigger", "content")
     found = stored(whole.union(runs.join(once, ["trigger", "content"])), "repeated")

@@ -209,6 +209,36 @@ def test_phrases_of_one_trigger_find_all_repeats(monkeypatch, letters):
         assert got == brute(texts, 400)
 
 
+def test_a_passage_in_very_many_texts_is_never_one_group(spark, monkeypatch):
+    """Parts that the split leaves hot are counted by hashes; the repeats are the same."""
+    monkeypatch.setattr(repeats, "HOT_PHRASES", 20)
+    compare = repeats._repeated_runs
+
+    def bounded(table):
+        seen = {(r["trigger"], r["part"], r["content"]) for r in table.select(["trigger", "part", "content"]).to_pylist()}
+        groups = [(trigger, part) for trigger, part, _ in seen]
+        assert max(map(groups.count, groups)) <= 20
+        return compare(table)
+
+    monkeypatch.setattr(repeats, "_repeated_runs", bounded)
+    r = random.Random(8)
+
+    def some(size):
+        return "".join(r.choices("abcdefgh", k=size))
+
+    passage = some(620)
+    texts = [some(r.randint(0, 700)) + passage[r.choice([0, 0, 0, 90]) : r.choice([620, 620, 530])] + some(r.randint(0, 700)) for _ in range(60)]
+    texts += [texts[0][:-20] + some(50), texts[1], some(30) + texts[2][50:], some(900)]
+    rows = [*enumerate(texts), (0, texts[0])]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = {}
+    for (k, text), strings in zip(rows, brute([t for _, t in rows], 400)):
+        removed = {i for at, hit in enumerate(strings) if hit for i in range(at, at + 400)}
+        want.setdefault(k, []).append("".join(c for i, c in enumerate(text) if i not in removed))
+    got = by_id(repeats.remove_repeats(frame, ["doc_id"]))
+    assert {k: [bytes(x.kept).decode() for x in v] for k, v in got.items()} == want
+
+
 def test_decontamination(spark, docs, none, clashing):
     bench = spark.createDataFrame([(1, TEXT), (2, None), (3, ""), (4, "one"), (None, "w1 w2")], "item_id bigint, text string")
     rows = by_id(decontamination.digest(decontamination.find_contamination(docs, bench, ["doc_id"])))
