@@ -143,6 +143,22 @@ def _remembered(texts: list[bytes], table: WordTable) -> list[bytes]:
     data, start, end, first = _units(texts)
     hashes = range_hashes(data, start, end)
     hashes[hashes == 0] = 1
+    # a stretch has no more words than an empty table takes; ids of units follow one another
+    most = int(FULL * (1 << TABLE_BITS))
+    packed, counts = [], [np.zeros(0, np.int64)]
+    for at in range(0, len(hashes), most):
+        part = slice(at, at + most)
+        ids, lengths = _looked_up(data, start[part], end[part], hashes[part], table)
+        packed.append(ids.astype("<u4").tobytes())
+        counts.append(lengths)
+    joined = b"".join(packed)
+    stops = np.cumsum(np.concatenate(counts))
+    bounds = (4 * np.concatenate(([0], stops))[first]).tolist()
+    return [joined[a:b] for a, b in zip(bounds, bounds[1:])]
+
+
+def _looked_up(data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray, table: WordTable):
+    """The ids of units, and how many each has."""
     place = table.find(hashes)
     missing = np.flatnonzero(place < 0)
     if len(missing):
@@ -156,6 +172,4 @@ def _remembered(texts: list[bytes], table: WordTable) -> list[bytes]:
     lengths = table.count[place].astype(np.int64)
     stops = np.cumsum(lengths)
     ids = table.ids[np.repeat(table.at[place].astype(np.int64) - stops + lengths, lengths) + np.arange(int(stops[-1]) if len(stops) else 0)]
-    packed = ids.astype("<u4").tobytes()
-    bounds = (4 * np.concatenate(([0], stops))[first]).tolist()
-    return [packed[a:b] for a, b in zip(bounds, bounds[1:])]
+    return ids, lengths

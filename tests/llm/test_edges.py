@@ -344,6 +344,16 @@ def test_remembered_words_have_the_tokenizers_ids(letters):
         assert np.frombuffer(packed, "<u4").tolist() == [*want, tokens.END_ID], text
 
 
+def test_a_text_of_more_words_than_the_table_has_places(monkeypatch):
+    monkeypatch.setattr(tokens, "TABLE_BITS", 6)
+    monkeypatch.setattr(tokens, "_tables", {})
+    tokenizer = tokens.Tokenizer.from_file(tokens.default_path())
+    texts = [" ".join(f"{k * 7919:x}," for k in range(500)), "", "one two, one", " ".join(f"n{k % 90}" for k in range(400))]
+    for text, packed in zip(texts, tokens.encode([t.encode() for t in texts], tokens.default_path()), strict=True):
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(packed, "<u4").tolist() == [*want, tokens.END_ID]
+
+
 def test_scores(spark, docs, none, clashing):
     labels = spark.createDataFrame([(k, (k or 0) % 2, (k or 0) % 2) for k in (4, 5, 6, 7, None)], "doc_id bigint, toxic int, quality int")
     for made in (
