@@ -1,8 +1,10 @@
 """License scans: words of fixed phrases, and an exact set-similarity join with license templates.
 
-All DataFrame functions. A block is a line of a text as a set of words; it meets a template if it
-contains a given share of the template's words. Template words are ordered by how many documents
-hold them, rarest first. A block that meets a template holds one of its first words (prefix
+All DataFrame functions. A block is a set of words: those of a line, or the last words of a line with
+the first ones of the lines behind it, as many of both as the longest template has, so that a notice
+is found however it is wrapped. Lines without words part paragraphs; no block crosses them. A block
+meets a template if it contains a given share of the template's words. Template words are ordered by
+how many documents hold them, rarest first. A block that meets a template holds one of its first words (prefix
 filter), has enough words (length filter), and enough template words are left on both sides
 behind the first one shared (positional filter); what remains is counted exactly.
 """
@@ -44,6 +46,7 @@ CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 class Template:
     label: str
     words: tuple[str, ...]  # distinct
+    length: int  # words, repeated ones too
 
     def need(self, threshold: float) -> int:
         return max(1, math.ceil(threshold * len(self.words) - 1e-9))
@@ -66,9 +69,9 @@ def templates(entries=TEMPLATES) -> list[Template]:
 
     made = []
     for label, text in entries:
-        words = tuple(dict.fromkeys(w for w in re.split(GAP, text.lower()) if w))
+        words = [w for w in re.split(GAP, text.lower()) if w]
         if words:
-            made.append(Template(label, words))
+            made.append(Template(label, tuple(dict.fromkeys(words)), len(words)))
     return made
 
 
@@ -98,8 +101,8 @@ def scan_licenses(
 ) -> DataFrame:
     """`docs` with n_words, places (word starts of the base phrases), base_labels, labels, score.
 
-    `labels` holds the base labels and those of the templates that a line meets; `score` is the
-    largest share of a template in a line that meets it, 1 where a base phrase stands, else 0.
+    `labels` holds the base labels and those of the templates that a block meets; `score` is the
+    largest share of a template in a block that meets it, 1 where a base phrase stands, else 0.
     Null texts count as empty: no words, no labels. Added columns replace those of their names;
     repeated rows are scanned one by one.
     """
@@ -116,7 +119,8 @@ def scan_licenses(
     carried = [names[c] for c in kept]
     body = F.coalesce(text_column(docs, names[text]), F.lit(""))
     phrase_words = {words[-1] for words, _ in PHRASES}
-    first_words = _any_of({w for w, _, _ in prefix})
+    first_words = {w for w, _, _ in prefix}
+    longest = max((t.length for t in wanted), default=0)
     rows = docs.select(
         *carried,
         body.alias("_body"),
@@ -125,10 +129,11 @@ def scan_licenses(
     rows = rows.withColumns({
         "n_words": count_words(F.col("_body")),
         "_spelled": F.when(F.col("_body").rlike(_any_of(phrase_words)), words_of(F.col("_body"))),
-        "_blocks": F.when(F.col("_body").rlike(first_words), _blocks(F.col("_body"), first_words, rank)),
+        "_lines": F.when(F.col("_body").rlike(_any_of(first_words)), F.transform(F.split("_body", "\n"), words_of)),
     })
+    rows = rows.withColumn("_blocks", _blocks(F.col("_lines"), first_words, rank, longest))
     rows = rows.withColumn("places", F.coalesce(_phrase_places(F.col("_spelled")), F.array().cast(PLACES)))
-    rows = rows.drop("_body", "_spelled")
+    rows = rows.drop("_body", "_spelled", "_lines")
     pairs = _meeting(rows, wanted, sorted_words, needs, prefix)
 
     base = F.array_sort(F.array_distinct(F.transform("places", lambda p: p["label"])))
@@ -164,20 +169,29 @@ def _here(words: Column, at: Column, phrase: tuple[str, ...]) -> Column:
     return same
 
 
-def _blocks(body: Column, pattern: str, rank: dict[str, int]) -> Column:
-    """Lines with a prefix word: their number of distinct words, and ranks of template words, rarest first."""
-    lines = F.filter(F.split(body, "\n"), lambda line: line.rlike(pattern))
+def _blocks(lines: Column, first_words: set[str], rank: dict[str, int], longest: int) -> Column:
+    """Blocks with a prefix word: their number of distinct words, and ranks of template words, rarest first."""
     by_rank = F.array(*(F.lit(w) for w in sorted(rank, key=rank.get)))
-
-    def block(line: Column) -> Column:
-        words = words_of(line)
+    firsts = F.array(*map(F.lit, sorted(first_words)))
+
+    def across(line: Column, at: Column) -> Column:
+        """The last words of a line and the first ones behind it; empty at the end of a paragraph."""
+        behind = F.slice(lines, at + 2, longest)
+        gap = F.array_position(F.transform(behind, lambda w: F.size(w) == 0), True)
+        behind = F.flatten(F.when(gap > 0, F.slice(behind, 1, gap.cast("int") - 1)).otherwise(behind))
+        last = F.slice(line, F.greatest(F.size(line) - longest + 1, F.lit(1)), longest)
+        joined = F.concat(last, F.slice(behind, 1, longest))
+        return F.when((F.size(line) > 0) & (F.size(behind) > 0), joined).otherwise(F.array().cast("array<string>"))
+
+    def block(words: Column) -> Column:
         return F.struct(
             F.size(F.array_distinct(words)).alias("size"),
             # in the order of by_rank: array_intersect keeps the order of its first side
             F.array_intersect(by_rank, words).alias("words"),
         )
 
-    return F.array_distinct(F.transform(lines, block))
+    both = F.concat(lines, F.transform(lines, across))
+    return F.array_distinct(F.transform(F.filter(both, lambda words: F.arrays_overlap(words, firsts)), block))
 
 
 def _meeting(rows: DataFrame, wanted, sorted_words, needs, prefix) -> DataFrame:

@@ -286,6 +286,31 @@ def test_license_join_finds_every_block_that_meets_a_template(spark):
             assert got[k] == {t.label for t in wanted if len(words & set(t.words)) >= t.need(threshold)}
 
 
+def test_licenses_wrapped_over_lines(spark):
+    """Notices at any width, as paragraphs of prose and comments have them; blank lines part them."""
+    wrapped = {
+        "bsd": "Copyright A\n\n// Redistribution and use in source and binary forms, with or without\n// modification, are permitted provided that\n",
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\r\nof this software and associated documentation\r\n",
+        "mpl-2.0": " * This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not\n",
+    }
+    r = random.Random(2)
+    rows = [(label, text) for label, text in wrapped.items()]
+    for label, notice in licenses.TEMPLATES:
+        for width in (1, 2, 3, 5):
+            words = notice.split()
+            lines = [" ".join(words[k : k + width]) for k in range(0, len(words), width)]
+            lines[0] = " ".join([*r.choices(WORDS, k=r.choice([0, 5, 40])), lines[0]])
+            lines[-1] = " ".join([lines[-1], *r.choices(WORDS, k=r.choice([0, 5, 40]))])
+            rows.append((label, "\n".join(lines)))
+    rows += [(None, "Released under the\n \nMIT License"), (None, "Released under the " + " ".join(WORDS[:40]) + "\nMIT License"), (None, "\n\n")]
+    frame = spark.createDataFrame([(k, text) for k, (_, text) in enumerate(rows)], "doc_id bigint, text string")
+    base = {label for _, label in licenses.PHRASES}
+    for x in licenses.scan_licenses(frame).collect():
+        label, text = rows[x.doc_id]
+        assert set(x.labels) - base == ({label} if label else set()), text
+        assert x.score >= 0.9 if label else x.score == 0
+
+
 def test_packing(docs, none):
     packed = packing.pack(docs).collect()
     assert sum(r.length for r in packed if r.doc_id == 1) == 1
