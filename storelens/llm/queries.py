@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from storelens.llm import (
+    collocations,
     cotraining,
     decontamination,
     licenses,
@@ -15,8 +16,10 @@ from storelens.llm import (
     packing,
     quality,
     repeats,
+    simhash,
     token_files,
     toxicity,
+    turn_repair,
 )
 from storelens.llm.frames import read_table
 from storelens.session import scratch_path
@@ -68,6 +71,19 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(token_files.read_token_files(spark, path))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_table(spark, sf_dir, "conversations")
+    return turn_repair.digest(turn_repair.repair(turn_repair.damage(conversations)), conversations)
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read_table(spark, sf_dir, "documents"))
+
+
+def op13_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(simhash.similar_documents(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -81,6 +97,9 @@ QUERIES: dict[str, Query] = {
         op8_suffix_dedup,
         op9_license_scans,
         op10_token_files,
+        op11_conversation_repair,
+        op12_phrase_collocations,
+        op13_simhash_dedup,
     )
 }
 
@@ -198,9 +217,143 @@ select doc_id, n_words, len(places) as n_base, list_min(places) - 1 as first_wor
 from labelled left join found using (doc_id)
 """
 
+
+def _after(state: str, cost: str, edit: str) -> str:
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}'}}"
+
+
+def _least(*options: str) -> str:
+    return f"list_sort([{', '.join(options)}])[1]"
+
+
+def _kept(initial: str) -> str:
+    return f"case when not forced and initial = '{initial}' then open else 1000000 end"
+
+
+# costs and audits read from the front: s0 nothing, s1 a system turn, s2 a user turn last, s3 an assistant turn last
+REROLED = "case when forced then 1000000 else 2 + open end"
+BEHIND_ROW = {
+    "e0": _after("s0", "3", "D"),
+    "e1": _least(_after("s1", "3", "D"), _after("s0", _kept("s"), "K")),
+    "e2": _least(
+        _after("s2", "3", "D"),
+        *(_after(s, REROLED, "R") for s in ("s0", "s1", "s3")),
+        *(_after(s, _kept("u"), "K") for s in ("s0", "s1", "s3")),
+    ),
+    "e3": _least(_after("s3", "3", "D"), _after("s2", REROLED, "R"), _after("s2", _kept("a"), "K")),
+}
+USER_INSERTED = _least("e2", *(_after(s, "2", "I") for s in ("e0", "e1", "e3")))
+
+OP11 = rf"""
+with recursive spaced as (
+    select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+           coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as id
+    from conversations),
+coded as (
+    select *, xor(list_reduce(
+        list_prepend(4294967295::bigint, list_transform(string_split(id, ''), lambda c: ord(c)::bigint)),
+        lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda x, y: case when x % 2 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)), 4294967295) % 20 as code
+    from spaced),
+damaged as (
+    select coalesce('=' || conv_id, '') as conv, turn, case when code = 4 then 'user' else role end as role,
+           case when code = 1 then '' when code = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+           unnest(case when code = 3 then [0, 1] else [0] end) as copy
+    from coded where code <> 0),
+placed as (
+    select *, row_number() over (partition by conv order by turn nulls first, role, md5(text), copy) as i from damaged),
+faulty as (
+    select *, case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank'
+        when row_number() over (partition by conv, role, text order by i) > 1 then 'duplicate'
+        when regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) not in ('.', '!', '?') then 'truncated'
+        end as fault
+    from placed),
+line as (
+    select *, left(role, 1) as initial, coalesce(fault in ('blank', 'duplicate'), false) as forced,
+           case when fault = 'truncated' then 1 else 0 end as open,
+           lag(left(role, 1)) over (partition by conv order by i) as before
+    from faulty),
+told as (
+    select conv, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+           count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+           count(*) filter (fault = 'truncated') as truncated,
+           count(*) filter (before || initial not in ('su', 'ua', 'au')) as illegal, max(i) as n
+    from line group by conv),
+path as (
+    select conv, 0::bigint as i, {{'c': 0, 'a': ''}} as s0, {{'c': 1000000, 'a': ''}} as s1,
+           {{'c': 2, 'a': 'I'}} as s2, {{'c': 4, 'a': 'II'}} as s3
+    from told
+    union all
+    select conv, i, e0, e1, f2, {_least("e3", _after("f2", "2", "I"))}
+    from (select *, {USER_INSERTED} as f2
+          from (select path.conv, line.i, {", ".join(f"{v} as {k}" for k, v in BEHIND_ROW.items())}
+                from path join line on line.conv = path.conv and line.i = path.i + 1))),
+best as (select conv, {_least("s0", "s3")} as b from path join told using (conv) where path.i = told.n),
+edit as (select conv, p, b.a[p] as edit from (select *, unnest(range(1, len(b.a) + 1)) as p from best)),
+counted as (
+    select *, count(*) filter (edit <> 'I') over upto as i, count(*) filter (edit <> 'D') over upto as e
+    from edit window upto as (partition by conv order by p rows unbounded preceding)),
+repaired as (
+    select counted.conv, p, edit, e, role, text,
+           max(case when e = 1 and edit = 'K' and initial = 's' then 1 else 0 end) over (partition by counted.conv) as opens
+    from counted left join line on line.conv = counted.conv and line.i = counted.i and edit <> 'I'
+    where edit <> 'D'),
+hashed as (
+    select conv, sha256(string_agg(
+        case when edit = 'K' then role when (e - opens) % 2 = 1 then 'user' else 'assistant' end || ':' || coalesce(text, ''),
+        chr(10) order by p)) as hash
+    from repaired group by conv)
+select conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+       coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(b.c, 0)::bigint as cost,
+       coalesce(b.a, '') as audit, coalesce(hash, sha256('')) as repaired_sha256
+from (select distinct conv_id, coalesce('=' || conv_id, '') as conv from conversations)
+left join told using (conv) left join best using (conv) left join hashed using (conv)
+"""
+
+OP12 = r"""
+with word as (
+    select coalesce(lang, 'und') as lang, unnest(range(1, len(w) + 1)) as i, w
+    from (
+        select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w
+        from (
+            select lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) as piece
+            from documents))),
+total as (select lang, count(*) as n from word group by lang),
+gram as (
+    select lang, m, array_to_string(w[i:i + m - 1], ' ') as g, count(*) as a
+    from word, (select unnest(range(1, 6)) as m) where i + m - 1 <= len(w)
+    group by all having count(*) >= 100),
+candidate as (select lang, g, m, a, string_split(g, ' ') as w from gram where m > 1),
+cut as (
+    select lang, g, m, a, array_to_string(w[:k], ' ') as x, array_to_string(w[k + 1:], ' ') as y, k
+    from (select *, unnest(range(1, m)) as k from candidate)),
+scored as (
+    select cut.lang, cut.g, cut.m, cut.a, k, x.a as l, y.a as r, n,
+           (1000::hugeint * cut.a * n) // (x.a::hugeint * y.a) as score
+    from cut join gram x on x.lang = cut.lang and x.g = cut.x
+    join gram y on y.lang = cut.lang and y.g = cut.y join total on total.lang = cut.lang),
+lowest as (
+    select * from scored qualify row_number() over (partition by lang, g order by score, k) = 1),
+inside as (
+    select distinct lang, array_to_string(w[s:e], ' ') as g, a
+    from (select lang, w, a, m, s, unnest(range(s + 1, m + 1)) as e
+          from (select lang, w, a, m, unnest(range(1, m)) as s from candidate))
+    where e - s + 1 < m),
+ranked as (
+    select lang, row_number() over (partition by lang order by score desc, a desc, g) as rank,
+           g as phrase, a, l, r, n, score
+    from lowest where not exists (
+        select 1 from inside where inside.lang = lowest.lang and inside.g = lowest.g and inside.a >= lowest.a))
+select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked where rank <= 2000
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": OP1,
     "op5_ngram_jaccard": OP5,
     "op6_benchmark_decontamination": OP6,
     "op9_license_scans": OP9,
+    "op11_conversation_repair": OP11,
+    "op12_phrase_collocations": OP12,
 }

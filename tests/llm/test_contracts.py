@@ -47,7 +47,7 @@ def test_sql(spark, name):
 
 def test_one_query_per_operator():
     numbers = [int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
 
 
 def ids_of(docs):
