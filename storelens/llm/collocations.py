@@ -18,6 +18,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ NEXT_BATCH = 64  # while a language has too few phrases: words up to so many tim
 FILTER_BITS = 24
 WORD_BYTES = 8
 PIECE = 1 << 20
+ROW_WORDS = 1 << 13
 SCORE = 1000
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 SPACES = b" \t"
@@ -137,6 +139,15 @@ def _hit(bits: np.ndarray, place: np.ndarray) -> np.ndarray:
     return (bits[(place >> U64(6)).astype(np.int64)] >> (place & U64(63))) & U64(1) != 0
 
 
+def _stretches(hashes: np.ndarray) -> list[np.ndarray]:
+    """Cut at breaks into rows that stay small in the readers' batches."""
+    breaks = np.flatnonzero(hashes == 0)
+    if not len(breaks):
+        return [hashes]
+    first = np.unique(breaks // ROW_WORDS, return_index=True)[1]
+    return np.split(hashes, breaks[first][1:])
+
+
 def encoded(texts: DataFrame, words: DataFrame) -> DataFrame:
     """The texts' frequent words as hashes, zero where two do not stand together in a piece."""
     shared = Bits(words).shared
@@ -157,11 +168,27 @@ def encoded(texts: DataFrame, words: DataFrame) -> DataFrame:
                     size = kept * (1 + ~behind)
                     out = np.zeros(int(size.sum()), U64)
                     out[(np.cumsum(size) - 1)[kept]] = hashes[kept]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([out.tobytes()], pa.binary())], names=["lang", "words"])
+                    made = [v.tobytes() for v in _stretches(out)]
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(made), pa.string()), pa.array(made, pa.binary())], names=["lang", "words"])
 
     return texts.mapInArrow(run, "lang string, words binary")
 
 
+def _joined(batch: pa.RecordBatch):
+    """Some rows of a language at a time, as one array."""
+    langs, words = batch.column("lang"), batch.column("words")
+    sizes = pc.fill_null(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+    at = 0
+    while at < len(sizes):
+        upto = max(at + 1, int(np.searchsorted(np.cumsum(sizes[at:]), PIECE)) + at)
+        part = langs.slice(at, upto - at).to_pylist()
+        data = words.slice(at, upto - at).to_pylist()
+        for lang in dict.fromkeys(part):
+            # a row begins with a break, so rows do not run into one another
+            yield lang, np.frombuffer(b"".join(d for d, own in zip(data, part) if own == lang), U64)
+        at = upto
+
+
 WHOLE, RIGHT, LEFT = "whole", "right", "left"
 
 
@@ -179,8 +206,7 @@ def counted(rows: DataFrame, grams: DataFrame, lengths: list[int], side: str, le
 
     def run(batches):
         for batch in batches:
-            for lang, data in zip(batch.column("lang").to_pylist(), batch.column("words").to_pylist()):
-                hashes = np.frombuffer(data, U64)
+            for lang, hashes in _joined(batch):
                 breaks = np.concatenate([[0], np.cumsum(hashes == 0)])
                 for length in lengths:
                     width = length + more
