@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from functools import reduce
 from itertools import groupby
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 Ref = Callable[[str], DataFrame]
@@ -119,10 +119,17 @@ class ChecksFailed(Exception):
     """At least one data check found failing rows."""
 
 
+def failed_checks(results: DataFrame) -> list[Row]:
+    """The checks that failed. There is one row per check, so the rows are few."""
+    return results.where(F.col("status") == "fail").orderBy("model", "column_name", "test").collect()
+
+
+def failure_of(row: Row) -> str:
+    return f"{row.model}.{row.column_name} {row.test}: {row.failing_rows}"
+
+
 def require_pass(results: DataFrame) -> None:
-    """Raise when a check failed. There is one row per check, so the rows are few."""
-    failed = results.where(F.col("status") == "fail").orderBy("model", "column_name", "test")
-    rows = failed.collect()
+    """Raise when a check failed."""
+    rows = failed_checks(results)
     if rows:
-        lines = [f"{r.model}.{r.column_name} {r.test}: {r.failing_rows}" for r in rows]
-        raise ChecksFailed(f"{len(rows)} checks failed\n" + "\n".join(lines))
+        raise ChecksFailed(f"{len(rows)} checks failed\n" + "\n".join(map(failure_of, rows)))

@@ -159,5 +159,20 @@ class Filters:
             fact = fact.join(self._products(star), "dim_product_sk", "left_semi")
         return fact
 
+    def daily_inventory(self, star: Star) -> DataFrame | None:
+        """The sums kept per date, store, brand and category, under the same filters."""
+        sums = star.daily_inventory()
+        if sums is None:
+            return None
+        sums = sums.drop("snapshot_date") if not self.snapshot else sums.where(F.col("snapshot_date") == F.lit(self.snapshot))
+        if self.stores:
+            sums = sums.join(self._stores(star).select("dim_store_sk"), "dim_store_sk", "left_semi")
+        if self.categories or self.brands:
+            keys = star("dim_product").join(self._products(star), "dim_product_sk", "left_semi")
+            pairs = keys.select(F.col("brand_id").alias("_brand"), F.col("category_id").alias("_category"))
+            same = sums.brand_id.eqNullSafe(pairs._brand) & sums.category_id.eqNullSafe(pairs._category)
+            sums = sums.join(pairs, same, "left_semi")
+        return sums
+
 
 ALL = Filters()

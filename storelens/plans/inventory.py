@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.bands import alert_level, is_low_stock
-from storelens.functions.numbers import divide0, money_sum, percent, ratio
+from storelens.functions.numbers import MONEY_SUM, divide0, money_sum, percent, ratio
 from storelens.operators.periods import snapshot_before
 from storelens.operators.shares import total_of
 from storelens.plans.filters import ALL, Filters
@@ -78,9 +78,16 @@ def units_by_store(star: Star, filters: Filters = ALL) -> DataFrame:
 
 
 def _per_snapshot(star: Star, filters: Filters) -> DataFrame:
-    """One row per snapshot date that is in the calendar."""
+    """One row per snapshot date that is in the calendar, out of the sums kept with the history
+    where there are such: they have the grain of every filter that a trend takes."""
     calendar = star("dim_date").select("dim_date_sk", F.col("date_day").alias("snapshot_date"))
-    sums = _sums(filters.inventory(star, history=True), "dim_date_sk")
+    kept = filters.daily_inventory(star)
+    if kept is None:
+        sums = _sums(filters.inventory(star, history=True), "dim_date_sk")
+    else:
+        sums = kept.groupBy("dim_date_sk").agg(
+            F.sum("units").alias("units"), F.sum("value").cast(MONEY_SUM).alias("value")
+        )
     return sums.join(F.broadcast(calendar), "dim_date_sk").drop("dim_date_sk")
 
 

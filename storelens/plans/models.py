@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Collection
+from dataclasses import dataclass
+from functools import partial
+from graphlib import TopologicalSorter
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,14 +15,13 @@ from storelens.operators import dimensions, facts
 from storelens.operators.loads import last_run_per_date, latest_full_load, latest_run
 from storelens.operators.staging import STAGING
 from storelens.plans import model_schemas
-from storelens.sources import raw
+from storelens.sources import raw, versions
 from storelens.sources.schemas import TABLES
+from storelens.streaming.snapshots import BY_DATE, DAILY_DDL, HISTORY, daily_path
 
 STAGING_LAYER = "staging"
 GOLD_LAYER = "common_bs"  # fixed value: folder name of the gold layer
 
-Ref = Callable[[str], DataFrame]
-
 
 class Sources(Protocol):
     spark: SparkSession
@@ -64,31 +66,33 @@ STAGED: dict[str, Callable[[Sources], DataFrame]] = {
     f"stg_{name}": _latest(name) for name in STAGING
 }
 
-GOLD: dict[str, Callable[[Ref], DataFrame]] = {
-    "dim_customer": lambda ref: dimensions.dim_customer(ref("stg_customers")),
-    "dim_product": lambda ref: dimensions.dim_product(
-        ref("stg_products"), ref("stg_brands"), ref("stg_categories")
-    ),
-    "dim_store": lambda ref: dimensions.dim_store(ref("stg_stores")),
-    "dim_staff": lambda ref: dimensions.dim_staff(ref("stg_staffs")),
-    "dim_date": lambda ref: dimensions.dim_date(ref("date_spine")),
-    "fct_sales": lambda ref: facts.fct_sales(ref("stg_order_items"), ref("stg_orders")),
-    "fct_inventory": lambda ref: facts.fct_inventory(ref("stg_stocks"), ref("stg_products")),
-    "fct_inventory_history": lambda ref: facts.fct_inventory_history(
-        ref("stg_stocks_history"), ref("stg_products")
+@dataclass(frozen=True)
+class Model:
+    """A model of the gold layer: the models it reads, in the order `build` takes them."""
+
+    inputs: tuple[str, ...]
+    build: Callable[..., DataFrame]
+
+
+GOLD: dict[str, Model] = {
+    "dim_customer": Model(("stg_customers",), dimensions.dim_customer),
+    "dim_product": Model(("stg_products", "stg_brands", "stg_categories"), dimensions.dim_product),
+    "dim_store": Model(("stg_stores",), dimensions.dim_store),
+    "dim_staff": Model(("stg_staffs",), dimensions.dim_staff),
+    "dim_date": Model(("date_spine",), dimensions.dim_date),
+    "fct_sales": Model(("stg_order_items", "stg_orders"), facts.fct_sales),
+    "fct_inventory": Model(("stg_stocks", "stg_products"), facts.fct_inventory),
+    "fct_inventory_history": Model(
+        ("stg_stocks_history", "stg_products"), facts.fct_inventory_history
     ),
 }
 
 
 # Large facts are stored by time, so a period filter skips whole folders.
 PARTITION_BY = {"fct_sales": "order_month", "fct_inventory_history": "snapshot_date"}
-LAID_OUT: dict[str, Callable[[Ref], DataFrame]] = {
-    "fct_sales": lambda ref: facts.fct_sales(
-        ref("stg_order_items"), ref("stg_orders"), by_month=True
-    ),
-    "fct_inventory_history": lambda ref: facts.fct_inventory_history(
-        ref("stg_stocks_history"), ref("stg_products"), by_snapshot=True
-    ),
+LAID_OUT: dict[str, Callable[..., DataFrame]] = {
+    "fct_sales": partial(facts.fct_sales, by_month=True),
+    "fct_inventory_history": partial(facts.fct_inventory_history, by_snapshot=True),
 }
 
 
@@ -122,7 +126,26 @@ class Star:
             return STAGING["stocks"](self.sources.history("stocks"))
         if name in STAGED:
             return STAGED[name](self.sources)
-        return GOLD[name](self)
+        return GOLD[name].build(*map(self, GOLD[name].inputs))
+
+    def daily_inventory(self) -> DataFrame | None:
+        """Inventory per date, store, brand and category, where such sums are kept."""
+        return None
+
+
+def levels(inputs: dict[str, Collection[str]]) -> list[list[str]]:
+    """Models in groups such that each needs only models of the groups before. A cycle, or a model
+    that is needed and not there, is an error."""
+    unknown = sorted({i for needed in inputs.values() for i in needed} - set(inputs))
+    if unknown:
+        raise ValueError(f"no such models: {', '.join(unknown)}")
+    sorter = TopologicalSorter(inputs)
+    sorter.prepare()
+    groups = []
+    while sorter.is_active():
+        groups.append(sorted(sorter.get_ready()))
+        sorter.done(*groups[-1])
+    return groups
 
 
 def layer_of(name: str) -> str:
@@ -134,17 +157,42 @@ def model_path(root: str, name: str) -> str:
 
 
 class StoredStar(Star):
-    """Models read back from the warehouse folder."""
+    """Models read back from the warehouse folder, each in its current version or, while they are
+    built, in one that is not yet current."""
 
     def __init__(self, sources: Sources, root: str, **spine: dt.date):
         super().__init__(sources, **spine)
         self.root = root
+        self._unpublished: dict[str, str] = {}
 
     def compute(self, name: str) -> DataFrame:
         """One model as it is to be stored, from the stored models before it."""
-        return LAID_OUT[name](self) if name in LAID_OUT else super()._build(name)
+        if name in LAID_OUT:
+            return LAID_OUT[name](*map(self, GOLD[name].inputs))
+        return super()._build(name)
+
+    def show(self, name: str, version: str | None) -> None:
+        """From now on show a version that is not current; None goes back to the current one."""
+        self._built.pop(name, None)
+        self._unpublished.pop(name, None)
+        if version is not None:
+            self._unpublished[name] = version
 
     def _build(self, name: str) -> DataFrame:
         if name in NOT_STORED:
             return self.compute(name)
-        return self.spark.read.schema(model_schemas.ddl(name)).parquet(model_path(self.root, name))
+        path, columns = model_path(self.root, name), model_schemas.ddl(name)
+        if name in self._unpublished:
+            folder = versions.version_path(path, self._unpublished[name])
+            return self.spark.read.schema(columns).parquet(folder)
+        _, state = versions.read_state(self.spark, path)
+        if state and versions.WHOLE not in state:
+            return versions.current_parts(self.spark, path, state, columns, PARTITION_BY[name])
+        return versions.current(self.spark, path, columns)
+
+    def daily_inventory(self) -> DataFrame | None:
+        path = model_path(self.root, HISTORY)
+        _, state = versions.read_state(self.spark, path)
+        if not state or versions.WHOLE in state:
+            return None
+        return versions.current_parts(self.spark, daily_path(path), state, DAILY_DDL, BY_DATE)

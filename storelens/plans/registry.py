@@ -23,6 +23,7 @@ from storelens.plans.warehouse import (
     build_warehouse,
     ingest,
     landed_catalog,
+    publish_model,
     write_model,
 )
 from storelens.session import scratch_path
@@ -30,7 +31,7 @@ from storelens.sources import raw
 from storelens.sources.driver_tables import SNAPSHOT_START, SNAPSHOTS, DriverTables
 from storelens.sources.jdbc import base_tables
 from storelens.sources.schemas import PRODUCTION_TABLES, SALES_TABLES, TABLES, SourceTable
-from storelens.streaming.snapshots import STOCKS, snapshot_stream
+from storelens.streaming.snapshots import STOCKS, read_history, snapshot_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,8 +113,9 @@ def source_catalog(sources: DriverTables) -> DataFrame:
 
 
 def model_write(star: Star) -> DataFrame:
-    root = scratch_path(star.spark, "model")
-    write_model(LAID_OUT["fct_sales"](star), root, "fct_sales")
+    root, name = scratch_path(star.spark, "model"), "fct_sales"
+    laid_out = LAID_OUT[name](*map(star, GOLD[name].inputs))
+    publish_model(star.spark, root, name, write_model(laid_out, root, name))
     stored = StoredStar(star.sources, root, **SPINE)
     return stored("fct_sales").select(*star("fct_sales").columns)
 
@@ -181,7 +183,7 @@ def streamed_history(sources: DriverTables) -> DataFrame:
     snapshot_stream(spark, root, products, target, state).awaitTermination()
     raw.write_snapshot(first.limit(0), root, STOCKS, raw.Load(later, "emptied"))
     snapshot_stream(spark, root, products, target, state).awaitTermination()
-    return spark.read.parquet(target)
+    return read_history(spark, target)
 
 
 INGEST: dict[str, Query] = {

@@ -10,22 +10,22 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.operators.loads import runs_per_date
-from storelens.operators.quality import require_pass, run_checks
+from storelens.operators.quality import ChecksFailed, failed_checks, failure_of, run_checks
 from storelens.plans.models import (
     GOLD,
+    NOT_STORED,
     PARTITION_BY,
     STAGED,
     LandedTables,
     Sources,
     StoredStar,
+    levels,
     model_path,
 )
 from storelens.plans.suite import SUITE
-from storelens.session import folder_exists
-from storelens.sources import raw
+from storelens.sources import raw, versions
 from storelens.sources.schemas import PRODUCTION_TABLES, SALES_TABLES, SourceTable
-from storelens.streaming.snapshots import STOCKS, update_history
+from storelens.streaming.snapshots import HISTORY, update_history
 
 Reader = Callable[[SourceTable], DataFrame]
 
@@ -59,70 +59,83 @@ def ingest_production(reader: Reader, root: str, load: raw.Load | None = None) -
     return ingest(reader, PRODUCTION_TABLES, root, load)
 
 
-def write_model(df: DataFrame, root: str, name: str) -> None:
-    """Overwrite one model."""
-    out = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+def write_model(df: DataFrame, root: str, name: str) -> str:
+    """Write one model to a new version, which is not current yet."""
+    version = versions.new_version()
+    out = df.write
     if name in PARTITION_BY:
         out = out.partitionBy(PARTITION_BY[name])
-    out.parquet(model_path(root, name))
+    out.parquet(versions.version_path(model_path(root, name), version))
+    return version
 
 
-# Models of a group need only models of the groups before.
-BUILD_GROUPS = [list(STAGED), list(GOLD)]
-BUILD_ORDER = [name for group in BUILD_GROUPS for name in group]
-HISTORY = "fct_inventory_history"
-STATE_DDL = "snapshot_date date, run_id string, prices bigint"
+def publish_model(spark: SparkSession, root: str, name: str, version: str) -> None:
+    """Make a version current. The one before it stays for those who are reading it."""
+    path = model_path(root, name)
+    versions.publish(spark, path, version)
+    versions.drop_old_versions(spark, path)
+
+
+BUILD_ORDER = [*STAGED, *GOLD]
+
+
+def build_inputs(check: bool = True) -> dict[str, set[str]]:
+    """The stored models that each model needs: those it reads and, if it is checked, those its
+    keys refer to."""
+    inputs: dict[str, set[str]] = {name: set() for name in STAGED}
+    for name, model in GOLD.items():
+        inputs[name] = set(model.inputs) - set(NOT_STORED)
+    for c in SUITE if check else ():
+        if c.parent:
+            inputs[c.model].add(c.parent)
+    return inputs
 
 
 def build_warehouse(
     sources: Sources, root: str, check: bool = True, **spine: dt.date
 ) -> StoredStar:
-    """Write the models group by group. Each reads the written ones before it, so nothing is
-    computed twice and a lost executor costs only its own tasks.
+    """Write the models in the order of their inputs. Each reads the written ones before it, so
+    nothing is computed twice and a lost executor costs only its own tasks.
 
-    A group's checks run before the next group is written: bad staging leaves gold as it is.
+    A model is written aside, checked, and only then made current. If a check fails, the version
+    before stays current, and what needs the model is not built; everything else is. The error
+    that tells of it comes last.
     """
     stored = StoredStar(sources, root, **spine)
-
-    def write(name: str) -> None:
-        if name == HISTORY:
-            write_history(stored, root)
-        else:
-            write_model(stored.compute(name), root, name)
-
-    for group in BUILD_GROUPS:
-        _at_once(write, group)
-        if check:
-            require_pass(run_checks(stored, [c for c in SUITE if c.model in group]))
+    inputs = build_inputs(check)
+    stopped: dict[str, list[str]] = {}
+    for level in levels(inputs):
+        for name in level:
+            behind = sorted(inputs[name] & set(stopped))
+            if behind:
+                stopped[name] = [f"{name}: not built, it needs {', '.join(behind)}"]
+        due = [name for name in level if name not in stopped]
+        made: dict[str, str] = {}
+
+        def write(name: str, made: dict[str, str] = made) -> None:
+            if name == HISTORY and keeps_records(sources):
+                update_history(stored.spark, sources.root, stored("stg_products"), model_path(root, HISTORY))
+            else:
+                made[name] = write_model(stored.compute(name), root, name)
+
+        _at_once(write, due)
+        for name, version in made.items():
+            stored.show(name, version)
+        checks = [c for c in SUITE if check and c.model in made]
+        for row in failed_checks(run_checks(stored, checks)) if checks else ():
+            stopped.setdefault(row.model, []).append(failure_of(row))
+        for name, version in made.items():
+            if name not in stopped:
+                publish_model(stored.spark, root, name, version)
+            stored.show(name, None)
+    if stopped:
+        raise ChecksFailed(f"{len(stopped)} models are not current\n" + "\n".join(line for lines in stopped.values() for line in lines))
     return stored
 
 
-def write_history(stored: StoredStar, root: str) -> None:
-    """Rewrite the snapshot dates whose last load is not the one in the stored history.
-
-    What is stored is noted per date: the load, and a checksum of the prices it was valued with.
-    New prices, an unknown state or sources without loads mean that all dates are written.
-    """
-    spark, sources, state = stored.spark, stored.sources, f"{root}/_state/{HISTORY}"
-    if not (isinstance(sources, LandedTables) and sources.by == "run"):
-        write_model(stored.compute(HISTORY), root, HISTORY)
-        return
-    products = stored("stg_products")
-    prices = products.agg(F.bit_xor(F.xxhash64("product_id", "list_price"))).first()[0]
-    runs = runs_per_date(raw.read_manifest(spark, sources.root), STOCKS)
-    # one row per snapshot date
-    loads = {r.ingestion_date: r.run_id for r in runs.collect()}
-    known = {}
-    if folder_exists(spark, state):
-        known = {r.snapshot_date: (r.run_id, r.prices) for r in spark.read.schema(STATE_DDL).parquet(state).collect()}
-    if not known or any(price != prices for _, price in known.values()):
-        write_model(stored.compute(HISTORY), root, HISTORY)
-    else:
-        changed = sorted(d for d, run in loads.items() if known.get(d) != (run, prices))
-        if changed:
-            update_history(spark, sources.root, products, model_path(root, HISTORY), changed)
-    rows = [(d, run, prices) for d, run in sorted(loads.items())]
-    spark.createDataFrame(rows, STATE_DDL).coalesce(1).write.mode("overwrite").parquet(state)
+def keeps_records(sources: Sources) -> bool:
+    """Whether the sources tell the load of each snapshot date; else the history is written whole."""
+    return isinstance(sources, LandedTables) and sources.by == "run"
 
 
 def landed_catalog(spark: SparkSession, root: str) -> DataFrame:

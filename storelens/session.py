@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -77,3 +78,42 @@ def clean_scratch(spark: SparkSession) -> None:
     """Deletes what this application has left below the shared folder. Call it when no frame that
     reads it is needed any more, at the end of a job."""
     remove_folder(spark, _scratch(spark))
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder of the shared store, sorted; none if it is not there."""
+    store, folder = _folder(spark, path)
+    if not store.exists(folder):
+        return []
+    return sorted(status.getPath().getName() for status in store.listStatus(folder))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file of the shared store."""
+    store, file = _folder(spark, path)
+    stream = store.open(file)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Adds a small file whole, unless there is one: of several writers one succeeds."""
+    context = spark.sparkContext
+    hadoop = context._jvm.org.apache.hadoop.fs
+    store, file = _folder(spark, path)
+    draft = hadoop.Path(f"{file.getParent()}/.{uuid.uuid4().hex}")
+    stream = store.create(draft, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    files = hadoop.FileContext.getFileContext(store.getUri(), context._jsc.hadoopConfiguration())
+    keep_existing = context._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        files.rename(draft, file, keep_existing)
+    except Py4JJavaError as error:
+        store.delete(draft, False)
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True

@@ -7,7 +7,7 @@ from conftest import DAY1, DAY2, Shop, plan_of, rows
 from storelens.operators.loads import latest_full_load
 from storelens.operators.quality import ChecksFailed
 from storelens.operators.staging import stg_products
-from storelens.plans.models import LandedTables, model_path
+from storelens.plans.models import LandedTables, StoredStar, model_path
 from storelens.plans.warehouse import (
     BUILD_ORDER,
     build_warehouse,
@@ -21,7 +21,8 @@ from storelens.sources import raw
 from storelens.sources.jdbc import Connection, base_tables, split_options
 from storelens.sources.object_store import lakehouse_root, object_store_conf
 from storelens.sources.schemas import TABLES
-from storelens.streaming.snapshots import STOCKS, snapshot_stream
+from storelens.sources.versions import read_state
+from storelens.streaming.snapshots import STOCKS, read_history, snapshot_stream
 
 
 @pytest.fixture
@@ -109,7 +110,7 @@ def test_build_and_rebuild(spark, shop, root):
     counts = {name: stored(name).count() for name in BUILD_ORDER}
     assert counts["fct_sales"] == 6 and counts["stg_stocks"] == 6
     assert counts["fct_inventory_history"] == 8 and counts["dim_date"] == 7306
-    months = spark.read.parquet(model_path(root, "fct_sales")).select("order_month").distinct()
+    months = stored("fct_sales").select("order_month").distinct()
     assert sorted(rows(months)) == [
         (dt.date(2016, 2, 1),), (dt.date(2017, 2, 1),), (dt.date(2018, 3, 1),),
     ]
@@ -165,8 +166,6 @@ def test_shares_scan_the_fact_twice(spark, shop, root):
 
 
 def test_second_build_rewrites_changed_dates_only(spark, root):
-    import os
-
     shop = Shop(spark)
     tables = [t for t in TABLES.values() if t.name != "stocks"]
     ingest(lambda t: shop.latest(t.name), tables, root, raw.Load(DAY2, "x"))
@@ -176,11 +175,8 @@ def test_second_build_rewrites_changed_dates_only(spark, root):
         raw.write_snapshot(frame, root, STOCKS, raw.Load(day, run_id))
 
     def files():
-        folder = model_path(root, "fct_inventory_history")
-        return {
-            day: sorted(f for f in os.listdir(f"{folder}/{day}") if f.endswith(".parquet"))
-            for day in os.listdir(folder) if day.startswith("snapshot_date")
-        }
+        _, state = read_state(spark, model_path(root, "fct_inventory_history"))
+        return {day: part.version for day, part in state.items()}
 
     land(DAY1, "a", 4)
     land(DAY2, "a", 5)
@@ -192,8 +188,8 @@ def test_second_build_rewrites_changed_dates_only(spark, root):
     land(DAY2, "b", 6)
     stored = build_warehouse(landed, root, check=False)
     second = files()
-    assert second[f"snapshot_date={DAY1}"] == first[f"snapshot_date={DAY1}"]
-    assert second[f"snapshot_date={DAY2}"] != first[f"snapshot_date={DAY2}"]
+    assert second[f"{DAY1}"] == first[f"{DAY1}"]
+    assert second[f"{DAY2}"] != first[f"{DAY2}"]
     assert sorted(rows(stored("fct_inventory_history"), "snapshot_date", "quantity")) == [
         (DAY1, 4), (DAY2, 6),
     ]
@@ -201,12 +197,11 @@ def test_second_build_rewrites_changed_dates_only(spark, root):
 
 def test_bad_staging_leaves_gold_untouched(spark, shop, root):
     build_warehouse(shop, root, check=False)
-    gold = model_path(root, "dim_store")
-    before = rows(spark.read.parquet(gold))
+    before = rows(StoredStar(shop, root)("dim_store"))
     stores = [*shop.rows["stores"], shop.rows["stores"][0]]
     with pytest.raises(ChecksFailed, match="stg_stores.store_id unique"):
         build_warehouse(Shop(spark, stores=stores), root)
-    assert sorted(rows(spark.read.parquet(gold))) == sorted(before)
+    assert sorted(rows(StoredStar(shop, root)("dim_store"))) == sorted(before)
 
 
 def test_an_emptied_day_leaves_the_history(spark, root):
@@ -217,7 +212,7 @@ def test_an_emptied_day_leaves_the_history(spark, root):
         raw.write_snapshot(frame, root, STOCKS, raw.Load(DAY1, run_id))
         raw.write_snapshot(filled, root, STOCKS, raw.Load(DAY2, run_id))
         snapshot_stream(spark, root, products, target, state).awaitTermination()
-    got = rows(spark.read.parquet(target), "snapshot_date", "quantity")
+    got = rows(read_history(spark, target), "snapshot_date", "quantity")
     landed = rows(LandedTables(spark, root).history("stocks"), "ingestion_date", "quantity")
     assert sorted(got) == sorted(landed) == [(DAY2, 3), (DAY2, 4)]
 
@@ -236,7 +231,7 @@ def test_stream_follows_new_loads(spark, root):
 
     def run():
         snapshot_stream(spark, root, products, target, state).awaitTermination()
-        return sorted(rows(spark.read.parquet(target), "snapshot_date", "quantity"))
+        return sorted(rows(read_history(spark, target), "snapshot_date", "quantity"))
 
     def land_stocks(day, run_id, *quantities):
         stocks = [(1, 1 + i, q, day) for i, q in enumerate(quantities)]
