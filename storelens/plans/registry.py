@@ -72,7 +72,7 @@ def _land(tables: list[SourceTable]) -> Query:
         load = raw.Load(DAYS[-1], "first")
         ingest(lambda table: sources.latest(table.name), tables, root, load)
         return raw.read_manifest(spark, root).drop(
-            "run_id", "path", "duration_seconds", "loaded_at"
+            "run_id", "path", "duration_seconds", "loaded_at", "schema_changes"
         )
 
     return run
@@ -86,6 +86,15 @@ def land_stocks(sources: DriverTables, root: str) -> None:
         raw.write_snapshot(snapshot, root, STOCKS, raw.Load(day, f"run{i}"))
 
 
+def manifest_reconciliation(sources: DriverTables) -> DataFrame:
+    """Land all tables, and stocks of every date, and compare the manifest with what is there."""
+    root, tables = scratch_path(sources.spark, "reconciled"), [*SALES_TABLES, *PRODUCTION_TABLES]
+    others = [t for t in tables if t is not STOCKS]
+    ingest(lambda table: sources.latest(table.name), others, root, raw.Load(DAYS[-1], "first"))
+    land_stocks(sources, root)
+    return raw.reconcile(sources.spark, root, tables)
+
+
 def raw_snapshot_write(sources: DriverTables) -> DataFrame:
     """Write a snapshot twice under one load and read it back: the rerun replaces it."""
     root, table = scratch_path(sources.spark, "snapshot"), TABLES["customers"]
@@ -192,6 +201,7 @@ INGEST: dict[str, Query] = {
     "ingest_sales": _land(SALES_TABLES),
     "ingest_production": _land(PRODUCTION_TABLES),
     "ingest_manifest": _land([*SALES_TABLES, *PRODUCTION_TABLES]),
+    "manifest_reconciliation": on_sources(manifest_reconciliation),
     "raw_snapshot_write": on_sources(raw_snapshot_write),
     "raw_scan": on_sources(raw_scan),
     "model_write": on_star(model_write),

@@ -87,7 +87,8 @@ def full_load(
     rows_per_task: int = 1_000_000,
     connections: int = CONNECTIONS,
 ) -> DataFrame:
-    """The whole table. Executors each read a range of a key column.
+    """The whole table as the database has it; landing holds its columns against the declared ones.
+    Executors each read a range of a key column.
 
     The ranges are read by connections of their own at moments of their own: a load is one
     consistent snapshot only if the table does not change meanwhile, or on a replica that is held.
@@ -105,7 +106,7 @@ def full_load(
             key, extent["low"], extent["high"], extent["total"], rows_per_task, connections
         )
         reader = reader.options(**split)
-    return table.conform(reader.load())
+    return reader.load()
 
 
 def list_tables(
