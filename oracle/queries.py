@@ -345,8 +345,10 @@ select d.year_number, d.month_number, d.month_name, {REVENUE} monthly_revenue
 from fct_sales s {DATE} where d.year_number = 1997 and d.quarter_number in (1, 4)
 group by 1, 2, 3""",
     "filter_store": sales_kpis("where st.store_name in ('ASIA Store', 'EUROPE Store')", STORE),
+    "filter_store_pushed": sales_kpis("where st.store_name in ('ASIA Store', 'EUROPE Store')", STORE),
     "filter_category": sales_kpis("where p.category_name in ('STANDARD', 'PROMO')", PRODUCT),
     "filter_brand": sales_kpis("where p.brand_name in ('Brand#11', 'Brand#23')", PRODUCT),
+    "filter_brand_pushed": sales_kpis("where p.brand_name in ('Brand#11', 'Brand#23')", PRODUCT),
     "filter_status": sales_kpis("where s.order_status_label = 'Completed'"),
     "filter_staff": sales_kpis(
         "where sf.full_name in ('First1 Last1', 'First2 Last2') and st.store_name = 'ASIA Store'",

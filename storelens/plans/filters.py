@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 from storelens.functions.bands import LOW_STOCK
 from storelens.plans.models import Star
 
+PUSHED_KEYS = 1000  # keys that a scan is given as a list at most
+
 
 @dataclass(frozen=True)
 class Filters:
@@ -31,6 +34,8 @@ class Filters:
     snapshot: dt.date | None = None
     threshold: int = LOW_STOCK
     active_only: bool = True
+    # what `resolved` has looked up: a key column, the names it is for, and the keys
+    keys: tuple[tuple[str, tuple, tuple[str, ...]], ...] = ()
 
     @classmethod
     def first_load(cls, today: dt.date) -> Filters:
@@ -112,6 +117,54 @@ class Filters:
             parts.append(month <= F.lit(self.end.replace(day=1)))
         return reduce(Column.__and__, parts) if parts else None
 
+    def resolved(self, star: Star, most: int = PUSHED_KEYS) -> Filters:
+        """The same filters with the keys of the chosen names looked up, so that the fact's scan
+        gets them as lists and skips the row groups without them.
+
+        This runs a lookup in each dimension that is filtered. Of more than `most` keys nothing is
+        kept: the fact then meets them in a join, as without this.
+        """
+        wanted = {}
+        if self.stores and self.store_scope == "order":
+            wanted["dim_store_sk"] = self._stores(star)
+        if self.categories or self.brands:
+            wanted["dim_product_sk"] = self._products(star)
+        if self._by_staff:
+            wanted["dim_staff_sk"] = self._staff(star)
+        found = []
+        for key, rows in wanted.items():
+            values = [row[0] for row in rows.select(key).distinct().limit(most + 1).collect()]
+            if len(values) <= most:
+                found.append((key, self._names(key), tuple(sorted(values))))
+        return replace(self, keys=tuple(found))
+
+    def _names(self, key: str) -> tuple:
+        """What a key's list depends on; with other names it no longer holds."""
+        if key == "dim_product_sk":
+            return self.categories, self.brands
+        return (self.stores,) if key == "dim_store_sk" else (self.staff, self.stores, self.store_scope)
+
+    def _with_keys(self, fact: DataFrame, key: str, rows: Callable[[], DataFrame]) -> DataFrame:
+        """Rows of the fact with a key that is among `rows`."""
+        known = [values for column, names, values in self.keys if (column, names) == (key, self._names(key))]
+        if known:
+            # no key at all is a filter too
+            return fact.where(F.col(key).isin(*known[0]) if known[0] else F.lit(False))
+        return fact.join(rows().select(key), key, "left_semi")
+
+    @property
+    def _by_staff(self) -> bool:
+        return bool(self.staff or (self.stores and self.store_scope == "staff"))
+
+    def _staff(self, star: Star) -> DataFrame:
+        staff = star("dim_staff")
+        if self.staff:
+            staff = staff.where(F.col("full_name").isin(*self.staff))
+        if self.stores and self.store_scope == "staff":
+            own = self._stores(star).select("store_id")
+            staff = staff.join(own, "store_id", "left_semi")
+        return staff
+
     def _stores(self, star: Star) -> DataFrame:
         return star("dim_store").where(F.col("store_name").isin(*self.stores))
 
@@ -130,18 +183,11 @@ class Filters:
         if self.statuses:
             fact = fact.where(F.col("order_status_label").isin(*self.statuses))
         if self.stores and self.store_scope == "order":
-            keys = self._stores(star).select("dim_store_sk")
-            fact = fact.join(keys, "dim_store_sk", "left_semi")
+            fact = self._with_keys(fact, "dim_store_sk", lambda: self._stores(star))
         if self.categories or self.brands:
-            fact = fact.join(self._products(star), "dim_product_sk", "left_semi")
-        if self.staff or (self.stores and self.store_scope == "staff"):
-            staff = star("dim_staff")
-            if self.staff:
-                staff = staff.where(F.col("full_name").isin(*self.staff))
-            if self.stores and self.store_scope == "staff":
-                own = self._stores(star).select("store_id")
-                staff = staff.join(own, "store_id", "left_semi")
-            fact = fact.join(staff.select("dim_staff_sk"), "dim_staff_sk", "left_semi")
+            fact = self._with_keys(fact, "dim_product_sk", lambda: self._products(star))
+        if self._by_staff:
+            fact = self._with_keys(fact, "dim_staff_sk", lambda: self._staff(star))
         return fact
 
     def inventory(self, star: Star, history: bool = False) -> DataFrame:
@@ -153,10 +199,9 @@ class Filters:
         if self.snapshot:
             fact = fact.where(F.col("snapshot_date") == F.lit(self.snapshot))
         if self.stores:
-            keys = self._stores(star).select("dim_store_sk")
-            fact = fact.join(keys, "dim_store_sk", "left_semi")
+            fact = self._with_keys(fact, "dim_store_sk", lambda: self._stores(star))
         if self.categories or self.brands:
-            fact = fact.join(self._products(star), "dim_product_sk", "left_semi")
+            fact = self._with_keys(fact, "dim_product_sk", lambda: self._products(star))
         return fact
 
     def daily_inventory(self, star: Star) -> DataFrame | None:

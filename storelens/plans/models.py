@@ -15,6 +15,7 @@ from storelens.operators import dimensions, facts
 from storelens.operators.loads import last_run_per_date, latest_full_load, latest_run
 from storelens.operators.staging import STAGING
 from storelens.plans import model_schemas
+from storelens.plans.layout import PARTITION_BY
 from storelens.sources import raw, versions
 from storelens.sources.schemas import TABLES
 from storelens.streaming.snapshots import BY_DATE, DAILY_DDL, HISTORY, daily_path
@@ -88,8 +89,6 @@ GOLD: dict[str, Model] = {
 }
 
 
-# Large facts are stored by time, so a period filter skips whole folders.
-PARTITION_BY = {"fct_sales": "order_month", "fct_inventory_history": "snapshot_date"}
 LAID_OUT: dict[str, Callable[..., DataFrame]] = {
     "fct_sales": partial(facts.fct_sales, by_month=True),
     "fct_inventory_history": partial(facts.fct_inventory_history, by_snapshot=True),

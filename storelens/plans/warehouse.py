@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.operators.quality import ChecksFailed, failed_checks, failure_of, run_checks
+from storelens.plans.layout import laid_out
 from storelens.plans.models import (
     GOLD,
     NOT_STORED,
-    PARTITION_BY,
     STAGED,
     LandedTables,
     Sources,
@@ -62,10 +62,7 @@ def ingest_production(reader: Reader, root: str, load: raw.Load | None = None) -
 def write_model(df: DataFrame, root: str, name: str) -> str:
     """Write one model to a new version, which is not current yet."""
     version = versions.new_version()
-    out = df.write
-    if name in PARTITION_BY:
-        out = out.partitionBy(PARTITION_BY[name])
-    out.parquet(versions.version_path(model_path(root, name), version))
+    laid_out(df, name).parquet(versions.version_path(model_path(root, name), version))
     return version
 
 
@@ -114,7 +111,9 @@ def build_warehouse(
 
         def write(name: str, made: dict[str, str] = made) -> None:
             if name == HISTORY and keeps_records(sources):
-                update_history(stored.spark, sources.root, stored("stg_products"), model_path(root, HISTORY))
+                update_history(
+                    stored.spark, sources.root, stored("stg_products"), model_path(root, HISTORY)
+                )
             else:
                 made[name] = write_model(stored.compute(name), root, name)
 

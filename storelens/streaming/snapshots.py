@@ -18,6 +18,7 @@ from storelens.functions.numbers import money_sum
 from storelens.operators.facts import fct_inventory_history
 from storelens.operators.loads import last_run_per_date, runs_per_date
 from storelens.operators.staging import stg_stocks
+from storelens.plans.layout import PARTITION_BY, laid_out
 from storelens.plans.model_schemas import ddl
 from storelens.sources import raw, versions
 from storelens.sources.schemas import TABLES
@@ -25,7 +26,7 @@ from storelens.sources.versions import Part, State
 
 STOCKS = TABLES["stocks"]
 HISTORY = "fct_inventory_history"
-BY_DATE = "snapshot_date"
+BY_DATE = PARTITION_BY[HISTORY]
 DAILY_DDL = (
     "dim_date_sk string, dim_store_sk string, brand_id int, category_id int, units bigint, "
     "value decimal(28,2), snapshot_date date"
@@ -84,7 +85,7 @@ def update_history(
     landed = raw.scan(spark, root, STOCKS).where(F.col("ingestion_date").isin(*days))
     stocks = last_run_per_date(landed, raw.read_manifest(spark, root), STOCKS)
     history = fct_inventory_history(stg_stocks(stocks), products, by_snapshot=True)
-    history.write.partitionBy(BY_DATE).parquet(folder)
+    laid_out(history, HISTORY).parquet(folder)
     stored = spark.read.schema(ddl(HISTORY)).parquet(folder)
     sums = daily_sums(stored, products).hint("rebalance", BY_DATE)
     sums.write.partitionBy(BY_DATE).parquet(versions.version_path(daily_path(target), version))
