@@ -32,7 +32,6 @@ from storelens.llm.phrases import LENGTH, TRIGGER, parse, repeated
 
 HOT_PHRASES = 4000  # distinct phrases of one trigger or part that a task compares; beyond it they are split or hashed
 SPLIT = 40  # distances from the trigger that a part of a split trigger covers
-PARTS_A_PHRASE = -(-(LENGTH - TRIGGER + 1) // SPLIT)
 PHRASES_A_BUCKET = 2000
 ADDED = ("n_bytes", "n_removed", "n_spans", "kept", "kept_text")
 PARSE = "ref bigint, first bigint, count int, at int, trigger bigint, content bigint"
@@ -54,13 +53,13 @@ def _with_ref(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     return docs.withColumn("_ref", F.xxhash64(F.col(f"`{doc_id}`").cast("bigint"), body)).withColumn(TEXT, body)
 
 
-def parse_table(rows: DataFrame) -> DataFrame:
+def parse_table(rows: DataFrame, length: int = LENGTH, trigger: int = TRIGGER) -> DataFrame:
     """The phrases of all texts in columns _ref and TEXT."""
 
     def run(batches):
         for batch in batches:
             for part, texts in pieces(batch, TEXT, 4 << 20):
-                made = parse(texts)
+                made = parse(texts, length, trigger)
                 refs = part.column("_ref").to_numpy()[made.text]
                 columns = [refs, made.first, made.count.astype(np.int32), made.at.astype(np.int32), made.trigger.view(np.int64), made.content.view(np.int64)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=PARSE_ARROW)
@@ -68,7 +67,7 @@ def parse_table(rows: DataFrame) -> DataFrame:
     return rows.select("_ref", TEXT).mapInArrow(run, PARSE)
 
 
-def _phrase_bytes(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+def _phrase_bytes(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The bytes of one copy of each wanted phrase."""
     asked = wanted.groupBy("ref").agg(
         F.collect_list(F.struct("first", "count", "at", "trigger", "content", "phrases")).alias("wanted")
@@ -82,7 +81,7 @@ def _phrase_bytes(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 made: list[list] = [[] for _ in PHRASES_ARROW.names]
                 for text, phrases in zip(texts, piece.column("wanted").to_pylist()):
                     for p in phrases:
-                        data = text[p["first"] : p["first"] + p["count"] + LENGTH - 1]
+                        data = text[p["first"] : p["first"] + p["count"] + length - 1]
                         row = (p["trigger"], p["phrases"], p["content"], p["at"], p["at"] - p["count"] + 1, p["at"], data)
                         for column, value in zip(made, row):
                             column.append(value)
@@ -92,7 +91,7 @@ def _phrase_bytes(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return source.mapInArrow(run, "trigger bigint, phrases bigint, content bigint, at int, low int, high int, data binary")
 
 
-def _split(phrases: DataFrame) -> DataFrame:
+def _split(phrases: DataFrame, length: int, trigger: int) -> DataFrame:
     """The phrases in as many parts as a hot trigger is split into."""
 
     def run(batches):
@@ -101,7 +100,8 @@ def _split(phrases: DataFrame) -> DataFrame:
                 row, parts = [], []
                 at, low, high = (piece.column(c).to_pylist() for c in ("at", "low", "high"))
                 for k, data in enumerate(texts):
-                    for part in _parts(data, {"at": at[k], "count": high[k] - low[k] + 1, "phrases": math.inf}):
+                    phrase = {"at": at[k], "count": high[k] - low[k] + 1, "phrases": math.inf}
+                    for part in _parts(data, phrase, length, trigger):
                         row.append(k)
                         parts.append(part)
                 row = pa.array(row, pa.int64())
@@ -112,7 +112,7 @@ def _split(phrases: DataFrame) -> DataFrame:
     return phrases.select("trigger", "content", "at", "low", "high", "data").mapInArrow(run, PARTS)
 
 
-def _parts(data: bytes, phrase: dict):
+def _parts(data: bytes, phrase: dict, length: int = LENGTH, trigger: int = TRIGGER):
     """(part, least, greatest distance of a string's start from the trigger) of a phrase."""
     at, low, high = phrase["at"], phrase["at"] - phrase["count"] + 1, phrase["at"]
     if phrase["phrases"] <= HOT_PHRASES:
@@ -122,12 +122,12 @@ def _parts(data: bytes, phrase: dict):
     for first in range(low // SPLIT * SPLIT, high + 1, SPLIT):
         least, most = max(low, first), min(high, first + SPLIT - 1)
         # what every string that begins `first` to `first + SPLIT - 1` bytes before the trigger contains
-        inside = np.array([at - first]), np.array([at + max(TRIGGER, LENGTH - first - SPLIT + 1)])
+        inside = np.array([at - first]), np.array([at + max(trigger, length - first - SPLIT + 1)])
         shared = range_hashes(array, *inside)[0] ^ U64(first + 1)
         yield int(shared.view(np.int64)), least, most
 
 
-def _repeated_runs(table: pa.Table) -> pa.Table:
+def _repeated_runs(table: pa.Table, length: int = LENGTH) -> pa.Table:
     """Runs of repeated strings, by their first string's place in the phrase."""
     keys = np.stack([table.column("trigger").to_numpy(), table.column("part").to_numpy()])
     content = table.column("content").to_numpy()
@@ -141,7 +141,7 @@ def _repeated_runs(table: pa.Table) -> pa.Table:
         group = group[np.concatenate(([True], np.diff(content[group]) != 0))]
         if len(group) < 2:
             continue
-        origin, twice = repeated([data[i] for i in group], at[group], low[group], high[group])
+        origin, twice = repeated([data[i] for i in group], at[group], low[group], high[group], length)
         for row, i in enumerate(group.tolist()):
             # strings in text order are those of falling distance from the trigger
             hit = np.concatenate(([False], twice[row, ::-1], [False])).astype(np.int8)
@@ -156,7 +156,7 @@ def _repeated_runs(table: pa.Table) -> pa.Table:
     return pa.table(made, pa.schema(kinds))
 
 
-def _strings(parts: DataFrame) -> DataFrame:
+def _strings(parts: DataFrame, length: int) -> DataFrame:
     """The hash of every string of the parts, and where in its phrase it begins."""
 
     def run(batches):
@@ -168,7 +168,7 @@ def _strings(parts: DataFrame) -> DataFrame:
                 begin = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + (at - high)[row]
                 sizes = np.array([len(t) for t in texts])
                 start = begin + (np.cumsum(sizes) - sizes)[row]
-                hashes = range_hashes(np.frombuffer(b"".join(texts), np.uint8), start, start + LENGTH)
+                hashes = range_hashes(np.frombuffer(b"".join(texts), np.uint8), start, start + length)
                 made = [piece.column(c).to_numpy()[row] for c in ("trigger", "content")]
                 arrays = [pa.array(c) for c in (*made, begin.astype(np.int32), hashes.view(np.int64))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["trigger", "content", "begin", "string"])
@@ -176,9 +176,9 @@ def _strings(parts: DataFrame) -> DataFrame:
     return parts.mapInArrow(run, "trigger bigint, content bigint, begin int, string bigint")
 
 
-def _counted_runs(parts: DataFrame) -> DataFrame:
+def _counted_runs(parts: DataFrame, length: int) -> DataFrame:
     """As `_repeated_runs`, of parts of any number of phrases: by hashes, which Spark groups."""
-    strings = _strings(parts)
+    strings = _strings(parts, length)
     # the least and greatest phrase are summed up where the strings are made; a phrase holds a string once
     twice = strings.groupBy("trigger", "string").agg(F.min("content").alias("least"), F.max("content").alias("most"))
     twice = twice.where("least < most").select("trigger", "string")
@@ -201,9 +201,9 @@ def _counted_runs(parts: DataFrame) -> DataFrame:
     return begins.mapInArrow(run, RUNS)
 
 
-def repeated_spans(rows: DataFrame) -> DataFrame:
+def repeated_spans(rows: DataFrame, length: int = LENGTH, trigger: int = TRIGGER) -> DataFrame:
     """Per ref: `spans`, the (begin, end) byte ranges of repeated strings; they may overlap."""
-    parsed = parse_table(rows)
+    parsed = parse_table(rows, length, trigger)
     distinct = parsed.groupBy("trigger", "content").agg(
         F.count("*").alias("places"),
         F.min(F.struct("ref", "first")).alias("pick"),
@@ -215,28 +215,30 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     distinct = stored(distinct.join(sharing.where("uses > 1").drop("uses"), "trigger"), "dictionary")
     wanted = distinct.where("phrases > 1").select("pick.*", "count", "at", "trigger", "content", "phrases")
     sizes = wanted.agg(F.count("*").alias("all"), F.count_if(F.col("phrases") > HOT_PHRASES).alias("hot")).first()
-    compared = _phrase_bytes(rows, wanted)
+    compared = _phrase_bytes(rows, wanted, length)
     if sizes["hot"]:
         compared = stored(compared, "phrases")
     few = compared.where(F.col("phrases") <= HOT_PHRASES).withColumn("part", F.lit(0).cast("bigint"))
     few = few.select("trigger", "part", "content", "at", "low", "high", "data")
     if sizes["hot"]:
-        split = _split(compared.where(F.col("phrases") > HOT_PHRASES))
+        split = _split(compared.where(F.col("phrases") > HOT_PHRASES), length, trigger)
         crowded = split.groupBy("trigger", "part").count().where(F.col("count") > HOT_PHRASES)
         # one key per HOT_PHRASES phrases at most
         crowded = F.broadcast(stored(crowded.drop("count"), "crowded"))
         few = few.union(split.join(crowded, ["trigger", "part"], "left_anti"))
-    buckets = max(8, -(-(sizes["all"] + sizes["hot"] * PARTS_A_PHRASE) // PHRASES_A_BUCKET))
+    parts = -(-(length - trigger + 1) // SPLIT)
+    buckets = max(8, -(-(sizes["all"] + sizes["hot"] * parts) // PHRASES_A_BUCKET))
     bucket = F.pmod(F.xxhash64("trigger", "part"), F.lit(buckets)).alias("bucket")
-    runs = few.groupBy(bucket).applyInArrow(_repeated_runs, RUNS)
+    compare = _repeated_runs
+    runs = few.groupBy(bucket).applyInArrow(lambda table: compare(table, length), RUNS)
     if sizes["hot"]:
-        runs = runs.union(_counted_runs(split.join(crowded, ["trigger", "part"], "left_semi")))
+        runs = runs.union(_counted_runs(split.join(crowded, ["trigger", "part"], "left_semi"), length))
     whole = distinct.where("places > 1").select("trigger", "content", F.lit(0).alias("begin"), F.col("count").alias("strings"))
     once = distinct.where("places = 1").select("trigger", "content")
     found = stored(whole.union(runs.join(once, ["trigger", "content"])), "repeated")
     begin = F.col("first") + F.col("begin")
     spans = parsed.join(found, ["trigger", "content"]).select(
-        "ref", F.struct(begin.alias("begin"), (begin + F.col("strings") + (LENGTH - 1)).alias("end")).alias("span")
+        "ref", F.struct(begin.alias("begin"), (begin + F.col("strings") + (length - 1)).alias("end")).alias("span")
     )
     return spans.groupBy("ref").agg(F.collect_set("span").alias("spans"))
 
@@ -254,17 +256,20 @@ def _cut(text: bytes, spans: list[dict] | None) -> tuple[bytes, int]:
     return b"".join([*kept, text[at:]]), runs
 
 
-def remove_repeats(docs: DataFrame, keep: list[str], *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, keep: list[str], *, text: str = "text", doc_id: str = "doc_id",
+    length: int = LENGTH, trigger: int = TRIGGER,
+) -> DataFrame:
     """The columns `keep` of every document with n_bytes, n_removed, n_spans and what is kept.
 
     `kept` are the other bytes, `kept_text` their whole characters where something was removed.
     Texts are UTF-8 bytes, null is empty. Strings are judged on the input; matches never cross
-    documents, and overlapping occurrences in one text count. Texts of less than 400 bytes lose
-    nothing. Repeated rows and ids are documents of their own; no rows, no rows. Columns in `keep`
+    documents, and overlapping occurrences in one text count. Texts of less than `length` bytes lose
+    nothing; a shorter `trigger` means fewer, longer phrases. Repeated rows and ids are documents of their own; no rows, no rows. Columns in `keep`
     with the name of an added one give way to it.
     """
     rows = _with_ref(docs, text, doc_id)
-    spans = repeated_spans(rows)
+    spans = repeated_spans(rows, length, trigger)
     carried = [c for c in keep if c not in ADDED]
     joined = rows.select("_ref", TEXT, *(F.col(f"`{c}`") for c in carried)).join(
         spans.withColumnRenamed("ref", "_ref"), "_ref", "left"
@@ -301,13 +306,15 @@ def digest(removed: DataFrame) -> DataFrame:
     return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_chars: str = "n_chars") -> DataFrame:
+def without_repeats(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_chars: str = "n_chars", **sizes: int
+) -> DataFrame:
     """The documents without repeated bytes, with their columns; `n_chars`, if there, counts anew.
 
     Bytes of a character that a removed run cuts through are dropped with it.
     """
     rows, names = numbered(docs)
-    removed = remove_repeats(rows, rows.columns, text=names[text], doc_id=names[doc_id])
+    removed = remove_repeats(rows, rows.columns, text=names[text], doc_id=names[doc_id], **sizes)
     changed = F.col("n_removed") > 0
     clean: Column = F.col("kept_text")
     columns = []

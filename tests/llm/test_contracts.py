@@ -206,7 +206,7 @@ def test_pipeline(spark, docs, results):
     roots = components(before)[1]
     assert after == {i: t for i, t in before.items() if roots[i] == i or not shingles(t)}
     before, after = after, apply("suffix_dedup")
-    assert after == {i: k.decode("utf-8", "ignore") for i, (k, _) in cut(before).items()}
+    assert after == {i: k.decode("utf-8", "ignore") for i, (k, _) in cut(before, corpus_pipeline.PASSAGE_BYTES).items()}
     assert frame.columns == columns
     lengths = {r["doc_id"]: r["n_chars"] for r in frame.collect()}
     assert all(lengths[i] == len(t) for i, t in after.items())

@@ -209,16 +209,17 @@ def test_phrases_of_one_trigger_find_all_repeats(monkeypatch, letters):
         assert got == brute(texts, 400)
 
 
-def test_a_passage_in_very_many_texts_is_never_one_group(spark, monkeypatch):
+@pytest.mark.parametrize(("length", "trigger"), [(400, 160), (250, 64)])
+def test_a_passage_in_very_many_texts_is_never_one_group(spark, monkeypatch, length, trigger):
     """Parts that the split leaves hot are counted by hashes; the repeats are the same."""
     monkeypatch.setattr(repeats, "HOT_PHRASES", 20)
     compare = repeats._repeated_runs
 
-    def bounded(table):
+    def bounded(table, length):
         seen = {(r["trigger"], r["part"], r["content"]) for r in table.select(["trigger", "part", "content"]).to_pylist()}
         groups = [(trigger, part) for trigger, part, _ in seen]
         assert max(map(groups.count, groups)) <= 20
-        return compare(table)
+        return compare(table, length)
 
     monkeypatch.setattr(repeats, "_repeated_runs", bounded)
     r = random.Random(8)
@@ -232,10 +233,10 @@ def test_a_passage_in_very_many_texts_is_never_one_group(spark, monkeypatch):
     rows = [*enumerate(texts), (0, texts[0])]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string")
     want = {}
-    for (k, text), strings in zip(rows, brute([t for _, t in rows], 400)):
-        removed = {i for at, hit in enumerate(strings) if hit for i in range(at, at + 400)}
+    for (k, text), strings in zip(rows, brute([t for _, t in rows], length)):
+        removed = {i for at, hit in enumerate(strings) if hit for i in range(at, at + length)}
         want.setdefault(k, []).append("".join(c for i, c in enumerate(text) if i not in removed))
-    got = by_id(repeats.remove_repeats(frame, ["doc_id"]))
+    got = by_id(repeats.remove_repeats(frame, ["doc_id"], length=length, trigger=trigger))
     assert {k: [bytes(x.kept).decode() for x in v] for k, v in got.items()} == want
 
 
