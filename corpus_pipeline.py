@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from storelens.llm import decontamination, ngram_join, packing, quality, repeats
 from storelens.llm.frames import read_table, stored
 
+# Passages of over 50 words are to go, which short words make this long; below it lie the strings
+# that texts share by chance. The trigger is as much shorter, so that phrases stay as long.
+PASSAGE_BYTES, TRIGGER_BYTES = 250, 64
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -24,7 +28,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the long passages that occur elsewhere too."""
-    return repeats.without_repeats(docs)
+    return repeats.without_repeats(docs, length=PASSAGE_BYTES, trigger=TRIGGER_BYTES)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
