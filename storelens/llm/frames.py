@@ -13,6 +13,9 @@ from storelens.llm.bytewords import PIECE_BYTES, pieces
 from storelens.session import scratch_path
 
 TEXT = "__text"
+# Rows at a time in the Parquet reader and on the way to Python. Their buffers hold whole texts, in
+# every running task, so their default of some thousand rows more costs tens of MB each.
+BATCH_ROWS = {"spark.sql.parquet.columnarReaderBatchSize": "1024", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 
 
 def text_column(df: DataFrame, name: str) -> Column:
@@ -20,6 +23,13 @@ def text_column(df: DataFrame, name: str) -> Column:
     return F.col(f"`{name}`").cast("string")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Has the session read texts in small batches, unless it has settings of its own."""
+    for key, rows in BATCH_ROWS.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, rows)
+
+
 def map_texts(
     df: DataFrame,
     text: str,
@@ -33,6 +43,7 @@ def map_texts(
     `function` gets the UTF-8 bytes of about `limit` bytes of rows at a time and returns a list or
     array per field. A kept column with the name of a field gives way to it.
     """
+    bound_batches(df.sparkSession)
     names = {f.name for f in fields}
     kept = [k for k in keep if k not in names]
     body = TEXT if TEXT not in kept else f"{TEXT}_"
@@ -73,12 +84,14 @@ def field(name: str, kind: str) -> T.StructField:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows, written to the shared folder and read back, so that they are computed once."""
     spark = df.sparkSession
+    bound_batches(spark)
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

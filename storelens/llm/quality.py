@@ -182,8 +182,18 @@ def cascade(docs: DataFrame, order: Sequence[Rule], text: str = "text", report:
 
 
 def _below(names: Sequence[str]) -> list[str]:
-    """The measures and those that they are made from."""
-    return list({m for rule in RULES for m in rule.needs} | set(names)) if names else []
+    """The measures and those that they are made from, no others."""
+    needed: set[str] = set()
+
+    def need(name: str) -> Column:
+        if name in MEASURES and name not in needed:
+            needed.add(name)
+            MEASURES[name](need)
+        return _column(name)
+
+    for name in names:
+        need(name)
+    return [m for m in MEASURES if m in needed]
 
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:

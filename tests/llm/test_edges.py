@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, and clashing columns."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -465,3 +466,32 @@ def test_common_subsequence():
             for j, y in enumerate(b):
                 best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
         assert len(main_text.common(a, b)) == best[-1][-1]
+
+
+def test_unreported_measures_wait_for_the_rules_before_them(spark, docs):
+    """The reported measures are made for all rows, the others only where no rule has rejected yet."""
+    order = sorted(quality.RULES, key=lambda r: r.name in ("capitals", "stutter"))
+    judged = quality.cascade(docs, order, report=quality.BASE)
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    plan = judged._jdf.queryExecution().analyzed().toString()
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    for name in ("_capitals", "_stutters"):
+        line = next(x for x in plan.splitlines() if f"AS __q{name}#" in x)
+        assert re.search(rf"CASE WHEN __q_left\d+#\d+ THEN .* AS __q{name}#", line), line
+    for name in quality.BASE:
+        line = next(x for x in plan.splitlines() if f"AS __q{name}#" in x)
+        assert not re.search(rf"CASE WHEN __q_left\d+#\d+ THEN [^#]*AS __q{name}#", line)
+    assert set(quality._below(quality.BASE)).isdisjoint({"_capitals", "_stutters"})
+
+
+def test_sessions_keep_their_own_batches(spark, docs):
+    from storelens.llm import frames
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    frames.stored(docs, "x")
+    assert spark.conf.get(key) == "2000"
+    spark.conf.set(key, "7")
+    try:
+        assert quality.keep_good(docs).count() > 0 and spark.conf.get(key) == "7"
+    finally:
+        spark.conf.set(key, "2000")
