@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.llm.bytewords import ALNUM_WORDS, BASE, U64, Words, mix, word_hashes, words_of
-from storelens.llm.frames import TEXT, field, map_texts, numbered, text_column
+from storelens.llm.frames import TEXT, field, map_texts, numbered, stored, text_column
 
 WINDOW = 13
 BLOCK_BYTES = 4 << 20  # benchmark text searched for in one pass over the documents
@@ -188,7 +188,8 @@ def find_contamination(
     part = next(parts, [])
     out = _pass(docs, text, [*keep], fields, part, further := next(parts, None), window)
     while further is not None:
-        before = out.withColumnsRenamed({"hits": "_hits", "items": "_items"})
+        # written before the next block's tables are made, so that no stage holds those of two
+        before = stored(out, "block-hits").withColumnsRenamed({"hits": "_hits", "items": "_items"})
         carried = [*keep, "_hits", "_items"]
         out = _pass(before, TEXT, carried, fields, further, further := next(parts, None), window)
         out = out.withColumns({
