@@ -2,26 +2,29 @@
 
 Two logistic models see the same rows through separate features: the content view counts bytes,
 repeated words and lines; the metadata view knows source, language and stated length. In each round
-a view labels the unlabelled rows that it is surest of for the other view. In the end both are
-calibrated on labelled rows that neither was trained on, and a logistic model of the calibrated
-views scores all documents.
+both views score all unlabelled rows where they lie, and each trains the other with a bounded sample
+of the rows that it is sure of, beside the true labels. The samples are drawn anew in every round, so
+a row that a view has come to doubt is not kept. In the end both are calibrated on labelled rows that
+neither was trained on, and a logistic model of the calibrated views scores all documents.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.llm.bytewords import SPACE_WORDS, words_of, word_hashes
-from storelens.llm.frames import field, map_texts, text_column
+from storelens.llm.frames import field, map_texts, stored, text_column
 from storelens.llm.samples import held_out, learnable, some_of
 from storelens.llm.subwords import sigmoid
 
 LABELLED_ROWS = 6000  # labelled rows learned from at most
-UNLABELLED_ROWS = 6000  # rows that the views label for one another at most
+GIVEN_ROWS = 6000  # rows that a view labels for the other one in a round, of all that it is sure of
 ROUNDS = 5
 SURE = 0.97
 THRESHOLD = 0.5
@@ -123,27 +126,26 @@ class CoModel:
         return np.column_stack(logits)
 
 
-def co_train(views: list[np.ndarray], label: np.ndarray, pool: list[np.ndarray], rounds: int = ROUNDS) -> CoModel:
-    """`views` and `pool` hold the two feature tables of labelled and unlabelled rows."""
+# of the two models and the round: the feature rows that each view is given, and their labels
+Exchange = Callable[[list[Logistic], int], list[tuple[np.ndarray, np.ndarray]]]
+
+
+def co_train(views: list[np.ndarray], label: np.ndarray, exchange: Exchange, rounds: int = ROUNDS) -> CoModel:
+    """`views` holds the two feature tables of the labelled rows."""
     prior = float((label.sum() + 0.5) / (len(label) + 1))
     fitted = np.arange(len(label)) % 4 != 0  # a quarter calibrates
     if any(not 0 < label[part].sum() < len(label[part]) for part in (fitted, ~fitted)):
         return CoModel([], [], None, prior)
     own = [(v[fitted], label[fitted]) for v in views]
-    free = np.ones(len(pool[0]), bool)
     models = [fit_logistic(*rows) for rows in own]
-    for _ in range(rounds):
-        given = []
-        for view, model in enumerate(models):
-            p = sigmoid(model.logit(pool[view])) if free.any() else np.zeros(len(free))
-            sure = free & ((p >= SURE) | (p <= 1 - SURE))
-            given.append((1 - view, np.flatnonzero(sure), (p >= 0.5)[sure].astype(float)))
-        for other, rows, guess in given:
-            own[other] = (np.concatenate([own[other][0], pool[other][rows]]), np.concatenate([own[other][1], guess]))
-            free[rows] = False
-        models = [fit_logistic(*rows) for rows in own]
-        if not any(len(rows) for _, rows, _ in given):
+    for k in range(rounds):
+        given = exchange(models, k)
+        if not any(len(guess) for _, guess in given):
             break
+        models = [
+            fit_logistic(np.concatenate([rows, more]), np.concatenate([known, guess]))
+            for (rows, known), (more, guess) in zip(own, given)
+        ]
     scales = [
         fit_logistic(np.clip(m.logit(v[~fitted]), -30, 30)[:, None], label[~fitted]) for m, v in zip(models, views)
     ]
@@ -152,35 +154,94 @@ def co_train(views: list[np.ndarray], label: np.ndarray, pool: list[np.ndarray],
     return CoModel(models, scales, joint, prior)
 
 
+def sure(model: Logistic, rows: np.ndarray) -> np.ndarray:
+    """1 and 0 for rows that a view is sure of, -1 for others."""
+    p = sigmoid(model.logit(rows))
+    return np.where(p >= SURE, 1, np.where(p <= 1 - SURE, 0, -1))
+
+
 META = ("source", "lang", "n_chars")
 
 
-def _features(docs: DataFrame, rows: DataFrame, text: str, doc_id: str, meta: tuple[str, ...]):
-    """Both views' features, and the labels, of a bounded number of rows, on the driver."""
-    named = docs.withColumn("_id", F.col(f"`{doc_id}`")).select("_id", text_column(docs, text).alias("_t"), *metadata_codes(docs, meta))
-    # `rows` is bounded by the callers' limits
-    picked = named.join(F.broadcast(rows.withColumnRenamed("doc_id", "_id")), "_id").dropDuplicates(["_id"])
-    made = map_texts(
-        picked, "_t", ["_id", *meta, "label"], [field("_f", "array<double>")], lambda t: {"_f": list(content(t))}
+def _with_features(docs: DataFrame, text: str, doc_id: str, meta: tuple[str, ...], more: tuple[str, ...] = ()) -> DataFrame:
+    """_id, _key, a bucket per metadata column, `more` and _f, the content features."""
+    body = text_column(docs, text)
+    identity = F.col(f"`{doc_id}`")
+    named = docs.select(
+        identity.alias("_id"),
+        F.xxhash64(identity, body).alias("_key"),
+        *metadata_codes(docs, meta),
+        *(F.col(f"`{m}`") for m in more),
+        body.alias("_t"),
     )
-    table = made.orderBy("_id").toArrow()
-    codes = np.column_stack([table.column(m).to_numpy() for m in meta]) if len(table) else np.zeros((0, len(meta)), int)
-    values = np.array(table.column("_f").to_pylist()).reshape(len(table), 256 + EXTRA)
-    return [values, one_hot(codes)], table.column("label").to_numpy().astype(float)
+
+    def made(texts: list[bytes]) -> dict:
+        rows = content(texts).astype(np.float32)
+        ends = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+        return {"_f": pa.ListArray.from_arrays(ends, rows.ravel())}
+
+    return map_texts(named, "_t", ["_id", "_key", *meta, *more], [field("_f", "array<float>")], made)
+
+
+def _views(table: pa.Table | pa.RecordBatch, meta: tuple[str, ...]) -> list[np.ndarray]:
+    rows = table.num_rows
+    values = table.column("_f")
+    values = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
+    codes = [table.column(m).to_numpy(zero_copy_only=False) if isinstance(table, pa.RecordBatch) else table.column(m).to_numpy() for m in meta]
+    return [
+        values.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(rows, 256 + EXTRA),
+        one_hot(np.column_stack(codes) if codes else np.zeros((rows, 0), int)),
+    ]
+
+
+def _exchange(pool: DataFrame, meta: tuple[str, ...]) -> Exchange:
+    """Both views score every row of `pool`; GIVEN_ROWS of those that a view is sure of go to the other."""
+
+    def exchange(models: list[Logistic], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        def run(batches):
+            for batch in batches:
+                guesses = [sure(m, rows) for m, rows in zip(models, _views(batch, meta))]
+                some = (guesses[0] >= 0) | (guesses[1] >= 0)
+                columns = [pa.array(g[some], pa.int32()) for g in guesses]
+                keys = batch.column("_key").filter(pa.array(some))
+                yield pa.RecordBatch.from_arrays([keys, *columns], names=["_key", "_0", "_1"])
+
+        told = stored(pool.select("_key", *meta, "_f").mapInArrow(run, "_key bigint, _0 int, _1 int"), "sure")
+        counts = told.agg(*(F.count_if(F.col(f"_{v}") >= 0) for v in (0, 1))).first()
+        # from 0 to 1, another one for each row in each round and view
+        draw = lambda v: F.shiftrightunsigned(F.xxhash64(F.lit(2 * k + v), "_key"), 11) / F.lit(float(1 << 53))
+        chosen = [
+            # somewhat more than the number wanted before the exact cut, so that it sorts few rows
+            told.select("_key", F.lit(v).alias("_from"), F.col(f"_{v}").alias("_guess"), draw(v).alias("_draw"))
+            .where((F.col("_guess") >= 0) & (F.col("_draw") < (1.2 * GIVEN_ROWS + 100) / max(counts[v], 1)))
+            .dropDuplicates(["_key"])
+            .orderBy("_draw", "_key")
+            .limit(GIVEN_ROWS)
+            for v in (0, 1)
+        ]
+        # two times GIVEN_ROWS rows at most
+        picked = pool.join(F.broadcast(chosen[0].union(chosen[1])), "_key").dropDuplicates(["_key", "_from"])
+        table = picked.select("_key", "_from", "_guess", *meta, "_f").orderBy("_from", "_key").toArrow()
+        source, guess = (table.column(c).to_numpy() for c in ("_from", "_guess"))
+        rows = _views(table, meta)
+        return [(rows[v][source != v], guess[source != v].astype(float)) for v in (0, 1)]
+
+    return exchange
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, *, text: str = "text", doc_id: str = "doc_id", label: str = "quality",
     meta: tuple[str, ...] = META,
 ) -> CoModel:
-    """Views of the labels outside the held-out fold, and of rows without a label."""
+    """Views of LABELLED_ROWS labels outside the held-out fold, and of all rows without a label."""
     known = some_of(learnable(labels, label, doc_id), LABELLED_ROWS, 3)
-    ids = docs.select(F.col(f"`{doc_id}`").alias("doc_id")).where("doc_id is not null")
-    unknown = ids.join(labels.select(F.col(doc_id).alias("doc_id")), "doc_id", "left_anti")
-    pool = some_of(unknown, UNLABELLED_ROWS, 4).withColumn("label", F.lit(0))
-    views, values = _features(docs, known, text, doc_id, meta)
-    unlabelled, _ = _features(docs, pool, text, doc_id, meta)
-    return co_train(views, values, unlabelled)
+    ids = docs.select(F.col(f"`{doc_id}`"), F.col(f"`{text}`"), *(F.col(f"`{m}`") for m in meta if m in docs.columns))
+    # `known` is bounded by LABELLED_ROWS
+    marked = ids.join(F.broadcast(known.select(F.col("doc_id").alias(doc_id), F.col("label").alias("_label"))), doc_id)
+    learned = _with_features(marked.dropDuplicates([doc_id]), text, doc_id, meta, ("_label",)).orderBy("_id").toArrow()
+    pool = _with_features(ids, text, doc_id, meta)
+    pool = stored(pool.join(labels.select(F.col(f"`{doc_id}`").alias("_id")), "_id", "left_anti"), "unlabelled")
+    return co_train(_views(learned, meta), learned.column("_label").to_numpy().astype(float), _exchange(pool, meta))
 
 
 def score(
@@ -191,7 +252,6 @@ def score(
     A null text counts as empty and null metadata as a value of its own; a text without words scores
     0. Without labels of both kinds every text has the share of good rows.
     """
-    import pyarrow as pa
     from pyspark.sql import types as T
 
     from storelens.llm.bytewords import pieces

@@ -422,11 +422,35 @@ def test_co_training_combines_views():
 
     views, label = rows(200)
     pool, _ = rows(400)
-    model = cotraining.co_train(views, label, pool)
+
+    def exchange(models, k):
+        told = [cotraining.sure(m, v) for m, v in zip(models, pool)]
+        return [(pool[v][told[1 - v] >= 0], told[1 - v][told[1 - v] >= 0].astype(float)) for v in (0, 1)]
+
+    model = cotraining.co_train(views, label, exchange)
     test, truth = rows(1000)
     assert ((model.score(*test) >= 0.5) == truth).mean() > 0.83
 
 
+@pytest.mark.parametrize("given", [40, 6000])
+def test_views_are_given_a_bounded_number_of_all_rows_that_one_is_sure_of(spark, monkeypatch, given):
+    monkeypatch.setattr(cotraining, "GIVEN_ROWS", given)
+    rows = [(k if k % 9 else None, "ab " * (1 + k % 7), k) for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint").union(
+        spark.createDataFrame([(1, "ab ab ", 1)] * 5, "doc_id bigint, text string, n_chars bigint")
+    )
+    pool = cotraining.stored(cotraining._with_features(docs, "text", "doc_id", ()), "test")
+    size = 256 + cotraining.EXTRA
+    certain = [cotraining.Logistic(np.zeros(n), np.ones(n), np.zeros(n), bias) for n, bias in ((size, 9.0), (0, -9.0))]
+    made = [cotraining._exchange(pool, ())(certain, k) for k in (0, 1)]
+    different = len({(i, t) for i, t, _ in rows})
+    for content_view, metadata_view in made:
+        assert len(content_view[1]) == len(metadata_view[1]) == min(given, different)
+        assert set(content_view[1]) == {0.0} and set(metadata_view[1]) == {1.0}  # each has the other's labels
+    doubtful = [cotraining.Logistic(c.mean, c.spread, c.weight, 0.0) for c in certain]
+    assert [len(g) for _, g in cotraining._exchange(pool, ())(doubtful, 0)] == [0, 0]
+
+
 @pytest.mark.parametrize(
     "page, want",
     [
