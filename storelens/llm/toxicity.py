@@ -1,7 +1,8 @@
 """Toxicity: a linear softmax over averaged subword vectors, trained jointly with them in numpy.
 
 A misspelt word shares most character n-grams with the word it is meant to be, and so its vector.
-Training takes a bounded sample of labelled rows on the driver; scoring runs where the texts are.
+Texts become bags of subword buckets where they lie, whatever their length; training takes the bags
+of a bounded sample of labelled rows on the driver, and scoring runs where the texts are.
 """
 
 from __future__ import annotations
@@ -9,15 +10,16 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.frames import field, map_texts, text_column
+from storelens.llm.frames import field, map_texts, stored
 from storelens.llm.samples import held_out, learnable, some_of
-from storelens.llm.subwords import BITS, Model, Scorer, bags, sigmoid, train
+from storelens.llm.subwords import BITS, Bags, Model, Scorer, bags, sigmoid, train
 
 SAMPLE_ROWS = 6000  # labelled rows trained on at most, a third of them toxic where there are so many
-SAMPLE_CHARS = 200_000  # longer texts are scored but not trained on
+SAMPLE_BUCKETS = 1 << 25  # buckets in the bags of all of them at most, 8 bytes each
 STEPS = 1500
 THRESHOLD = 0.3
 
@@ -29,8 +31,9 @@ def fit(
     """A model of the labels outside the held-out fold.
 
     The sample holds more of the rarer class than the table does; the bias is set back by the
-    ratio over all rows. Without both labels the model is the share of toxic rows, a half of one
-    row added.
+    ratio over all rows. It is `rows` rows at most, and those at its front, in the order of their
+    ids' hashes, whose bags fit SAMPLE_BUCKETS; a bag has 131,072 buckets at most, however long its
+    text. Without both labels the model is the share of toxic rows, a half of one row added.
     """
     known = learnable(labels, label, doc_id)
     counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
@@ -39,18 +42,34 @@ def fit(
     take = min(toxic, max(rows // 3, rows - clean))
     # at most `rows` rows
     chosen = some_of(known.where("label = 1"), take, 1).union(some_of(known.where("label = 0"), rows - take, 2))
-    body = text_column(docs, text)
-    texts = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), body.alias("t")).where(F.length("t") <= SAMPLE_CHARS)
-    sample = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id")
-    table = sample.select("t", "label").toArrow()
-    values = table.column("label").to_numpy().astype(np.float64)
+    texts = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("t"))
+    sample = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    made = stored(_bags(sample), "toxicity-bags")
+    order = made.select("doc_id", "label", F.size("bucket").alias("size")).orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
+    fitting = np.cumsum(order.column("size").to_numpy(), dtype=np.int64) <= SAMPLE_BUCKETS
+    values = order.column("label").to_numpy().astype(np.float64)[fitting]
     if not 0 < values.sum() < len(values):
         return prior
-    model = train(bags([t.encode() for t in table.column("t").to_pylist()]), values, steps=steps)
+    count = int(fitting.sum())
+    table = made.orderBy(F.xxhash64("doc_id"), "doc_id").limit(count).select("bucket", "weight").toArrow()
+    sizes = order.column("size").to_numpy()[:count].astype(np.int64)
+    flat = [table.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("bucket", "weight")]
+    model = train(Bags(np.concatenate(([0], np.cumsum(sizes))), *flat), values, steps=steps)
     odds = values.sum() / (len(values) - values.sum())
     return model.shifted(math.log(toxic / clean) - math.log(odds))
 
 
+def _bags(sample: DataFrame) -> DataFrame:
+    """doc_id, label, and the buckets of a text's subwords with their weights."""
+
+    def made(texts: list[bytes]) -> dict:
+        bag = bags(texts)
+        ends = bag.first.astype(np.int32)
+        return {"bucket": pa.ListArray.from_arrays(ends, bag.bucket), "weight": pa.ListArray.from_arrays(ends, bag.weight)}
+
+    return map_texts(sample, "t", ["doc_id", "label"], [field("bucket", "array<int>"), field("weight", "array<float>")], made)
+
+
 def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """The columns `keep` with `score`, from 0 to 1; a null text or one without words scores 0."""
     from storelens.llm.bytewords import ALNUM_WORDS, words_of

@@ -188,6 +188,25 @@ def test_scores(docs, results, name):
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
 
 
+def area(scores, labels):
+    """Share of pairs of a 1 and a 0 where the 1 scores higher; ties count half."""
+    ranks = {s: (np.searchsorted(ordered, s) + np.searchsorted(ordered, s, "right") + 1) / 2 for ordered in [np.sort(scores)] for s in set(scores)}
+    ones = [ranks[s] for s, y in zip(scores, labels) if y]
+    return (sum(ones) - len(ones) * (len(ones) + 1) / 2) / (len(ones) * (len(labels) - len(ones)))
+
+
+# 400 labels hold some 35 toxic texts to learn from, 4,000 ten times as many
+@pytest.mark.parametrize(
+    "name, label, size, least", [("op7_quality_classifier", "quality", "0.01", 0.97), ("op2_toxicity", "toxic", "0.1", 0.9)]
+)
+def test_held_out_labels(spark, name, label, size, least):
+    folder = f"/root/testdata/sf{size}"
+    truth = dict(duckdb.sql(f"select doc_id, {label} from '{folder}/labels.parquet' where {label} is not null").fetchall())
+    rows = [r for r in QUERIES[name](spark, folder).where("held_out").collect() if r["doc_id"] in truth]
+    assert len(rows) > 50
+    assert area([r["score"] for r in rows], [truth[r["doc_id"]] for r in rows]) >= least
+
+
 def test_pipeline(spark, docs, results):
     """Each stage against a plain computation on what the stage before it kept."""
     frame = spark.read.parquet(f"{SF}/documents.parquet")

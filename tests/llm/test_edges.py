@@ -412,6 +412,20 @@ def test_toxicity_learns_words_and_their_misspellings(spark):
     assert right >= 32
 
 
+def test_toxicity_trains_on_long_texts_and_within_its_bound(spark, monkeypatch):
+    rows = [(k, " ".join(WORDS[k % 40 : k % 40 + 9]) + (" horrible" * 30_000 if k % 2 else "")) for k in range(60)]
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id bigint, toxic int")
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert max(len(t) for _, t in rows) > 200_000
+    odd = lambda: {k: r[0].predicted for k, r in by_id(toxicity.digest(frame, labels)).items()}
+    assert odd() == {k: k % 2 for k, _ in rows}
+    taken = []
+    train = toxicity.train
+    monkeypatch.setattr(toxicity, "SAMPLE_BUCKETS", 900)
+    monkeypatch.setattr(toxicity, "train", lambda bags, *a, **k: taken.append(len(bags.bucket)) or train(bags, *a, **k))
+    assert len(odd()) == len(rows) and 500 < taken[0] <= 900
+
+
 def test_co_training_combines_views():
     r = np.random.default_rng(1)
 
