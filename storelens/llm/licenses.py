@@ -27,16 +27,67 @@ PHRASES = (
     (("general", "public", "license"), "gpl"),
     (("all", "rights", "reserved"), "reserved"),
 )
-# License notices and the labels that they give.
+# Sentences of license notices and the labels that they give. `gpl-notice` is the header of
+# any version.
 TEMPLATES = (
     ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
+    ("apache-2.0", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("boost-1.0", "Distributed under the Boost Software License, Version 1.0"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
+    (
+        "bsd",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and "
+        "the following disclaimer",
+    ),
+    (
+        "bsd",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions "
+        "and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution",
+    ),
+    (
+        "bsd-3-clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+        "promote products derived from this software without specific prior written permission",
+    ),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
     ("cc-by-sa", "Licensed under CC BY-SA 4.0"),
+    (
+        "cc0",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring "
+        "rights to this work",
+    ),
+    (
+        "epl-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+        "License 2.0",
+    ),
     ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3"),
+    (
+        "gpl-notice",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License as published by the Free Software Foundation",
+    ),
+    (
+        "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
+        "is hereby granted, provided that the above copyright notice and this permission notice appear in all "
+        "copies",
+    ),
     ("mit", "Released under the MIT License"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
+    (
+        "mit",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial "
+        "portions of the Software",
+    ),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("unlicense", "This is free and unencumbered software released into the public domain"),
+    (
+        "zlib",
+        "This software is provided as-is, without any express or implied warranty. In no event will the "
+        "authors be held liable for any damages arising from the use of this software",
+    ),
 )
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -119,7 +170,8 @@ def scan_licenses(
     carried = [names[c] for c in kept]
     body = F.coalesce(text_column(docs, names[text]), F.lit(""))
     phrase_words = {words[-1] for words, _ in PHRASES}
-    first_words = {w for w, _, _ in prefix}
+    # a word that no document holds finds no block
+    first_words = {w for w, _, _ in prefix if order[w][0]} or {w for w, _, _ in prefix}
     longest = max((t.length for t in wanted), default=0)
     rows = docs.select(
         *carried,

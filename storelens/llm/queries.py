@@ -181,19 +181,55 @@ from doc left join size on size.doc_id = doc.doc_id left join reach on reach.nod
 group by doc.doc_id
 """
 
-TEMPLATES = ", ".join(f"({k}, '{label}', '{text}')" for k, (label, text) in enumerate(licenses.TEMPLATES))
+# The notices by themselves, so that the SQL does not read the list that it judges.
+NOTICES = """
+    ('apache-2.0', 'Licensed under the Apache License, Version 2.0'),
+    ('apache-2.0', 'You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0'),
+    ('boost-1.0', 'Distributed under the Boost Software License, Version 1.0'),
+    ('bsd', 'Redistribution and use in source and binary forms, with or without modification, are permitted'),
+    ('bsd', 'Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer'),
+    ('bsd', 'Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution'),
+    ('bsd-3-clause', 'Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission'),
+    ('cc-by-nc', 'Licensed under CC BY-NC 4.0'),
+    ('cc-by-sa', 'Licensed under CC BY-SA 4.0'),
+    ('cc0', 'To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work'),
+    ('epl-2.0', 'This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0'),
+    ('gpl-3.0', 'This work is licensed under the GNU General Public License, version 3'),
+    ('gpl-notice', 'This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation'),
+    ('isc', 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies'),
+    ('mit', 'Released under the MIT License'),
+    ('mit', 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software'),
+    ('mit', 'The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software'),
+    ('mpl-2.0', 'This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0'),
+    ('unlicense', 'This is free and unencumbered software released into the public domain'),
+    ('zlib', 'This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software')
+"""
 OP9 = f"""
 with doc as (
     select doc_id, text, {ALNUM_WORDS.format("text")} as w from documents),
 template as (
-    select k, label, list_distinct({ALNUM_WORDS.format("notice")}) as t
-    from (values {TEMPLATES}) v(k, label, notice)),
+    select label, len(n) as size, list_distinct(n) as t
+    from (select label, {ALNUM_WORDS.format("notice")} as n from (values {NOTICES}) v(label, notice))),
 line as (
-    select doc_id, list_distinct({ALNUM_WORDS.format("line")}) as b
-    from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line from documents)),
+    select doc_id, i, {ALNUM_WORDS.format("line")} as w
+    from (select doc_id, unnest(lines) as line, unnest(range(1, len(lines) + 1)) as i
+          from (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents))),
+parted as (
+    select *, count(*) filter (len(w) = 0) over (partition by doc_id order by i) as paragraph from line),
+ending as (
+    select *, sum(len(w)) over (partition by doc_id, paragraph order by i) as last from parted where len(w) > 0),
+paragraph as (
+    select doc_id, paragraph, flatten(list(w order by i)) as words from ending group by doc_id, paragraph),
+-- lines, and the last words of a line with the first ones behind it in its paragraph
+block as (
+    select doc_id, list_distinct(w) as b from ending
+    union all
+    select doc_id, list_distinct(words[last - least(len(w), longest) + 1 : last + longest])
+    from ending join paragraph using (doc_id, paragraph), (select max(size) as longest from template)
+    where last < len(words)),
 meeting as (
     select doc_id, label, len(list_intersect(b, t)) / len(t) as share
-    from line, template where 10 * len(list_intersect(b, t)) >= 9 * len(t)),
+    from block, template where len(b) >= 0.9 * len(t) and 10 * len(list_intersect(b, t)) >= 9 * len(t)),
 found as (select doc_id, list(distinct label) as ls, max(share) as share from meeting group by doc_id),
 base as (
     select doc_id, len(w) as n_words,

@@ -3,6 +3,7 @@
 import random
 import re
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from storelens.llm.graphs import components
 from storelens.llm.html_blocks import DROP, MAIN, OTHER, blocks
 from storelens.llm.phrases import parse
 from storelens.llm.prefix_tree import Links, link_all, link_probes
+from storelens.llm.queries import ORACLE_SQL
 from storelens.session import scratch_path
 
 WORDS = [f"w{k}" for k in range(400)]
@@ -304,10 +306,18 @@ def test_licenses_wrapped_over_lines(spark):
             lines[0] = " ".join([*r.choices(WORDS, k=r.choice([0, 5, 40])), lines[0]])
             lines[-1] = " ".join([lines[-1], *r.choices(WORDS, k=r.choice([0, 5, 40]))])
             rows.append((label, "\n".join(lines)))
+    rows += [
+        ("isc", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted,\nprovided that the above copyright notice and this permission notice\nappear in all copies.\n"),
+        ("gpl-notice", "# This program is free software; you can redistribute it and/or\n# modify it under the terms of the GNU General Public License as published\n# by the Free Software Foundation; either version 2\n"),
+    ]
     rows += [(None, "Released under the\n \nMIT License"), (None, "Released under the " + " ".join(WORDS[:40]) + "\nMIT License"), (None, "\n\n")]
     frame = spark.createDataFrame([(k, text) for k, (_, text) in enumerate(rows)], "doc_id bigint, text string")
     base = {label for _, label in licenses.PHRASES}
+    database = duckdb.connect()
+    database.register("documents", frame.toPandas())
+    judged = {r[0]: (r[6], r[7]) for r in database.sql(ORACLE_SQL["op9_license_scans"]).fetchall()}
     for x in licenses.scan_licenses(frame).collect():
+        assert judged[x.doc_id] == (",".join(x.labels), x.score)
         label, text = rows[x.doc_id]
         assert set(x.labels) - base == ({label} if label else set()), text
         assert x.score >= 0.9 if label else x.score == 0
