@@ -49,7 +49,10 @@ def _zone(tag: str, attributes: str, above: tuple[int, bool]) -> tuple[int, bool
     if attributes and "=" in attributes:
         for key, value in ATTRIBUTE.findall(attributes):
             (roles if key.lower() == "role" else names).update(NAME.findall(value.lower()))
-    if tag in BESIDE or (names | roles) & NEVER or (zone == DROP and not open_to_main):
+    if tag in BESIDE or (zone == DROP and not open_to_main):
+        return DROP, False
+    # a page has one main element, so its class says what page it is, not that it is beside the text
+    if (names | roles) & NEVER and tag != "main":
         return DROP, False
     if tag in ("article", "main") or roles & MAIN_ROLES:
         return MAIN, True

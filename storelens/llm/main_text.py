@@ -4,8 +4,9 @@ Pages of a host are sorted by path; each is compared with the page before and th
 Their blocks are aligned by a longest common subsequence, and shared blocks are template: menus,
 notices and footers that the host repeats. Blocks that the markup puts beside the article go in any
 case. Blocks inside an article or main element stay: articles of a host share sentences and whole
-passages, and mirrors of a page share all. So where a page marks its article the markup decides, and
-where it does not the differences do; only blocks outside articles are compared.
+passages, and mirrors of a page share all. So where the marked article holds most of the text the
+markup decides. Where no article is marked, or only a teaser beside more text that no markup places,
+the differences decide; only blocks outside articles are compared.
 """
 
 from __future__ import annotations
@@ -67,7 +68,11 @@ def template(hashes: list[int], neighbours: list[list[int] | None]) -> list[int]
 def kept(parts: list[tuple[str, int]], shared: list[int] | None) -> list[str]:
     """The blocks that are neither template nor beside the article."""
     outside = [i for i, (_, z) in enumerate(parts) if z != MAIN]
-    marked, repeated = len(outside) < len(parts), {outside[k] for k in shared or ()}
+    repeated = {outside[k] for k in shared or ()}
+    inside = sum(len(t) for t, z in parts if z == MAIN)
+    # what the markup does not place, and no neighbour has
+    unplaced = sum(len(parts[i][0]) for i in outside if parts[i][1] == OTHER and i not in repeated)
+    marked = inside > 0 and inside >= unplaced
     own = {i for i, (_, z) in enumerate(parts) if z == MAIN or (z == OTHER and not marked)}
     if not marked and own <= repeated:
         repeated = set()  # a copy of its neighbour has nothing of its own to go by

@@ -505,6 +505,19 @@ def test_pages(spark):
     assert main_text.extract(pages.limit(0), ["page_id"]).count() == 0
 
 
+def test_differences_decide_where_an_article_holds_little(spark):
+    def page(k, frame="Menu of the host that all of its pages repeat"):
+        own = f"Page {k} tells at length what page {k} is about, {'and more ' * k}in a plain element."
+        return f"<div>{frame}</div><article>Teaser {k}</article><div>{own}</div><div>Imprint</div>", f"Teaser {k} {own}"
+
+    rows = [(k, f"http://h/{k}", page(k)[0]) for k in range(1, 6)]
+    rows.append((9, "http://h/9", "<div>aside</div><article>" + "long " * 9 + "</article><div>Imprint</div>"))
+    rows.append((10, "http://i/1", "<main class='search results'>found<div class='search'>form</div></main>"))
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.main_text for r in main_text.extract(frame, ["page_id"]).collect()}
+    assert got == {**{k: page(k)[1] for k in range(1, 6)}, 9: ("long " * 9).strip(), 10: "found"}
+
+
 def test_common_subsequence():
     r = random.Random(0)
     for _ in range(200):
