@@ -20,6 +20,7 @@ from storelens.llm.subwords import BITS, Bags, Model, Scorer, bags, sigmoid, tra
 
 SAMPLE_ROWS = 6000  # labelled rows trained on at most, a third of them toxic where there are so many
 SAMPLE_BUCKETS = 1 << 25  # buckets in the bags of all of them at most, 8 bytes each
+FETCHED_BUCKETS = 1 << 20  # buckets that come to the driver at a time, and one bag more
 STEPS = 1500
 THRESHOLD = 0.3
 
@@ -44,17 +45,10 @@ def fit(
     chosen = some_of(known.where("label = 1"), take, 1).union(some_of(known.where("label = 0"), rows - take, 2))
     texts = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("t"))
     sample = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    made = stored(_bags(sample), "toxicity-bags")
-    order = made.select("doc_id", "label", F.size("bucket").alias("size")).orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
-    fitting = np.cumsum(order.column("size").to_numpy(), dtype=np.int64) <= SAMPLE_BUCKETS
-    values = order.column("label").to_numpy().astype(np.float64)[fitting]
+    held, values = _fetched(stored(_bags(sample), "toxicity-bags"))
     if not 0 < values.sum() < len(values):
         return prior
-    count = int(fitting.sum())
-    table = made.orderBy(F.xxhash64("doc_id"), "doc_id").limit(count).select("bucket", "weight").toArrow()
-    sizes = order.column("size").to_numpy()[:count].astype(np.int64)
-    flat = [table.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("bucket", "weight")]
-    model = train(Bags(np.concatenate(([0], np.cumsum(sizes))), *flat), values, steps=steps)
+    model = train(held, values, steps=steps)
     odds = values.sum() / (len(values) - values.sum())
     return model.shifted(math.log(toxic / clean) - math.log(odds))
 
@@ -70,6 +64,28 @@ def _bags(sample: DataFrame) -> DataFrame:
     return map_texts(sample, "t", ["doc_id", "label"], [field("bucket", "array<int>"), field("weight", "array<float>")], made)
 
 
+def _fetched(made: DataFrame) -> tuple[Bags, np.ndarray]:
+    """The bags at the front that fit SAMPLE_BUCKETS, and their labels."""
+    made = made.withColumn("at", F.xxhash64("doc_id"))
+    order = made.select("at", "label", F.size("bucket").alias("size")).orderBy("at", "doc_id").toArrow()
+    at, label, size = (order.column(c).to_numpy().astype(np.int64) for c in ("at", "label", "size"))
+    stops = np.cumsum(size)
+    first = np.searchsorted(at, at)  # rows of one hash stay together
+    fitting = np.flatnonzero(stops > SAMPLE_BUCKETS)
+    count = int(first[fitting[0]]) if len(fitting) else len(at)
+    stops, first = stops[:count], first[:count]
+    part = (stops // FETCHED_BUCKETS)[first]
+    bounds = np.concatenate(([0], stops))
+    bucket, weight = np.zeros(bounds[-1], np.int32), np.zeros(bounds[-1], np.float32)
+    for k in np.unique(part):
+        low, high = np.searchsorted(part, k), np.searchsorted(part, k, "right")
+        rows = made.where(F.col("at").between(int(at[low]), int(at[high - 1]))).orderBy("at", "doc_id")
+        table = rows.select("bucket", "weight").toArrow()
+        for column, into in (("bucket", bucket), ("weight", weight)):
+            into[bounds[low] : bounds[high]] = table.column(column).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return Bags(bounds, bucket, weight), label[:count].astype(np.float64)
+
+
 def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """The columns `keep` with `score`, from 0 to 1; a null text or one without words scores 0."""
     from storelens.llm.bytewords import ALNUM_WORDS, words_of

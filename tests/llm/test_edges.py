@@ -431,6 +431,8 @@ def test_toxicity_trains_on_long_texts_and_within_its_bound(spark, monkeypatch):
     assert odd() == {k: k % 2 for k, _ in rows}
     taken = []
     train = toxicity.train
+    monkeypatch.setattr(toxicity, "FETCHED_BUCKETS", 200)
+    assert odd() == {k: k % 2 for k, _ in rows}
     monkeypatch.setattr(toxicity, "SAMPLE_BUCKETS", 900)
     monkeypatch.setattr(toxicity, "train", lambda bags, *a, **k: taken.append(len(bags.bucket)) or train(bags, *a, **k))
     assert len(odd()) == len(rows) and 500 < taken[0] <= 900
