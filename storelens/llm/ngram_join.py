@@ -6,10 +6,12 @@
    classes are counted. A class that has a partner shares all but a few of its n-grams, so one
    with too few shared n-grams in the quarter has none and goes no further.
 3. The sets that remain are ordered by the number of classes that hold an n-gram, rarest first.
-   Two similar sets share one of their first n-grams (prefix filter). Classes that share one, and
-   those that share one with them, form a candidate group.
+   Two similar sets share one of their first n-grams (prefix filter), and what lies behind the
+   first one that they share is enough for the similarity (positional filter). Classes that share
+   one where both filters hold, and those that do so with them, form a candidate group.
 4. Each group is joined by a prefix tree (`prefix_tree`). A group beyond `GROUP_SETS` is cut into
-   blocks; what a block leaves apart is then tried against every block, so no pair is left out.
+   blocks; what a block leaves apart is then tried against every other block that holds one of its
+   first n-grams where the filters hold, so no pair is left out.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ SAMPLE_BITS = 2  # n-grams whose upper bits are 0 are screened: a quarter
 CLASSES_A_BUCKET = 4000
 GROUP_SETS = 4000  # sets that one task joins; larger groups are cut into blocks
 BLOCK_SETS = 2000
+SIZE_STEP = 1.05  # sizes of sets are compared in classes, each larger by this factor
 HAS_WORD = r"[^ \t-\r]"
 
 
@@ -178,15 +181,20 @@ def _ordered_sets(percent: int) -> Callable[[pa.Table], pa.Table]:
         by = np.lexsort((values, counts, keys))
         keys, counts, values = keys[by], counts[by], values[by]
         starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else keys
-        rows = {"key": [], "set": [], "prefix": []}
+        rows = {"key": [], "set": [], "length": [], "alone": [], "prefix": []}
         for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)]):
             lacking = spare(b - a, percent)
             single = int(np.searchsorted(counts[a:b], 1, side="right"))
             if single <= lacking:
                 rows["key"].append(int(keys[a]))
                 rows["set"].append(values[a:b].tobytes())
+                rows["length"].append(b - a)
+                rows["alone"].append(single)
                 rows["prefix"].append(values[a + single : a + lacking + 1].view(np.int64).tolist())
-        kinds = [("key", pa.int64()), ("set", pa.binary()), ("prefix", pa.list_(pa.int64()))]
+        kinds = [
+            ("key", pa.int64()), ("set", pa.binary()), ("length", pa.int64()), ("alone", pa.int64()),
+            ("prefix", pa.list_(pa.int64())),
+        ]
         return pa.table(rows, pa.schema(kinds))
 
     return order
@@ -202,11 +210,12 @@ def link_classes(sets: DataFrame, percent: int, buckets: int) -> DataFrame:
         _packed(sets, buckets), "bucket", _frequencies(buckets),
         "home int, keys binary, counts binary, values binary",
     )
-    ordered = _grouped(weighed, "home", _ordered_sets(percent), "key bigint, set binary, prefix array<bigint>")
+    ordered = _grouped(
+        weighed, "home", _ordered_sets(percent),
+        "key bigint, set binary, length bigint, alone bigint, prefix array<bigint>",
+    )
     ordered = stored(ordered, "ordered-sets")
-    heads = ordered.select("key", F.explode("prefix").alias("value"))
-    least = heads.groupBy("value").agg(F.min("key").alias("least"), F.count("*").alias("n")).where("n > 1")
-    pairs = heads.join(least, "value").select(F.col("key").alias("a"), F.col("least").alias("b"))
+    pairs = _heads(ordered, percent).select(F.col("key").alias("a"), F.col("least").alias("b"))
     groups = components(pairs).select(F.col("node").alias("key"), F.col("root").alias("group"))
     sizes = groups.groupBy("group").agg(F.count("*").alias("size"))
     members = ordered.select("key", "set").join(groups, "key").join(sizes, "group")
@@ -215,7 +224,35 @@ def link_classes(sets: DataFrame, percent: int, buckets: int) -> DataFrame:
     large = members.where(F.col("size") > GROUP_SETS)
     if large.isEmpty():
         return edges
-    return edges.union(_join_apart(large, edges, percent))
+    return edges.union(_join_apart(large, ordered, edges, percent))
+
+
+def _heads(ordered: DataFrame, percent: int) -> DataFrame:
+    """Rows (key, value, length, reach, least): the first values of sets that may have a partner there.
+
+    If the value is the first that two sets share, each has at most what lies from its place on in
+    common with the other. `reach` is the size of the largest set that this is enough for, so both
+    sets must be within the other's reach. A value's holders are summed up by classes of sizes, of
+    which there are a few hundred, and each holder looks for a class with a partner in it. `least`
+    is the smallest key that holds the value.
+    """
+    heads = ordered.select("key", "length", "alone", F.posexplode("prefix").alias("at", "value"))
+    reach = F.expr(f"{100 + percent} * (length - alone - at) div {percent} - length")
+    band = F.floor(F.log("length") / F.log(F.lit(SIZE_STEP)))
+    heads = heads.select("key", "value", "length", reach.alias("reach"), band.alias("band"))
+    bands = heads.groupBy("value", "band").agg(
+        F.min("length").alias("shortest"), F.max("reach").alias("furthest"),
+        F.count("*").alias("n"), F.min("key").alias("least"),
+    )
+    holders = bands.groupBy("value").agg(
+        F.collect_list(F.struct("band", "shortest", "furthest", "n")).alias("bands"),
+        F.min("least").alias("least"), F.sum("n").alias("n"),
+    )
+    heads = heads.join(holders.where("n > 1"), "value")
+    partner = F.expr(
+        "exists(bands, b -> b.shortest <= reach and b.furthest >= length and (b.n > 1 or b.band <> band))"
+    )
+    return heads.where(partner).select("key", "value", "length", "reach", "least")
 
 
 EDGES = "a bigint, b bigint"
@@ -251,25 +288,34 @@ def _join_blocks(members: DataFrame, percent: int, buckets: int) -> DataFrame:
     return dealt.groupBy("own", "task", "block").applyInArrow(join, EDGES)
 
 
-def _join_apart(large: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
+def _join_apart(large: DataFrame, ordered: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
     """Links in large groups between what their blocks have left apart.
 
-    The sets outside a group's largest component so far are tried against every block of the
-    group. Where a group is one family these are few.
+    The sets outside a group's largest component so far are tried against the other blocks of the
+    group that hold one of their heads (`_heads`) within reach. A block with more such probes than
+    `BLOCK_SETS` meets them in parts.
     """
     known = components(edges).select(F.col("node").alias("key"), F.col("root").alias("root"))
     rows = large.join(known, "key", "left").withColumn("root", F.coalesce("root", "key"))
     rows = stored(rows.withColumn("block", F.pmod(F.xxhash64("key"), F.ceil(F.col("size") / BLOCK_SETS))), "blocks")
     weights = rows.groupBy("group", "root").agg(F.count("*").alias("n"))
     main = weights.groupBy("group").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
-    apart = rows.join(main, "group").where(F.col("root") != F.col("main")).drop("main")
-    last = F.ceil(F.col("size") / BLOCK_SETS) - 1
-    apart = apart.withColumn("part", F.pmod(F.xxhash64(F.lit(1), "key"), F.lit(16)))
-    probes = apart.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    parts = apart.select("group", "part").distinct()
-    targets = rows.join(parts, "group")
+    places = rows.join(main, "group").select("key", "group", "block", (F.col("root") != F.col("main")).alias("apart"))
+    heads = _heads(ordered.join(rows.select("key"), "key", "left_semi"), percent).join(places, "key")
+    held = heads.groupBy("group", "value", "block").agg(
+        F.min("length").alias("shortest"), F.max("reach").alias("furthest")
+    )
+    own = heads.where("apart").withColumnRenamed("block", "own")
+    meets = own.join(held, ["group", "value"]).where("block <> own and shortest <= reach and furthest >= length")
+    met = stored(meets.select("key", "group", "block").distinct(), "probes")
+    parts = met.groupBy("group", "block").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("parts"))
     kinds = ["key", "set", "group", "root", "block", "part"]
-    dealt = targets.select(*kinds, F.lit(False).alias("probe")).union(probes.select(*kinds, F.lit(True)))
+    part = F.pmod(F.xxhash64(F.lit(1), "key"), "parts").alias("part")
+    probes = rows.drop("block").join(met, ["group", "key"]).join(parts, ["group", "block"])
+    probes = probes.select("key", "set", "group", "root", "block", part, F.lit(True).alias("probe"))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part")
+    targets = rows.join(parts, ["group", "block"]).select("key", "set", "group", "root", "block", every)
+    dealt = targets.select(*kinds, F.lit(False).alias("probe")).union(probes.select(*kinds, "probe"))
 
     def join(table: pa.Table) -> pa.Table:
         probe = table.column("probe").to_numpy(zero_copy_only=False)

@@ -107,14 +107,49 @@ def test_ngram_join_in_blocks(spark, monkeypatch):
             words[r.randrange(200)] = r.choice(WORDS)
         rows.append((k, " ".join(words)))
     got = by_id(ngram_join.similar_documents(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    assert [got[k][0].component_id for k in range(90)] == brute_components(rows)
+
+
+def brute_components(rows):
     sets = [ngram_join.shingle_sets([t.encode()], 4)[0] for _, t in rows]
-    links = Links(90)
-    for i in range(90):
+    links = Links(len(rows))
+    for i in range(len(rows)):
         for j in range(i):
             n = len(np.intersect1d(sets[i], sets[j]))
             if 100 * n >= 85 * (len(sets[i]) + len(sets[j]) - n):
                 links.join(i, j)
-    assert [got[k][0].component_id for k in range(90)] == links.roots().tolist()
+    return links.roots().tolist()
+
+
+@pytest.mark.parametrize("group_sets", [6, 4000])
+def test_ngram_join_of_families_of_many_sizes(spark, monkeypatch, group_sets):
+    """Cut, extended and changed copies around the threshold: links where sizes differ most."""
+    monkeypatch.setattr(ngram_join, "GROUP_SETS", group_sets)
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 5)
+    r = random.Random(11)
+    bases = [r.choices(WORDS, k=n) for n in (8, 30, 60, 150, 150)]
+    rows = []
+    for k in range(120):
+        words = list(r.choice(bases))
+        cut = r.randint(0, len(words) // 6)
+        words = words[cut:] if r.random() < 0.5 else words[: len(words) - cut]
+        words += [f"own{k}x{i}" for i in range(r.randint(0, len(words) // 8))]
+        for _ in range(r.randint(0, 2)):
+            words[r.randrange(len(words))] = r.choice(WORDS)
+        rows.append((k, " ".join(words)))
+    got = by_id(ngram_join.similar_documents(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    assert [got[k][0].component_id for k in range(120)] == brute_components(rows)
+
+
+def test_sets_out_of_reach_form_no_groups(spark):
+    """A template in which every text has so much of its own that no two can be 85 % alike."""
+    ordered = [(k, b"", 100, 10, list(range(6))) for k in range(500)]
+    frame = spark.createDataFrame(ordered, "key bigint, set binary, length bigint, alone bigint, prefix array<bigint>")
+    assert ngram_join._heads(frame, 85).count() == 0
+    # 80 values, all of them shared, can do for 86 with 5 of its own, but not for 100
+    near = spark.createDataFrame([(500, b"", 80, 0, [0, 1]), (501, b"", 86, 5, [0, 1])], frame.schema)
+    heads = ngram_join._heads(frame.union(near), 85)
+    assert {row.key for row in heads.collect()} == {500, 501}
 
 
 def test_prefix_tree_finds_every_link():
