@@ -111,14 +111,15 @@ def extract(pages: DataFrame, keep: list[str], *, markup: str = "html", url: str
 
     Blocks are joined in page order by one space; a page with no such block, and a null page, gets
     an empty text. A null or odd URL has a host and path of its own kind and is compared within it.
-    Repeated pages are rows of their own; no pages, no rows.
+    Repeated pages are rows of their own; no pages, no rows. A kept column may have any name; one
+    named main_text gives way to the text.
     """
-    carried = [c for c in keep if c != "main_text"]
+    carried = {f"__{i}": c for i, c in enumerate(keep) if c != "main_text"}  # no name clashes with these
     address = F.coalesce(F.col(f"`{url}`").cast("string"), F.lit(""))
     split = r"^(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?(?://([^/?#]*))?([^?#]*)"
     # equal pages at equal addresses share a key, and all that is found of them
     rows = pages.select(
-        *(F.col(f"`{c}`") for c in carried),
+        *(F.col(f"`{c}`").alias(own) for own, c in carried.items()),
         F.xxhash64(address, text_column(pages, markup)).alias("_key"),
         F.lower(F.regexp_extract(address, split, 1)).alias("_host"),
         F.regexp_extract(address, split, 2).alias("_path"),
@@ -135,7 +136,7 @@ def extract(pages: DataFrame, keep: list[str], *, markup: str = "html", url: str
         _templates, "_key bigint, shared array<int>"
     )
     # the pages are read and parsed a second time here rather than kept and moved with their blocks
-    joined = rows.join(shared, "_key", "left").select(*(F.col(f"`{c}`") for c in carried), TEXT, "shared")
+    joined = rows.join(shared, "_key", "left").select(*carried, TEXT, "shared")
     schema = T.StructType([joined.schema[c] for c in carried] + [T.StructField("main_text", T.StringType())])
 
     def run(batches):
@@ -148,7 +149,7 @@ def extract(pages: DataFrame, keep: list[str], *, markup: str = "html", url: str
                 columns = [*(part.column(c) for c in carried), pa.array(made, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*carried, "main_text"])
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(run, schema).toDF(*carried.values(), "main_text")
 
 
 def _templates(batches):

@@ -358,6 +358,19 @@ def test_licenses_wrapped_over_lines(spark):
         assert x.score >= 0.9 if label else x.score == 0
 
 
+def test_packing_and_token_files_beside_clashing_columns(spark, docs, clashing):
+    columns = ["sequence_id", "offset", "piece", "start", "bin", "block", "shard", "segment", "words", "n_tokens"]
+    clashing = clashing.withColumns({name: F.lit("x") for name in columns})
+    made = []
+    for frame in (docs, clashing):
+        pieces = packing.digest(frame).drop("sequence_id", "offset").collect()
+        path = scratch_path(spark, "clashing")
+        token_files.write_token_files(frame, path)
+        read = token_files.read_token_files(spark, path).select("doc_id", "start", "n_tokens", "ids").collect()
+        made.append((sorted(pieces, key=str), sorted(read, key=str)))
+    assert made[0] == made[1]
+
+
 def test_packing(docs, none):
     packed = packing.pack(docs).collect()
     assert sum(r.length for r in packed if r.doc_id == 1) == 1
@@ -555,6 +568,21 @@ def test_differences_decide_where_an_article_holds_little(spark):
     assert got == {**{k: page(k)[1] for k in range(1, 6)}, 9: ("long " * 9).strip(), 10: "found"}
 
 
+def test_pages_of_one_host_and_address_beside_clashing_columns(spark):
+    """A hot address with repeated pages, an address with ties, and columns named as the operator's own."""
+    frame = "<div>Menu of the host</div><div>{}</div><div>Imprint</div>"
+    rows = [(k, "http://hot.org/a", frame.format("the same text")) for k in range(200)]
+    rows += [(200 + k, "http://hot.org/b", frame.format(f"text {k}")) for k in range(200)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    names = ["_key", "_host", "_path", "_body", "host", "path", "row", "shared", "key", "before", "own_hashes", "main_text"]
+    clashing = pages.withColumns({name: F.lit("x") for name in names})
+    got = main_text.extract(clashing, ["page_id", *names]).collect()
+    assert len(got) == 400 and {r["_key"] for r in got} == {r["host"] for r in got} == {"x"}
+    texts = {r.page_id: r.main_text for r in got}
+    assert [texts[200 + k] for k in range(200)] == [f"text {k}" for k in range(200)]
+    assert {texts[k] for k in range(200)} == {"the same text"}
+
+
 def test_common_subsequence():
     r = random.Random(0)
     for _ in range(200):
