@@ -57,13 +57,14 @@ def _counts(df: DataFrame, checks: list[Check]) -> DataFrame:
     return _rows(counts, checks, names)
 
 
-def _key_checks(ref: Ref, checks: list[Check]) -> DataFrame:
+def _key_checks(ref: Ref, checks: list[Check], as_many: bool) -> DataFrame:
     """Unique or relationships checks in one grouping on (check, key).
 
     Each model is scanned once, for the checked columns and for those that are parents of others.
     Rows are counted per key where they are read, so a key that fills a third of a fact is one
-    row by the time it is shuffled. A repeated key has more than one row; an orphan has rows and
-    no parent.
+    row by the time it is shuffled. Keys that are `as_many` as the rows would fill the readers'
+    memory and shrink nothing there; they are shuffled first and counted in the partitions that
+    come out. A repeated key has more than one row; an orphan has rows and no parent.
     """
     looked_at: dict[str, list[str]] = {}
     for i, check in enumerate(checks):
@@ -77,10 +78,11 @@ def _key_checks(ref: Ref, checks: list[Check]) -> DataFrame:
         ref(model).selectExpr(f"inline(array({', '.join(structs)}))")
         for model, structs in looked_at.items()
     ]
+    entered = reduce(DataFrame.unionByName, entries).where(F.col("key").isNotNull())
+    if as_many:
+        entered = entered.repartition("check", "key")
     keys = (
-        reduce(DataFrame.unionByName, entries)
-        .where(F.col("key").isNotNull())
-        .groupBy("check", "key")
+        entered.groupBy("check", "key")
         .agg(F.sum("rows").alias("rows"), F.max("is_parent").alias("has_parent"))
     )
 
@@ -110,7 +112,7 @@ def run_checks(ref: Ref, checks: Iterable[Check]) -> DataFrame:
     # unique keys stay as many as the rows; apart from them, foreign keys shrink where they are read
     for test in (UNIQUE, RELATIONSHIPS):
         if of_test := [c for c in keyed if c.test == test]:
-            parts.append(_key_checks(ref, of_test))
+            parts.append(_key_checks(ref, of_test, as_many=test == UNIQUE))
     status = F.when(F.col("failing_rows") == 0, "pass").otherwise("fail")
     return reduce(DataFrame.unionByName, parts).withColumn("status", status)
 

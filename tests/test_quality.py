@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import ROWS, Shop, rows
+from conftest import ROWS, Shop, plan_of, rows
 from storelens.operators.quality import Check, ChecksFailed, require_pass, run_checks
 from storelens.plans.models import Star
 from storelens.plans.suite import COMPOSITE_UNIQUE, SUITE, only
@@ -100,3 +100,17 @@ def test_composite_grain(spark):
         ("fct_inventory", "inventory_pk", "unique"),
         ("fct_inventory_history", "inventory_pk", "unique"),
     }
+
+
+def test_unique_keys_are_shuffled_before_they_are_counted(star):
+    """They are as many as the rows: counted where they are read, they fill a task's memory."""
+    plan = plan_of(run_checks(star, [Check("fct_sales", "sales_pk", "unique")]))
+    assert "REPARTITION_BY_COL" in plan
+    assert "REPARTITION_BY_COL" not in plan_of(run_checks(star, only("relationships")))
+
+
+def test_repeated_and_null_keys(spark):
+    orders = [(i % 3, 1, 4, dt.date(2016, 2, 29), None, None, 1, None) for i in range(5)]
+    star = sound(spark, orders=[*orders, (9, 1, 4, dt.date(2016, 2, 29), None, None, 1, None)])
+    got = run_checks(star, [Check("stg_orders", "order_id", "unique"), Check("stg_orders", "staff_id", "unique")])
+    assert {(r.column_name, r.failing_rows) for r in got.collect()} == {("order_id", 2), ("staff_id", 0)}
