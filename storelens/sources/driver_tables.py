@@ -14,6 +14,8 @@ from storelens.sources.schemas import TABLES
 SNAPSHOT_START = dt.date(2001, 7, 1)
 SNAPSHOTS = 3
 PARTS_PER_PIECE = 10_000
+# An order with more lines is numbered in pieces.
+LINES_AT_ONCE = 10_000
 BRAND_ID = "cast(split_part(p_brand, '#', 2) as int) as brand_id"
 
 
@@ -149,28 +151,52 @@ class DriverTables:
     def _numbered_lines(self) -> DataFrame:
         """Lines with their place in the order, which a real source would carry.
 
-        An order is numbered in pieces (line number, range of parts), each after the sizes of the
-        pieces before it, so an order with very many lines is spread over tasks. The sizes come
-        by a left join on keys Spark knows to be distinct: it drops the whole numbering from
-        queries that do not use it.
+        An order of up to `LINES_AT_ONCE` lines is numbered as one group. A larger one is numbered
+        in pieces (line number, range of parts), each after the sizes of the pieces before it, so
+        it is spread over tasks. The larger orders are found by counting, and there is at most one
+        per `LINES_AT_ONCE` lines of the table, which is why their keys are broadcast. Keys and
+        sizes come by left joins on keys Spark knows to be distinct: it drops the whole numbering
+        from queries that do not use it. Lines without an order or a line number are numbered by
+        piece alone.
         """
         piece = ["l_orderkey", "l_linenumber", "part_range"]
+        in_piece = ["l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
+        group = ["l_orderkey", "group_line", "group_range"]
         part_range = F.expr(f"l_partkey div {PARTS_PER_PIECE}")
         lines = self.read("lineitem").withColumn("part_range", part_range)
+        large = F.broadcast(
+            lines.groupBy("l_orderkey")
+            .agg(F.count(F.lit(1)).alias("lines"))
+            .where(F.col("lines") > LINES_AT_ONCE)
+            .select("l_orderkey", F.lit(True).alias("is_large"))
+        )
         in_order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "part_range")
         before = F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
         offsets = (
-            lines.groupBy(*piece)
+            lines.join(large, "l_orderkey", "left_semi")
+            .groupBy(*piece)
             .agg(F.count(F.lit(1)).alias("size"))
             .withColumn("before", before)
-            .groupBy(*piece)
+            .groupBy(*[F.col(c).alias(name) for c, name in zip(piece, group)])
             .agg(F.max("before").alias("before"))
         )
-        in_piece = Window.partitionBy(*piece).orderBy(
-            "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"
+        in_pieces = F.col("is_large") | F.col("l_orderkey").isNull()
+        # both windows have the grouping and the order of rows of the join behind them: one sort
+        in_group = Window.partitionBy(*group).orderBy("l_linenumber", "part_range", *in_piece)
+        alone = Window.partitionBy(*group, "l_linenumber", "part_range").orderBy(*in_piece)
+        numbered = (
+            lines.join(large, "l_orderkey", "left")
+            .withColumn("group_line", F.when(in_pieces, F.col("l_linenumber")))
+            .withColumn("group_range", F.when(in_pieces, F.col("part_range")))
+            .withColumn("place", F.row_number().over(in_group))
+            .withColumn("place_alone", F.row_number().over(alone))
+            .join(offsets, group, "left")
         )
-        place = F.coalesce("before", F.lit(0)) + F.row_number().over(in_piece)
-        return lines.join(offsets, piece, "left").withColumn("item_id", place)
+        place = F.when(
+            F.col("l_orderkey").isNull() | F.col("l_linenumber").isNull(),
+            F.col("place_alone").cast("bigint"),
+        ).otherwise(F.coalesce("before", F.lit(0)) + F.col("place"))
+        return numbered.withColumn("item_id", place)
 
     def stocks(self) -> DataFrame:
         # The grid is every part at every store on every date: the few store ids are one array
