@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from storelens.functions.keys import keyed_nulls, missing_key, surrogate_key
 from storelens.functions.numbers import inventory_value
 
+# Tasks that the rows of a stored snapshot date are spread over; more if they are very large.
+TASKS_PER_DATE = 32
+
 
 def fct_sales(
     order_items: DataFrame, orders: DataFrame, by_month: bool = False
@@ -74,10 +77,12 @@ def fct_inventory_history(
     stocks: DataFrame, products: DataFrame, by_snapshot: bool = False
 ) -> DataFrame:
     """Store x product x snapshot, so the key takes the date in. `by_snapshot` spreads the rows
-    by the date they will be stored under, before any hash is computed."""
+    by the date they will be stored under, before any hash is computed, and a date over some
+    tasks by its products: the rows get much wider in the task that hashes and sorts them."""
     priced = _priced(stocks, products)
     if by_snapshot:
-        priced = priced.hint("rebalance", "snapshot_date")
+        spread = F.pmod(F.hash("product_id"), F.lit(TASKS_PER_DATE)).alias("_spread")
+        priced = priced.select("*", spread).hint("rebalance", "snapshot_date", "_spread")
     return _inventory(priced, "store_id", "product_id", "snapshot_date")
 
 

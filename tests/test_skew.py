@@ -9,6 +9,8 @@ from conftest import plan_of
 from storelens.functions.keys import surrogate_key
 from storelens.operators import facts
 from storelens.plans.sales import revenue_by
+from storelens.sources import driver_tables
+from storelens.sources.driver_tables import DriverTables
 
 # Small limits, so that a small fixture has a partition that counts as skewed.
 LIMITS = {
@@ -95,3 +97,55 @@ def test_hot_product_is_one_row_before_the_join(limits, fact, products):
     plan = plan_of(revenue_by(fact, products, "dim_product_sk", ["brand_name"]))
     assert "skew" not in plan
     assert plan.count("partial_sum(") >= 2
+
+
+def lines_of(spark, folder, rows):
+    """A folder with a lineitem table: order, line number, part, supplier."""
+    lines = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long")
+    lines = lines.selectExpr("*", "timestamp'2018-01-01' as l_shipdate", "1d as l_extendedprice")
+    lines.write.parquet(f"{folder}/lineitem.parquet")
+    return DriverTables(spark, str(folder))
+
+
+@pytest.mark.parametrize("at_once", [5, 10_000])
+def test_lines_are_numbered_alike_in_one_group_or_in_pieces(spark, tmp_path, monkeypatch, at_once):
+    monkeypatch.setattr(driver_tables, "LINES_AT_ONCE", at_once)
+    rows = [(order, i % 3, part * 4_000, i) for order in (1, 2) for i in range(4) for part in range(order * 2)]
+    rows += [(3, None, 20_000, 1), (3, None, 1, 1), (3, 1, 1, 1), (None, 1, 1, 1), (None, 1, 2, 1), (None, 2, 1, 1)]
+    numbered = lines_of(spark, tmp_path, rows)._numbered_lines()
+    got = sorted(tuple(r) for r in numbered.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "item_id").collect() if r[0] in (1, 2))
+    places = {o: 0 for o in (1, 2)}
+    want = []
+    for row in sorted(r for r in rows if r[0] in (1, 2)):
+        places[row[0]] += 1
+        want.append((*row, places[row[0]]))
+    assert got == want
+    # without an order or a line number, a place is counted within the piece
+    odd = numbered.where("l_orderkey is null or l_orderkey = 3").select("l_orderkey", "l_linenumber", "l_partkey", "item_id")
+    assert set(map(tuple, odd.collect())) == {
+        (3, None, 20_000, 1), (3, None, 1, 1), (3, 1, 1, 3),
+        (None, 1, 1, 1), (None, 1, 2, 2), (None, 2, 1, 1),
+    }
+
+
+def test_small_orders_are_not_grouped_by_pieces(spark, tmp_path):
+    numbered = lines_of(spark, tmp_path, [(o, i, i, 1) for o in range(50) for i in range(4)])._numbered_lines()
+    plan = plan_of(numbered.agg(F.max("item_id")))
+    assert "sum(size" not in plan.split("== Initial Plan ==")[0]
+
+
+def test_a_snapshot_date_is_spread_over_tasks(spark, limits):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    stocks = spark.range(0, 5_000, 1, 2).selectExpr(
+        "cast(id % 5 as int) as store_id", "id as product_id", "1 as quantity", "date '2018-03-01' as snapshot_date"
+    )
+    products = spark.range(5_000).selectExpr("id as product_id", "cast(2 as decimal(10,2)) as list_price")
+    try:
+        built = facts.fct_inventory_history(stocks, products, by_snapshot=True)
+        tasks = built.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert built.columns == facts.fct_inventory_history(stocks, products).columns
+    assert sum(r["count"] for r in tasks) == 5_000
+    assert max(r["count"] for r in tasks) < 2_500
