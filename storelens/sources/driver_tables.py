@@ -16,6 +16,8 @@ SNAPSHOTS = 3
 PARTS_PER_PIECE = 10_000
 # An order with more lines is numbered in pieces.
 LINES_AT_ONCE = 10_000
+# Orders are looked through for larger ones by buckets, so a reader counts no more than these.
+ORDER_BUCKETS = 1 << 18
 BRAND_ID = "cast(split_part(p_brand, '#', 2) as int) as brand_id"
 
 
@@ -153,23 +155,17 @@ class DriverTables:
 
         An order of up to `LINES_AT_ONCE` lines is numbered as one group. A larger one is numbered
         in pieces (line number, range of parts), each after the sizes of the pieces before it, so
-        it is spread over tasks. The larger orders are found by counting, and there is at most one
-        per `LINES_AT_ONCE` lines of the table, which is why their keys are broadcast. Keys and
-        sizes come by left joins on keys Spark knows to be distinct: it drops the whole numbering
-        from queries that do not use it. Lines without an order or a line number are numbered by
-        piece alone.
+        it is spread over tasks. There is at most one per `LINES_AT_ONCE` lines of the table, which
+        is why their keys are broadcast. Keys and sizes come by left joins on keys Spark knows to
+        be distinct: it drops the whole numbering from queries that do not use it. Lines without
+        an order or a line number are numbered by piece alone.
         """
         piece = ["l_orderkey", "l_linenumber", "part_range"]
         in_piece = ["l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
         group = ["l_orderkey", "group_line", "group_range"]
         part_range = F.expr(f"l_partkey div {PARTS_PER_PIECE}")
         lines = self.read("lineitem").withColumn("part_range", part_range)
-        large = F.broadcast(
-            lines.groupBy("l_orderkey")
-            .agg(F.count(F.lit(1)).alias("lines"))
-            .where(F.col("lines") > LINES_AT_ONCE)
-            .select("l_orderkey", F.lit(True).alias("is_large"))
-        )
+        large = F.broadcast(self._large_orders().withColumn("is_large", F.lit(True)))
         in_order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "part_range")
         before = F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
         offsets = (
@@ -198,6 +194,28 @@ class DriverTables:
         ).otherwise(F.coalesce("before", F.lit(0)) + F.col("place"))
         return numbered.withColumn("item_id", place)
 
+    def _large_orders(self) -> DataFrame:
+        """Keys of the orders with more than `LINES_AT_ONCE` lines.
+
+        Orders, nearly as many as the lines, would fill the readers' memory. Lines are counted by
+        buckets of orders first; only buckets with that many lines can hold such an order, and
+        only their lines are shuffled and counted by order.
+        """
+        lines = (
+            self.read("lineitem")
+            .select("l_orderkey")
+            .where(F.col("l_orderkey").isNotNull())
+            .withColumn("bucket", F.pmod(F.xxhash64("l_orderkey"), F.lit(ORDER_BUCKETS)))
+        )
+
+        def full(df: DataFrame, key: str) -> DataFrame:
+            counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("lines"))
+            return counted.where(F.col("lines") > LINES_AT_ONCE).select(key)
+
+        buckets = F.broadcast(full(lines, "bucket"))
+        inside = lines.join(buckets, "bucket", "left_semi")
+        return full(inside.repartition("l_orderkey"), "l_orderkey")
+
     def stocks(self) -> DataFrame:
         # The grid is every part at every store on every date: the few store ids are one array
         # value, exploded next to each part, so parts stay where they are read.

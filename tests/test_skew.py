@@ -134,6 +134,23 @@ def test_small_orders_are_not_grouped_by_pieces(spark, tmp_path):
     assert "sum(size" not in plan.split("== Initial Plan ==")[0]
 
 
+def test_orders_are_shuffled_before_they_are_counted(spark, tmp_path):
+    numbered = lines_of(spark, tmp_path, [(1, 1, 1, 1)])._numbered_lines().agg(F.max("item_id"))
+    plan = numbered._jdf.queryExecution().executedPlan().toString().splitlines()
+    below = [after for line, after in zip(plan, plan[1:]) if re.search(r"keys=\[l_orderkey#\d+L\], functions=\[partial_count", line)]
+    assert below
+    assert all("Exchange hashpartitioning(l_orderkey" in line for line in below)
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 1 << 18])
+def test_large_orders_are_found_among_others_of_their_bucket(spark, tmp_path, monkeypatch, buckets):
+    monkeypatch.setattr(driver_tables, "LINES_AT_ONCE", 5)
+    monkeypatch.setattr(driver_tables, "ORDER_BUCKETS", buckets)
+    sizes = {-3: 6, 1: 5, 2: 7, 3: 1, 4: 4, None: 9}
+    sources = lines_of(spark, tmp_path, [(o, i, i, 1) for o, size in sizes.items() for i in range(size)])
+    assert sorted(r[0] for r in sources._large_orders().collect()) == [-3, 2]
+
+
 def test_a_snapshot_date_is_spread_over_tasks(spark, limits):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
