@@ -12,7 +12,7 @@ from storelens.functions.keys import MISSING_ID, missing_key
 from storelens.functions.numbers import MONEY_SUM, divide0, mean, money_sum, percent
 from storelens.operators.periods import sum_back
 from storelens.operators.ranking import dense_rank_desc, top_label
-from storelens.operators.shares import total_of
+from storelens.operators.shares import total_of, whole
 from storelens.plans.filters import ALL, Filters
 from storelens.plans.models import Star
 from storelens.plans.sales import compared, daily, revenue_by, with_date
@@ -84,8 +84,9 @@ def top_staff(star: Star, filters: Filters = ALL) -> DataFrame:
 
 
 def revenue_by_brand(star: Star, filters: Filters = ALL) -> DataFrame:
-    """Shares are of all brands, ranks among the chosen ones."""
-    brands = (
+    """Shares are of all brands, ranks among the chosen ones. Rows, ranks and total come from one
+    aggregation of the lines."""
+    brands = whole(
         _with_product(replace(filters, brands=()).sales(star), star, "brand_name")
         .groupBy("brand_name")
         .agg(
@@ -94,12 +95,16 @@ def revenue_by_brand(star: Star, filters: Filters = ALL) -> DataFrame:
             F.countDistinct("order_id").alias("order_count"),
         )
     )
-    total = total_of(brands, "brand_revenue")
-    share = divide0(F.col("brand_revenue"), total) * 100
     if filters.brands:
+        total = total_of(brands, "brand_revenue")
         brands = brands.where(F.col("brand_name").isin(*filters.brands))
-    ranked = dense_rank_desc(brands, "brand_revenue", "revenue_rank")
-    return ranked.withColumn("share_pct", share).orderBy(F.desc("brand_revenue"), "brand_name")
+        ranked = dense_rank_desc(brands, "brand_revenue", "revenue_rank")
+    else:
+        total = F.col("_total")
+        ranked = dense_rank_desc(brands, "brand_revenue", "revenue_rank", "_total")
+    share = divide0(F.col("brand_revenue"), total) * 100
+    shown = ranked.withColumn("share_pct", share).drop("_total")
+    return shown.orderBy(F.desc("brand_revenue"), "brand_name")
 
 
 def revenue_by_model_year(star: Star, filters: Filters = ALL) -> DataFrame:

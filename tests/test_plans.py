@@ -47,6 +47,10 @@ def test_totals_reuse_the_shuffle(spark):
         assert "ReusedExchange" in plan_of(DASHBOARD[name](spark, SF)), name
 
 
+def test_brands_are_aggregated_once_for_rows_ranks_and_total(spark):
+    assert plan_of(QUERIES["revenue_by_brand"](spark, SF)).count("FileScan parquet [l_orderkey") == 1
+
+
 def test_scans_read_only_what_they_need(plans):
     kpis = plans["sales_kpis"]
     schema = re.findall(r"ReadSchema: struct<([^>]*)>", kpis)
