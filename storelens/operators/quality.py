@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from functools import reduce
 from itertools import groupby
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 Ref = Callable[[str], DataFrame]
@@ -24,6 +24,9 @@ NOT_NULL = "not_null"
 ACCEPTED_VALUES = "accepted_values"
 RELATIONSHIPS = "relationships"
 
+# Buckets of a check's keys; the numbers of those with repeated hashes are broadcast.
+KEY_BUCKETS = 1 << 14
+
 
 @dataclass(frozen=True)
 class Check:
@@ -57,48 +60,81 @@ def _counts(df: DataFrame, checks: list[Check]) -> DataFrame:
     return _rows(counts, checks, names)
 
 
-def _key_checks(ref: Ref, checks: list[Check], as_many: bool) -> DataFrame:
-    """Unique or relationships checks in one grouping on (check, key).
+def _by_check(looked_at: dict[str, list[str]], ref: Ref) -> DataFrame:
+    """A row for each value that is looked at: each model is scanned once for all its checks."""
+    entries = [
+        ref(model).selectExpr(f"inline(array({', '.join(structs)}))")
+        for model, structs in looked_at.items()
+    ]
+    return reduce(DataFrame.unionByName, entries).where(F.col("key").isNotNull())
+
+
+def _found(per_check: DataFrame, checks: list[Check]) -> DataFrame:
+    """A result row per check from the `failing` counts of those that have any."""
+    found = per_check.selectExpr("map_from_entries(collect_list(struct(check, failing))) as found")
+    failing = [f"coalesce(try_element_at(found, {i}), 0L)" for i in range(len(checks))]
+    return _rows(found, checks, failing)
+
+
+def _hash(key: str) -> Column:
+    return F.xxhash64(key)
+
+
+def _unique_checks(ref: Ref, checks: list[Check]) -> DataFrame:
+    """Unique checks in one grouping on (check, key).
+
+    Unique keys are as many as the rows: they would fill the readers' memory and shrink nothing
+    there, and as texts they are wide. So only their hashes are shuffled, and counted in the
+    partitions that come out. A key can repeat only where a hash does: the keys of the buckets with
+    repeated hashes, none in a sound load, are then counted themselves.
+    """
+    looked_at: dict[str, list[str]] = {}
+    for i, check in enumerate(checks):
+        entry = f"struct({i} as check, cast({check.column} as string) as key)"
+        looked_at.setdefault(check.model, []).append(entry)
+    entered = _by_check(looked_at, ref).withColumn("hash", _hash("key"))
+    in_bucket = F.pmod("hash", F.lit(KEY_BUCKETS)).alias("bucket")
+
+    def counted(df: DataFrame, key: str) -> DataFrame:
+        return df.repartition("check", key).groupBy("check", key).agg(F.count(F.lit(1)).alias("rows"))
+
+    # a row per check, with at most KEY_BUCKETS numbers
+    repeated = (
+        counted(entered.select("check", "hash"), "hash")
+        .groupBy("check")
+        .agg(F.collect_set(F.when(F.col("rows") > 1, in_bucket)).alias("buckets"))
+    )
+    buckets = repeated.select("check", F.explode("buckets").alias("bucket"))
+    doubtful = entered.select("check", "key", in_bucket).join(
+        F.broadcast(buckets), ["check", "bucket"], "left_semi"
+    )
+    per_check = counted(doubtful, "key").groupBy("check").agg(F.expr("count_if(rows > 1)").alias("keys"))
+    failing = F.when(F.size("buckets") > 0, F.coalesce("keys", F.lit(0))).otherwise(0)
+    return _found(repeated.join(per_check, "check", "left").select("check", failing.alias("failing")), checks)
+
+
+def _relationship_checks(ref: Ref, checks: list[Check]) -> DataFrame:
+    """Relationships checks in one grouping on (check, key).
 
     Each model is scanned once, for the checked columns and for those that are parents of others.
     Rows are counted per key where they are read, so a key that fills a third of a fact is one
-    row by the time it is shuffled. Keys that are `as_many` as the rows would fill the readers'
-    memory and shrink nothing there; they are shuffled first and counted in the partitions that
-    come out. A repeated key has more than one row; an orphan has rows and no parent.
+    row by the time it is shuffled. An orphan has rows and no parent.
     """
     looked_at: dict[str, list[str]] = {}
     for i, check in enumerate(checks):
         key = f"{i} as check, cast({check.column} as string) as key"
-        entry = f"struct({key}, 1L as rows, false as is_parent)"
-        looked_at.setdefault(check.model, []).append(entry)
-        if check.test == RELATIONSHIPS:
-            entry = f"struct({key}, 0L as rows, true as is_parent)"
-            looked_at.setdefault(check.parent, []).append(entry)
-    entries = [
-        ref(model).selectExpr(f"inline(array({', '.join(structs)}))")
-        for model, structs in looked_at.items()
-    ]
-    entered = reduce(DataFrame.unionByName, entries).where(F.col("key").isNotNull())
-    if as_many:
-        entered = entered.repartition("check", "key")
+        for model, rows, is_parent in ((check.model, "1L", "false"), (check.parent, "0L", "true")):
+            entry = f"struct({key}, {rows} as rows, {is_parent} as is_parent)"
+            looked_at.setdefault(model, []).append(entry)
     keys = (
-        entered.groupBy("check", "key")
+        _by_check(looked_at, ref)
+        .groupBy("check", "key")
         .agg(F.sum("rows").alias("rows"), F.max("is_parent").alias("has_parent"))
     )
-
-    per_check = keys.groupBy("check").agg(
-        F.expr("count_if(rows > 1)").alias("repeated"),
-        F.expr("sum(rows) filter (where not has_parent)").alias("orphaned"),
-    )
-    found = per_check.selectExpr(
-        "map_from_entries(collect_list(struct(check, struct(repeated, orphaned)))) as found"
+    per_check = (
+        keys.where(~F.col("has_parent")).groupBy("check").agg(F.sum("rows").alias("failing"))
     )
-    count_of = {UNIQUE: "repeated", RELATIONSHIPS: "orphaned"}
-    failing = [
-        f"coalesce(try_element_at(found, {i}).{count_of[c.test]}, 0L)"
-        for i, c in enumerate(checks)
-    ]
-    return _rows(found, checks, failing)
+    return _found(per_check, checks)
 
 
 def run_checks(ref: Ref, checks: Iterable[Check]) -> DataFrame:
@@ -110,9 +146,9 @@ def run_checks(ref: Ref, checks: Iterable[Check]) -> DataFrame:
         for model, group in groupby(counted, key=lambda c: c.model)
     ]
     # unique keys stay as many as the rows; apart from them, foreign keys shrink where they are read
-    for test in (UNIQUE, RELATIONSHIPS):
+    for test, found in ((UNIQUE, _unique_checks), (RELATIONSHIPS, _relationship_checks)):
         if of_test := [c for c in keyed if c.test == test]:
-            parts.append(_key_checks(ref, of_test, as_many=test == UNIQUE))
+            parts.append(found(ref, of_test))
     status = F.when(F.col("failing_rows") == 0, "pass").otherwise("fail")
     return reduce(DataFrame.unionByName, parts).withColumn("status", status)
 

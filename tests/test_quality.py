@@ -1,8 +1,11 @@
 import datetime as dt
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import ROWS, Shop, plan_of, rows
+from storelens.operators import quality
 from storelens.operators.quality import Check, ChecksFailed, require_pass, run_checks
 from storelens.plans.models import Star
 from storelens.plans.suite import COMPOSITE_UNIQUE, SUITE, only
@@ -109,6 +112,27 @@ def test_unique_keys_are_shuffled_before_they_are_counted(star):
     assert "REPARTITION_BY_COL" not in plan_of(run_checks(star, only("relationships")))
 
 
+def test_hashes_of_unique_keys_are_shuffled_and_no_keys_in_a_sound_load(star):
+    checks = run_checks(star, [Check("fct_sales", "sales_pk", "unique")])
+    planned = checks._jdf.queryExecution().executedPlan().toString()
+    by_hash, by_key = r"Exchange hashpartitioning\(check#\d+, hash#", r"Exchange hashpartitioning\(check#\d+, key#"
+    assert re.search(by_hash, planned) and re.search(by_key, planned)
+    assert not re.search(by_key, plan_of(checks))
+
+
+@pytest.mark.parametrize("hashed", [F.xxhash64, lambda key: F.lit(7), lambda key: F.length(key).cast("long")])
+@pytest.mark.parametrize("buckets", [1, 1 << 14])
+def test_keys_whose_hashes_meet_are_told_apart(spark, monkeypatch, hashed, buckets):
+    monkeypatch.setattr(quality, "_hash", hashed)
+    monkeypatch.setattr(quality, "KEY_BUCKETS", buckets)
+    models = {
+        "some": spark.createDataFrame([("a",), ("b",), ("b",), ("cc",), (None,), (None,), ("",), ("",), ("b",)], "k string"),
+        "sound": spark.createDataFrame([("a",), ("b",), ("cc",), (None,), (None,)], "k string"),
+    }
+    got = run_checks(models.__getitem__, [Check("some", "k", "unique"), Check("sound", "k", "unique")])
+    assert {(r.model, r.failing_rows) for r in got.collect()} == {("some", 2), ("sound", 0)}
+
+
 def test_repeated_and_null_keys(spark):
     orders = [(i % 3, 1, 4, dt.date(2016, 2, 29), None, None, 1, None) for i in range(5)]
     star = sound(spark, orders=[*orders, (9, 1, 4, dt.date(2016, 2, 29), None, None, 1, None)])
