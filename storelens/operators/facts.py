@@ -2,31 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from storelens.functions.bands import order_status_label
 from storelens.functions.keys import keyed_nulls, missing_key, surrogate_key
-from storelens.functions.numbers import inventory_value
+from storelens.functions.numbers import inventory_value, line_total
 
 # Tasks that the rows of a stored snapshot date are spread over; more if they are very large.
 TASKS_PER_DATE = 32
 
 
+def _derived() -> dict[str, Column]:
+    """The columns that staging derives from others of the same table."""
+    return {
+        "order_status_label": order_status_label("order_status"),
+        "is_shipped": F.col("shipped_date").isNotNull(),
+        "line_total": line_total(),
+    }
+
+
+def _renewed(df: DataFrame) -> DataFrame:
+    """The same columns under new ids. A union keeps its first child's, and with them projections
+    that the other children lose: their plans would differ, and what they share run twice."""
+    return df.select(*[F.col(c).alias(c) for c in df.columns])
+
+
 def fct_sales(
-    order_items: DataFrame, orders: DataFrame, by_month: bool = False
+    order_items: DataFrame | list[DataFrame], orders: DataFrame, by_month: bool = False
 ) -> DataFrame:
-    """One row per order line.
+    """One row per order line. Items may come in parts, which meet the orders one by one.
 
     Items and orders meet on their integer key, and all hashes are computed last, so no hash text
     is shuffled. `by_month` spreads the joined rows by the month they will be stored under, with
     that column added: partitions come out near the advised size, and a month with most of the
-    rows is split over several tasks.
+    rows is split over several tasks. What staging derives from other columns is then derived
+    again behind the shuffles, instead of being shuffled.
     """
-    joined = order_items.join(orders, "order_id")
+    parts = order_items if isinstance(order_items, list) else [order_items]
+    joined = reduce(DataFrame.unionByName, [_renewed(part.join(orders, "order_id")) for part in parts])
     if by_month:
         joined = joined.withColumn("order_month", F.trunc("order_date", "month")).hint(
             "rebalance", "order_month"
-        )
+        ).withColumns(_derived())
     return joined.select(
         surrogate_key("order_id", "item_id").alias("sales_pk"),
         surrogate_key("order_date").alias("dim_date_sk"),

@@ -127,6 +127,17 @@ class Star:
             return STAGED[name](self.sources)
         return GOLD[name].build(*map(self, GOLD[name].inputs))
 
+    def laid_out(self, name: str) -> DataFrame:
+        """A large fact as it is to be stored: all its columns are needed, so its lines may come in
+        the parts in which its sources have them."""
+        return LAID_OUT[name](*map(self._staged_in_parts, GOLD[name].inputs))
+
+    def _staged_in_parts(self, name: str) -> DataFrame | list[DataFrame]:
+        in_parts = getattr(self.sources, "latest_in_parts", None)
+        if name != "stg_order_items" or in_parts is None:
+            return self(name)
+        return [STAGING["order_items"](part) for part in in_parts("order_items")]
+
     def daily_inventory(self) -> DataFrame | None:
         """Inventory per date, store, brand and category, where such sums are kept."""
         return None
@@ -167,9 +178,12 @@ class StoredStar(Star):
     def compute(self, name: str) -> DataFrame:
         """One model as it is to be stored, from the stored models before it."""
         if name in LAID_OUT:
-            return LAID_OUT[name](*map(self, GOLD[name].inputs))
+            return self.laid_out(name)
         return super()._build(name)
 
+    def _staged_in_parts(self, name: str) -> DataFrame:
+        return self(name)  # it is stored
+
     def show(self, name: str, version: str | None) -> None:
         """From now on show a version that is not current; None goes back to the current one."""
         self._built.pop(name, None)

@@ -16,7 +16,7 @@ from storelens.operators.quality import run_checks
 from storelens.operators.staging import STAGING
 from storelens.plans import inventory, performance, sales
 from storelens.plans.filters import Filters
-from storelens.plans.models import GOLD, LAID_OUT, LandedTables, Star, StoredStar
+from storelens.plans.models import GOLD, LandedTables, Star, StoredStar
 from storelens.plans.suite import COMPOSITE_UNIQUE, SUITE, only
 from storelens.plans.warehouse import (
     BUILD_ORDER,
@@ -123,8 +123,7 @@ def source_catalog(sources: DriverTables) -> DataFrame:
 
 def model_write(star: Star) -> DataFrame:
     root, name = scratch_path(star.spark, "model"), "fct_sales"
-    laid_out = LAID_OUT[name](*map(star, GOLD[name].inputs))
-    publish_model(star.spark, root, name, write_model(laid_out, root, name))
+    publish_model(star.spark, root, name, write_model(star.laid_out(name), root, name))
     stored = StoredStar(star.sources, root, **SPINE)
     return stored("fct_sales").select(*star("fct_sales").columns)
 
@@ -134,8 +133,7 @@ def on_stored_facts(query: Callable[..., DataFrame], filters: Filters) -> Callab
 
     def run(star: Star) -> DataFrame:
         root, name = scratch_path(star.spark, "facts"), "fct_sales"
-        fact = LAID_OUT[name](*map(star, GOLD[name].inputs))
-        publish_model(star.spark, root, name, write_model(fact, root, name))
+        publish_model(star.spark, root, name, write_model(star.laid_out(name), root, name))
         return query(MixedStar(star, StoredStar(star.sources, root, **SPINE), (name,)), filters.resolved(star))
 
     return run

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storelens.operators.loads import latest_full_load
@@ -13,11 +13,13 @@ from storelens.sources.schemas import TABLES
 # Three snapshots of the stock grid.
 SNAPSHOT_START = dt.date(2001, 7, 1)
 SNAPSHOTS = 3
-PARTS_PER_PIECE = 10_000
+PART_RANGE = "l_partkey div 10000"
 # An order with more lines is numbered in pieces.
 LINES_AT_ONCE = 10_000
 # Orders are looked through for larger ones by buckets, so a reader counts no more than these.
 ORDER_BUCKETS = 1 << 18
+# The order of the lines of a piece.
+IN_PIECE = ["l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
 BRAND_ID = "cast(split_part(p_brand, '#', 2) as int) as brand_id"
 
 
@@ -118,13 +120,16 @@ class DriverTables:
         # The number of suppliers is a scalar subquery, so the staff member of an order is a
         # plain equi-join.
         suppliers = self.read("supplier").agg(F.count(F.lit(1))).scalar()
-        staff = self.staffs().select("staff_id", "store_id")
+        # Two joins, not one with the joined staff: Spark then knows how small each side is, and
+        # orders are not shuffled for it.
+        staff = self.read("supplier").selectExpr("s_suppkey as staff_id", "s_nationkey")
+        store = self.read("nation").selectExpr("n_nationkey as s_nationkey", "n_regionkey as store_id")
         orders = (
             self.read("orders")
             .withColumn("staff_id", F.col("o_orderkey") % suppliers)
             .withColumn("order_date", F.col("o_orderdate").cast("date"))
         )
-        return orders.join(staff, "staff_id").selectExpr(
+        return orders.join(staff, "staff_id").join(store, "s_nationkey").selectExpr(
             "o_orderkey as order_id",
             "if(o_orderkey % 20 = 0, null, o_custkey) as customer_id",
             "case when o_orderkey % 15 = 7 then 3 when o_orderstatus = 'O' then 1 "
@@ -138,9 +143,26 @@ class DriverTables:
         )
 
     def order_items(self) -> DataFrame:
-        lines = self._numbered_lines().join(
-            self.read("part"), F.col("l_partkey") == F.col("p_partkey")
-        )
+        return self._items(self._numbered_lines())
+
+    def latest_in_parts(self, name: str) -> list[DataFrame]:
+        """As `latest`; order items in two parts, which leave out those without an order.
+
+        Orders of up to `LINES_AT_ONCE` lines are numbered as one group each and lie by order_id, so a
+        join with the orders shuffles them no more. The lines of larger ones, mostly none, are a part
+        of their own: they lie by pieces, and a join can split them. Both parts need the search for
+        large orders, so a query that does not use item_id is better off with `latest`.
+        """
+        if name != "order_items":
+            return [self.latest(name)]
+        large = F.broadcast(self._large_orders())
+        lines = self.read("lineitem").where(F.col("l_orderkey").isNotNull())
+        small = lines.join(large, "l_orderkey", "left_anti")
+        parts = [self._numbered_orders(small), self._numbered_lines(only_large=True)]
+        return [TABLES[name].conform(self._items(part)) for part in parts]
+
+    def _items(self, numbered: DataFrame) -> DataFrame:
+        lines = numbered.join(self.read("part"), F.col("l_partkey") == F.col("p_partkey"))
         return lines.selectExpr(
             "l_orderkey as order_id",
             "item_id",
@@ -150,7 +172,26 @@ class DriverTables:
             "cast(l_discount as decimal(4,2)) as discount",
         )
 
-    def _numbered_lines(self) -> DataFrame:
+    @staticmethod
+    def _place(numbered: DataFrame, before: Column) -> DataFrame:
+        """Lines without an order or a line number are numbered by piece alone."""
+        place = F.when(
+            F.col("l_orderkey").isNull() | F.col("l_linenumber").isNull(),
+            F.col("place_alone").cast("bigint"),
+        ).otherwise(before + F.col("place"))
+        return numbered.withColumn("item_id", place)
+
+    def _numbered_orders(self, lines: DataFrame) -> DataFrame:
+        """Lines with their place in the order, each order numbered as one group."""
+        lines = lines.repartition("l_orderkey").withColumn("part_range", F.expr(PART_RANGE))
+        in_order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "part_range", *IN_PIECE)
+        alone = Window.partitionBy("l_orderkey", "l_linenumber", "part_range").orderBy(*IN_PIECE)
+        numbered = lines.withColumn("place", F.row_number().over(in_order)).withColumn(
+            "place_alone", F.row_number().over(alone)
+        )
+        return self._place(numbered, F.lit(0).cast("bigint"))
+
+    def _numbered_lines(self, only_large: bool = False) -> DataFrame:
         """Lines with their place in the order, which a real source would carry.
 
         An order of up to `LINES_AT_ONCE` lines is numbered as one group. A larger one is numbered
@@ -161,10 +202,8 @@ class DriverTables:
         an order or a line number are numbered by piece alone.
         """
         piece = ["l_orderkey", "l_linenumber", "part_range"]
-        in_piece = ["l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
         group = ["l_orderkey", "group_line", "group_range"]
-        part_range = F.expr(f"l_partkey div {PARTS_PER_PIECE}")
-        lines = self.read("lineitem").withColumn("part_range", part_range)
+        lines = self.read("lineitem").withColumn("part_range", F.expr(PART_RANGE))
         large = F.broadcast(self._large_orders().withColumn("is_large", F.lit(True)))
         in_order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "part_range")
         before = F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
@@ -178,21 +217,17 @@ class DriverTables:
         )
         in_pieces = F.col("is_large") | F.col("l_orderkey").isNull()
         # both windows have the grouping and the order of rows of the join behind them: one sort
-        in_group = Window.partitionBy(*group).orderBy("l_linenumber", "part_range", *in_piece)
-        alone = Window.partitionBy(*group, "l_linenumber", "part_range").orderBy(*in_piece)
+        in_group = Window.partitionBy(*group).orderBy("l_linenumber", "part_range", *IN_PIECE)
+        alone = Window.partitionBy(*group, "l_linenumber", "part_range").orderBy(*IN_PIECE)
         numbered = (
-            lines.join(large, "l_orderkey", "left")
+            lines.join(large, "l_orderkey", "inner" if only_large else "left")
             .withColumn("group_line", F.when(in_pieces, F.col("l_linenumber")))
             .withColumn("group_range", F.when(in_pieces, F.col("part_range")))
             .withColumn("place", F.row_number().over(in_group))
             .withColumn("place_alone", F.row_number().over(alone))
             .join(offsets, group, "left")
         )
-        place = F.when(
-            F.col("l_orderkey").isNull() | F.col("l_linenumber").isNull(),
-            F.col("place_alone").cast("bigint"),
-        ).otherwise(F.coalesce("before", F.lit(0)) + F.col("place"))
-        return numbered.withColumn("item_id", place)
+        return self._place(numbered, F.coalesce("before", F.lit(0)))
 
     def _large_orders(self) -> DataFrame:
         """Keys of the orders with more than `LINES_AT_ONCE` lines.

@@ -46,6 +46,12 @@ def key(value):
     return F.md5(F.lit(str(value)))
 
 
+def test_models_are_stored_in_zstd(spark, fact, tmp_path):
+    laid_out(spark.range(3), "stg_orders").parquet(f"{tmp_path}/rows")
+    for stored in (fact, spark.read.parquet(f"{tmp_path}/rows")):
+        assert all(".zstd." in file for file in stored.inputFiles())
+
+
 def test_a_store_skips_row_groups(fact):
     chosen = fact.where(F.col("dim_store_sk") == key(3))
     assert scanned(chosen) < ROWS / 3

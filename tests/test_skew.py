@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import plan_of
 from storelens.functions.keys import surrogate_key
 from storelens.operators import facts
+from storelens.plans.models import Star
 from storelens.plans.sales import revenue_by
 from storelens.sources import driver_tables
 from storelens.sources.driver_tables import DriverTables
@@ -166,3 +167,55 @@ def test_a_snapshot_date_is_spread_over_tasks(spark, limits):
     assert built.columns == facts.fct_inventory_history(stocks, products).columns
     assert sum(r["count"] for r in tasks) == 5_000
     assert max(r["count"] for r in tasks) < 2_500
+
+
+def shop_of(spark, folder, rows):
+    """`lines_of` with what the sales fact needs besides."""
+    lines_of(spark, folder / "bare", rows).read("lineitem").selectExpr(
+        "*", "l_suppkey + 0d as l_quantity", "0.1d as l_discount"
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    tables = {
+        "part": spark.range(40).selectExpr("id * 4000 as p_partkey", "cast(id as double) as p_retailprice"),
+        "orders": spark.range(60).selectExpr(
+            "id as o_orderkey", "id as o_custkey", "if(id % 2 = 0, 'F', 'O') as o_orderstatus",
+            "cast(date_add(date '1995-01-31', cast(id as int)) as timestamp) as o_orderdate",
+        ),
+        "supplier": spark.range(4).selectExpr("id as s_suppkey", "cast(id % 2 as int) as s_nationkey"),
+        "nation": spark.range(2).selectExpr("cast(id as int) as n_nationkey", "cast(id as int) as n_regionkey"),
+    }
+    for name, table in tables.items():
+        table.write.parquet(f"{folder}/{name}.parquet")
+    return DriverTables(spark, str(folder))
+
+
+@pytest.mark.parametrize("at_once", [5, 10_000])
+def test_order_items_in_parts_are_those_with_an_order(spark, tmp_path, monkeypatch, at_once):
+    monkeypatch.setattr(driver_tables, "LINES_AT_ONCE", at_once)
+    rows = [(order, i % 3, part * 4_000, i) for order in (1, 2, 59) for i in range(3) for part in range(order % 4 + 1)]
+    rows += [(3, None, 20_000, 1), (3, None, 4_000, 1), (3, 1, 4_000, 1), (None, 1, 4_000, 1), (99, 1, 4_000, 1)]
+    sources = shop_of(spark, tmp_path, rows)
+    small, large = sources.latest_in_parts("order_items")
+    whole = sources.latest("order_items")
+    assert small.schema == large.schema == whole.schema
+    assert bool(large.count()) == (at_once == 5)
+    assert sorted(map(repr, small.union(large).collect())) == sorted(map(repr, whole.where("order_id is not null").collect()))
+    star = Star(sources)
+    built = star.laid_out("fct_sales").drop("order_month")
+    assert built.schema == star("fct_sales").schema
+    assert sorted(map(repr, built.collect())) == sorted(map(repr, star("fct_sales").collect()))
+
+
+def test_lines_are_shuffled_once_by_order_and_once_by_month(spark, limits, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")  # for parts and staff
+    rows = [(o, i, i * 4_000, 1) for o in range(60) for i in range(4)]
+    fact = Star(shop_of(spark, tmp_path, rows)).laid_out("fct_sales")
+    shuffles = re.findall(r"Exchange (hashpartitioning\(\w+)#", plan_of(fact))
+    assert shuffles.count("hashpartitioning(order_month") == 1
+    assert shuffles.count("hashpartitioning(l_orderkey") == 1
+    assert shuffles.count("hashpartitioning(order_id") == 1  # the orders
+
+
+def test_orders_are_not_shuffled_for_their_staff(spark, tmp_path):
+    orders = shop_of(spark, tmp_path, [(1, 1, 0, 1)]).orders()
+    assert "Exchange hashpartitioning" not in plan_of(orders)
+    assert orders.count() == 60
