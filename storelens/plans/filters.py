@@ -14,6 +14,7 @@ from storelens.functions.bands import LOW_STOCK
 from storelens.plans.models import Star
 
 PUSHED_KEYS = 1000  # keys that a scan is given as a list at most
+BROADCAST_KEYS = 1_000_000  # hash keys, some 100 MB, that each executor is given at most
 
 
 @dataclass(frozen=True)
@@ -36,6 +37,8 @@ class Filters:
     active_only: bool = True
     # what `resolved` has looked up: a key column, the names it is for, and the keys
     keys: tuple[tuple[str, tuple, tuple[str, ...]], ...] = ()
+    # key columns, and the names, with more keys than a list holds and few enough to broadcast
+    broadcast: tuple[tuple[str, tuple], ...] = ()
 
     @classmethod
     def first_load(cls, today: dt.date) -> Filters:
@@ -122,7 +125,8 @@ class Filters:
         gets them as lists and skips the row groups without them.
 
         This runs a lookup in each dimension that is filtered. Of more than `most` keys nothing is
-        kept: the fact then meets them in a join, as without this.
+        kept: the fact then meets them in a join, as without this, and is not shuffled for it where
+        there are at most BROADCAST_KEYS.
         """
         wanted = {}
         if self.stores and self.store_scope == "order":
@@ -131,12 +135,14 @@ class Filters:
             wanted["dim_product_sk"] = self._products(star)
         if self._by_staff:
             wanted["dim_staff_sk"] = self._staff(star)
-        found = []
+        found, broadcast = [], []
         for key, rows in wanted.items():
             values = [row[0] for row in rows.select(key).distinct().limit(most + 1).collect()]
             if len(values) <= most:
                 found.append((key, self._names(key), tuple(sorted(values))))
-        return replace(self, keys=tuple(found))
+            elif rows.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+                broadcast.append((key, self._names(key)))
+        return replace(self, keys=tuple(found), broadcast=tuple(broadcast))
 
     def _names(self, key: str) -> tuple:
         """What a key's list depends on; with other names it no longer holds."""
@@ -150,7 +156,10 @@ class Filters:
         if known:
             # no key at all is a filter too
             return fact.where(F.col(key).isin(*known[0]) if known[0] else F.lit(False))
-        return fact.join(rows().select(key), key, "left_semi")
+        chosen = rows().select(key)
+        if (key, self._names(key)) in self.broadcast:
+            chosen = F.broadcast(chosen)
+        return fact.join(chosen, key, "left_semi")
 
     @property
     def _by_staff(self) -> bool:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import Shop, rows
+from storelens.plans import filters as plan_filters
 from storelens.plans import inventory, performance, sales
 from storelens.plans.filters import Filters
 from storelens.plans.layout import laid_out
@@ -91,6 +92,18 @@ def test_too_many_keys_stay_a_join(star):
     assert len(filters.resolved(star, most=2).keys[0][2]) == 2
 
 
+@pytest.mark.parametrize("most, hint", [(2, True), (1, False)])
+def test_keys_beyond_a_list_are_broadcast_up_to_a_limit(star, monkeypatch, most, hint):
+    monkeypatch.setattr(plan_filters, "BROADCAST_KEYS", most)
+    filters = Filters(categories=("Road", "Kids"))
+    resolved = filters.resolved(star, most=1)
+    fact = resolved.sales(star)
+    assert ("strategy=broadcast" in fact._jdf.queryExecution().analyzed().toString()) == hint
+    assert rows(sales.sales_kpis(star, resolved)) == rows(sales.sales_kpis(star, filters))
+    # with other names nothing that was looked up holds
+    assert "strategy=broadcast" not in resolved.without_entities().sales(star)._jdf.queryExecution().analyzed().toString()
+
+
 def test_lists_reach_the_scan_of_a_stored_fact(spark, tmp_path):
     stored = build_warehouse(Shop(spark), str(tmp_path), check=False)
     assert isinstance(stored, StoredStar) and isinstance(stored, Star)
