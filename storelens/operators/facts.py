@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -30,8 +31,13 @@ def _renewed(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).alias(c) for c in df.columns])
 
 
+def _in_order(df: DataFrame, keys: dict[str, Column], order: Sequence[str]) -> DataFrame:
+    """Rows sorted within their partitions, with only those hash keys that the order is by."""
+    return df.withColumns({c: keys[c] for c in order if c in keys}).sortWithinPartitions(*order)
+
+
 def fct_sales(
-    order_items: DataFrame | list[DataFrame], orders: DataFrame, by_month: bool = False
+    order_items: DataFrame | list[DataFrame], orders: DataFrame, by_month: bool = False, in_order: Sequence[str] = ()
 ) -> DataFrame:
     """One row per order line. Items may come in parts, which meet the orders one by one.
 
@@ -39,21 +45,29 @@ def fct_sales(
     is shuffled. `by_month` spreads the joined rows by the month they will be stored under, with
     that column added: partitions come out near the advised size, and a month with most of the
     rows is split over several tasks. What staging derives from other columns is then derived
-    again behind the shuffles, instead of being shuffled.
+    again behind the shuffles, instead of being shuffled. `in_order` names the columns that the
+    rows are to lie by within a partition: they are sorted while narrow, before the other hashes.
     """
     parts = order_items if isinstance(order_items, list) else [order_items]
     joined = reduce(DataFrame.unionByName, [_renewed(part.join(orders, "order_id")) for part in parts])
     if by_month:
         joined = joined.withColumn("order_month", F.trunc("order_date", "month")).hint(
             "rebalance", "order_month"
-        ).withColumns(_derived())
+        )
+    keys = {
+        "sales_pk": surrogate_key("order_id", "item_id"),
+        "dim_date_sk": surrogate_key("order_date"),
+        "dim_customer_sk": keyed_nulls("customer_id"),
+        "dim_product_sk": surrogate_key("product_id"),
+        "dim_store_sk": surrogate_key("store_id"),
+        "dim_staff_sk": surrogate_key("staff_id"),
+    }
+    if in_order:
+        joined = _in_order(joined, keys, in_order)
+    if by_month:
+        joined = joined.withColumns(_derived())
     return joined.select(
-        surrogate_key("order_id", "item_id").alias("sales_pk"),
-        surrogate_key("order_date").alias("dim_date_sk"),
-        keyed_nulls("customer_id").alias("dim_customer_sk"),
-        surrogate_key("product_id").alias("dim_product_sk"),
-        surrogate_key("store_id").alias("dim_store_sk"),
-        surrogate_key("staff_id").alias("dim_staff_sk"),
+        *[F.col(name) if name in in_order else key.alias(name) for name, key in keys.items()],
         "order_id",
         "item_id",
         "order_status",
@@ -74,12 +88,17 @@ def _priced(stocks: DataFrame, products: DataFrame) -> DataFrame:
     return stocks.join(products.select("product_id", "list_price"), "product_id", "left")
 
 
-def _inventory(priced: DataFrame, *key: str) -> DataFrame:
+def _inventory(priced: DataFrame, *key: str, in_order: Sequence[str] = ()) -> DataFrame:
+    keys = {
+        "inventory_pk": surrogate_key(*key),
+        "dim_date_sk": surrogate_key("snapshot_date"),
+        "dim_store_sk": surrogate_key("store_id"),
+        "dim_product_sk": surrogate_key("product_id"),
+    }
+    if in_order:
+        priced = _in_order(priced, keys, in_order)
     return priced.select(
-        surrogate_key(*key).alias("inventory_pk"),
-        surrogate_key("snapshot_date").alias("dim_date_sk"),
-        surrogate_key("store_id").alias("dim_store_sk"),
-        surrogate_key("product_id").alias("dim_product_sk"),
+        *[F.col(name) if name in in_order else key.alias(name) for name, key in keys.items()],
         "store_id",
         "product_id",
         "snapshot_date",
@@ -94,16 +113,17 @@ def fct_inventory(stocks: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def fct_inventory_history(
-    stocks: DataFrame, products: DataFrame, by_snapshot: bool = False
+    stocks: DataFrame, products: DataFrame, by_snapshot: bool = False, in_order: Sequence[str] = ()
 ) -> DataFrame:
     """Store x product x snapshot, so the key takes the date in. `by_snapshot` spreads the rows
     by the date they will be stored under, before any hash is computed, and a date over some
-    tasks by its products: the rows get much wider in the task that hashes and sorts them."""
+    tasks by its products: the rows get much wider in the task that hashes them. `in_order` as in
+    `fct_sales`."""
     priced = _priced(stocks, products)
     if by_snapshot:
         spread = F.pmod(F.hash("product_id"), F.lit(TASKS_PER_DATE)).alias("_spread")
         priced = priced.select("*", spread).hint("rebalance", "snapshot_date", "_spread")
-    return _inventory(priced, "store_id", "product_id", "snapshot_date")
+    return _inventory(priced, "store_id", "product_id", "snapshot_date", in_order=in_order)
 
 
 def resolve_orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:

@@ -21,12 +21,18 @@ BLOOM_VALUES = {
 COMPRESSION = "zstd"
 
 
-def laid_out(df: DataFrame, name: str) -> DataFrameWriter:
-    """A writer of a model's rows in its stored layout."""
+def stored_order(name: str) -> tuple[str, ...]:
+    """The columns that the rows of a stored fact lie by."""
+    return (PARTITION_BY[name], *CLUSTER_BY[name])
+
+
+def laid_out(df: DataFrame, name: str, in_order: bool = False) -> DataFrameWriter:
+    """A writer of a model's rows in its stored layout. `in_order`: the rows of a partition already
+    lie in the stored order."""
     if name not in PARTITION_BY:
         return df.write.option("compression", COMPRESSION)
-    by = PARTITION_BY[name]
-    out = df.sortWithinPartitions(by, *CLUSTER_BY[name]).write.partitionBy(by).option("compression", COMPRESSION)
+    ordered = df if in_order else df.sortWithinPartitions(*stored_order(name))
+    out = ordered.write.partitionBy(PARTITION_BY[name]).option("compression", COMPRESSION)
     for column, values in BLOOM_VALUES[name].items():
         out = out.option(f"parquet.bloom.filter.enabled#{column}", "true")
         out = out.option(f"parquet.bloom.filter.expected.ndv#{column}", str(values))

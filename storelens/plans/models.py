@@ -15,7 +15,7 @@ from storelens.operators import dimensions, facts
 from storelens.operators.loads import last_run_per_date, latest_full_load, latest_run
 from storelens.operators.staging import STAGING
 from storelens.plans import model_schemas
-from storelens.plans.layout import PARTITION_BY
+from storelens.plans.layout import PARTITION_BY, stored_order
 from storelens.sources import raw, versions
 from storelens.sources.schemas import TABLES
 from storelens.streaming.snapshots import BY_DATE, DAILY_DDL, HISTORY, daily_path
@@ -90,8 +90,10 @@ GOLD: dict[str, Model] = {
 
 
 LAID_OUT: dict[str, Callable[..., DataFrame]] = {
-    "fct_sales": partial(facts.fct_sales, by_month=True),
-    "fct_inventory_history": partial(facts.fct_inventory_history, by_snapshot=True),
+    "fct_sales": partial(facts.fct_sales, by_month=True, in_order=stored_order("fct_sales")),
+    "fct_inventory_history": partial(
+        facts.fct_inventory_history, by_snapshot=True, in_order=stored_order("fct_inventory_history")
+    ),
 }
 
 
@@ -128,8 +130,8 @@ class Star:
         return GOLD[name].build(*map(self, GOLD[name].inputs))
 
     def laid_out(self, name: str) -> DataFrame:
-        """A large fact as it is to be stored: all its columns are needed, so its lines may come in
-        the parts in which its sources have them."""
+        """A large fact as it is to be stored, in its stored order: all its columns are needed, so its
+        lines may come in the parts in which its sources have them."""
         return LAID_OUT[name](*map(self._staged_in_parts, GOLD[name].inputs))
 
     def _staged_in_parts(self, name: str) -> DataFrame | list[DataFrame]:

@@ -14,6 +14,7 @@ from storelens.operators.quality import ChecksFailed, failed_checks, failure_of,
 from storelens.plans.layout import laid_out
 from storelens.plans.models import (
     GOLD,
+    LAID_OUT,
     NOT_STORED,
     STAGED,
     LandedTables,
@@ -60,9 +61,10 @@ def ingest_production(reader: Reader, root: str, load: raw.Load | None = None) -
 
 
 def write_model(df: DataFrame, root: str, name: str) -> str:
-    """Write one model to a new version, which is not current yet."""
+    """Write one model, as `compute` or `laid_out` of a star gives it, to a new version, which is not
+    current yet."""
     version = versions.new_version()
-    laid_out(df, name).parquet(versions.version_path(model_path(root, name), version))
+    laid_out(df, name, in_order=name in LAID_OUT).parquet(versions.version_path(model_path(root, name), version))
     return version
 
 

@@ -18,7 +18,7 @@ from storelens.functions.numbers import money_sum
 from storelens.operators.facts import fct_inventory_history
 from storelens.operators.loads import last_run_per_date, runs_per_date
 from storelens.operators.staging import stg_stocks
-from storelens.plans.layout import PARTITION_BY, laid_out
+from storelens.plans.layout import PARTITION_BY, laid_out, stored_order
 from storelens.plans.model_schemas import ddl
 from storelens.sources import raw, versions
 from storelens.sources.schemas import TABLES
@@ -84,8 +84,10 @@ def update_history(
     days = [dt.date.fromisoformat(d) for d in stale]
     landed = raw.scan(spark, root, STOCKS).where(F.col("ingestion_date").isin(*days))
     stocks = last_run_per_date(landed, raw.read_manifest(spark, root), STOCKS)
-    history = fct_inventory_history(stg_stocks(stocks), products, by_snapshot=True)
-    laid_out(history, HISTORY).parquet(folder)
+    history = fct_inventory_history(
+        stg_stocks(stocks), products, by_snapshot=True, in_order=stored_order(HISTORY)
+    )
+    laid_out(history, HISTORY, in_order=True).parquet(folder)
     stored = spark.read.schema(ddl(HISTORY)).parquet(folder)
     sums = daily_sums(stored, products).hint("rebalance", BY_DATE)
     sums.write.partitionBy(BY_DATE).parquet(versions.version_path(daily_path(target), version))

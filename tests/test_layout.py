@@ -1,5 +1,8 @@
 """Stored facts: rows lie by store and product, and key lists skip row groups."""
 
+import datetime as dt
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,9 +10,10 @@ from conftest import Shop, rows
 from storelens.plans import filters as plan_filters
 from storelens.plans import inventory, performance, sales
 from storelens.plans.filters import Filters
-from storelens.plans.layout import laid_out
-from storelens.plans.models import Star, StoredStar
-from storelens.plans.warehouse import build_warehouse
+from storelens.plans.layout import PARTITION_BY, laid_out, stored_order
+from storelens.plans.models import Star, StoredStar, model_path
+from storelens.plans.warehouse import build_warehouse, write_model
+from storelens.sources import versions
 
 ROWS = 120_000
 
@@ -111,3 +115,34 @@ def test_lists_reach_the_scan_of_a_stored_fact(spark, tmp_path):
     plan = fact._jdf.queryExecution().executedPlan().toString()
     scan = next(line for line in plan.splitlines() if "FileScan" in line)
     assert "dim_store_sk" in scan.split("PushedFilters: [")[1].split("]")[0]
+
+
+@pytest.mark.parametrize("name", ["fct_sales", "fct_inventory_history"])
+def test_facts_are_sorted_once_before_the_other_hashes(star, name):
+    plan = star.laid_out(name)._jdf.queryExecution().executedPlan().toString()
+    above, *below = plan.split(f"Sort [{stored_order(name)[0]}#")
+    assert len(below) == 1
+    hashes = [len(set(re.findall(r" AS (\w+_[ps]k)#", part))) for part in (above, below[0])]
+    assert hashes == ([4, 2] if name == "fct_sales" else [2, 2])
+
+
+@pytest.mark.parametrize("name", ["fct_sales", "fct_inventory_history"])
+def test_facts_are_stored_in_order(spark, tmp_path, name):
+    days = [dt.date(2018, 1 + i % 3, 1 + i % 5) for i in range(60)]
+    star = Star(Shop(
+        spark,
+        orders=[(i, 1, 4, day, None, None, 1 + i % 2, 1 + i % 3) for i, day in enumerate(days)],
+        order_items=[(i, j, 1 + (i + j) % 3, 1, 1, 0) for i in range(60) for j in range(4)],
+        stocks=[(store, 1 + i % 3, i, dt.date(2018, 3, 1 + i // 3)) for i in range(9) for store in (1, 2)],
+    ))
+    by, *keys = stored_order(name)
+    version = write_model(star.laid_out(name), str(tmp_path), name)
+    stored = spark.read.parquet(versions.version_path(model_path(str(tmp_path), name), version))
+    wanted = star(name)
+    assert sorted(map(repr, stored.select(*wanted.columns).collect())) == sorted(map(repr, wanted.collect()))
+    files = {}
+    for file, *row in stored.select(F.input_file_name(), *keys).collect():
+        files.setdefault(file, []).append(row)
+    assert all(f"{by}=" in file for file in files) and PARTITION_BY[name] == by
+    assert max(map(len, files.values())) > 3
+    assert all(found == sorted(found) for found in files.values())
